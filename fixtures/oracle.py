@@ -189,6 +189,26 @@ def _check_query(kinds: tuple[str, ...], broken: bool) -> str:
     return _with(query, gaps=broken, extra=[_BROKEN_LOC] if broken else [])
 
 
+def _sample_query(limit: int = 5) -> str:
+    """First failing values of every check of the broken copy, vehicle_id left out."""
+    loc, fct = _BROKEN["dim_locations"], _BROKEN["fct_traffic_events"]
+    source = {"dim_locations": loc, "fct_traffic_events": fct}
+    key = dict(_UNIQUE)
+    found = [(m, c, "unique", f"select {c} v from {source[m]} where {c} is not null group by {c}"
+              " having count(*) > 1") for m, c in _UNIQUE]
+    found += [(m, c, "not_null", f"select {key[m]} v from {source[m]} where {c} is null")
+              for m, columns in _MODELS.items() for c in columns if c != "vehicle_id"]
+    found += [(m, c, "accepted_values", f"select distinct {c} v from {source[m]}"
+               f" where {c} not in ({values})") for m, c, values in _ACCEPTED]
+    found += [("fct_traffic_events", "location_id", "relationships",
+               f"select distinct location_id v from {fct} f where location_id is not null and"
+               f" not exists (select 1 from {loc} l where l.location_id = f.location_id)")]
+    query = " union all ".join(
+        f"(select '{m}' model, '{c}' column_name, '{test}' test, v sample from ({sql})"
+        f" order by v nulls last limit {limit})" for m, c, test, sql in found)
+    return _with(query, gaps=True, extra=[_BROKEN_LOC])
+
+
 # ---- streams ------------------------------------------------------------------------------------
 
 LATE_FILES = 6
@@ -300,6 +320,7 @@ def oracle_sql() -> dict[str, str]:
         queries[f"{key}_broken"] = _check_query((kind,), broken=True)
     queries["dq_report"] = _check_query(_KINDS, broken=False)
     queries["dq_report_broken"] = _check_query(_KINDS, broken=True)
+    queries["dq_samples_broken"] = _sample_query()
     queries["full_chain"] = _with(_counts({
         "traffic_bronze": "bronze", "traffic_silver": "silver", "dim_zone": "gold_zone",
         "dim_road": "gold_road", "fact_traffic": "gold_fact", "stg_dim_zone": "gold_zone",

@@ -52,10 +52,9 @@ def _run_silver(spark: SparkSession, sf_dir: str, splits: int) -> DataFrame:
     """The silver stream over the stored bronze table, into a lake of its own."""
     here = layers(spark, sf_dir)
     here.bronze()
-    lake = Lake(spark, work_path(spark, "silver-stream"))
-    rows = silver.silver_stream(here.lake.stream(BRONZE), traffic.as_of(), splits=splits)
-    append_stream(silver.with_event_date(rows), lake.path(SILVER), lake.checkpoint(SILVER),
-                  (schemas.EVENT_DATE,), available_now=True).awaitTermination()
+    lake = Lake(spark, work_path(spark, "silver-stream"),
+                elsewhere={BRONZE: here.lake.path(BRONZE)})
+    start_silver(lake, traffic.as_of(), splits=splits, available_now=True).awaitTermination()
     return lake.read(SILVER).select(*schemas.SILVER.names)
 
 
@@ -103,7 +102,17 @@ def gold_fact_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fact_traffic(layers(spark, sf_dir).silver())
 
 
-def _deliver_silver(spark: SparkSession, sf_dir: str, incremental: bool) -> Lake:
+def gold_stream_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole star from the silver table in one batch."""
+    here = layers(spark, sf_dir)
+    here.silver()
+    lake = Lake(spark, work_path(spark, "gold-stream"),
+                elsewhere={SILVER: here.lake.path(SILVER)})
+    start_gold(lake, incremental=False).awaitTermination()
+    return row_counts({name: lake.read(name) for name in (ZONE, ROAD, FACT)})
+
+
+def gold_stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver arrives in two parts that share their days; gold follows after each."""
     stored = layers(spark, sf_dir).silver()
     lake = Lake(spark, work_path(spark, "gold-stream"))
@@ -111,17 +120,8 @@ def _deliver_silver(spark: SparkSession, sf_dir: str, incremental: bool) -> Lake
     for part in (stored.where(early), stored.where(~early)):
         (part.hint("rebalance", schemas.EVENT_DATE).write.mode("append")
          .partitionBy(schemas.EVENT_DATE).parquet(lake.path(SILVER)))
-        start_gold(lake, incremental).awaitTermination()
-    return lake
-
-
-def gold_stream_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = _deliver_silver(spark, sf_dir, incremental=False)
-    return row_counts({name: lake.read(name) for name in (ZONE, ROAD, FACT)})
-
-
-def gold_stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _deliver_silver(spark, sf_dir, incremental=True).read(FACT)
+        start_gold(lake, incremental=True).awaitTermination()
+    return lake.read(FACT)
 
 
 def mart_dim_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,6 +201,13 @@ def _on_frame(report: Callable[[DataFrame], DataFrame], gaps: bool = False,
     return lambda spark, sf_dir: report(_frame(layers(spark, sf_dir, gaps), selection))
 
 
+def _on_events(report: Callable[[DataFrame], DataFrame], gaps: bool = False) -> Query:
+    """Reports that need no dimension attribute read the fact alone."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return report(reports.report_events(layers(spark, sf_dir, gaps).view("fact_traffic")))
+    return query
+
+
 def _on_star(report: Callable[..., DataFrame], gaps: bool = False) -> Query:
     return lambda spark, sf_dir: report(*layers(spark, sf_dir, gaps).star_views())
 
@@ -285,8 +292,8 @@ def queries() -> dict[str, Query]:
         "row_counts": table_counts,
         "report_frame": _on_frame(_whole),
         "report_frame_gaps": _on_frame(_whole, gaps=True),
-        "filter_options": _on_frame(reports.filter_options),
-        "filter_options_gaps": _on_frame(reports.filter_options, gaps=True),
+        "filter_options": _on_events(reports.filter_options),
+        "filter_options_gaps": _on_events(reports.filter_options, gaps=True),
         "report_filtered": _on_frame(_whole, selection=SELECTION),
         "report_filtered_gaps": _on_frame(_whole, gaps=True, selection=SELECTION),
         "kpi_overview": _on_frame(reports.kpi_overview),
@@ -294,24 +301,25 @@ def queries() -> dict[str, Query]:
         "zone_summary_gaps": _on_star(reports.zone_summary, gaps=True),
         "map_markers": _on_star(lambda *star: reports.map_markers(reports.zone_summary(*star))),
         "map_centre": _on_star(lambda *star: reports.map_centre(reports.zone_summary(*star))),
-        "hourly_pulse": _on_frame(reports.hourly_pulse),
+        "hourly_pulse": _on_events(reports.hourly_pulse),
         "road_summary": _on_star(reports.road_summary),
         "road_summary_gaps": _on_star(reports.road_summary, gaps=True),
         "road_summary_top10": _on_star(
             lambda *star: reports.top_roads(reports.road_summary(*star))),
-        "weather_impact": _on_frame(reports.weather_impact),
-        "weather_impact_gaps": _on_frame(reports.weather_impact, gaps=True),
-        "speed_mix": _on_frame(reports.speed_mix),
+        "weather_impact": _on_events(reports.weather_impact),
+        "weather_impact_gaps": _on_events(reports.weather_impact, gaps=True),
+        "speed_mix": _on_events(reports.speed_mix),
         "feed": _on_frame(reports.feed),
         "zone_kpis": _on_focus(reports.zone_kpis),
         "zone_road_mix": _on_focus(reports.zone_road_mix),
         "zone_weather_mix": _on_focus(reports.zone_weather_mix),
         "zone_hourly": _on_focus(reports.zone_hourly),
-        "zone_road_matrix": _on_frame(reports.zone_road_matrix),
+        "zone_road_matrix": _on_events(reports.zone_road_matrix),
         "road_leaderboard": _on_focus(
             lambda frame: reports.road_leaderboard(reports.zone_road_mix(frame))),
         "dq_report": _on_models(contracts.check_report),
         "dq_report_broken": _on_models(contracts.check_report, broken=True),
+        "dq_samples_broken": _on_models(contracts.failure_samples, broken=True),
         "seed_marts": seed_marts,
         "full_chain": full_chain,
         "scale_star": scale_star,

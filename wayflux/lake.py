@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,14 +36,18 @@ PARTITIONS = {
 
 @dataclass(frozen=True)
 class Lake:
-    """A root folder, on storage that every executor can reach, and the format of its tables."""
+    """A root folder, on storage that every executor can reach, and the format of its tables.
+
+    ``elsewhere`` gives the path of tables that belong to another lake.
+    """
 
     spark: SparkSession
     root: str
     fmt: str = LAKE_FORMAT
+    elsewhere: Mapping[str, str] = field(default_factory=dict)
 
     def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+        return self.elsewhere.get(table, f"{self.root}/{table}")
 
     def checkpoint(self, table: str) -> str:
         return f"{self.root}/_streams/{table}"

@@ -1,15 +1,18 @@
 """Declarative data checks.
 
 A check result is ``(model, column_name, test, failures)``.  ``failures`` counts what a reader has
-to look at: NULL rows, repeated keys, distinct unexpected values, rows without a parent.  All checks of a kind share one scan of a
-model, and nothing is brought to the driver.
+to look at: NULL rows, repeated keys, distinct unexpected values, rows without a parent.  All
+checks of a kind share one scan of a model, and nothing is brought to the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayflux.operators.joins import orphans
@@ -43,17 +46,34 @@ def unique_failures(df: DataFrame, model: str, column: str) -> DataFrame:
     return _result(found, model, F.lit(column), UNIQUE, F.col("failures"))
 
 
+def _failing(df: DataFrame, conditions: Mapping[str, Column],
+             value: Callable[[str], Column]) -> DataFrame:
+    """``(column_name, value)`` for every column of a row whose condition holds.
+
+    Rows without a failure are filtered first, so clean data ends in the scan stage.
+    """
+    found = [F.when(condition, F.struct(F.lit(name).alias("column_name"),
+                                        value(name).alias("value")))
+             for name, condition in conditions.items()]
+    failing = df.where(reduce(or_, conditions.values()))
+    exploded = failing.select(F.explode(F.array_compact(F.array(*found))).alias("failing"))
+    return exploded.select("failing.column_name", "failing.value")
+
+
+def null_rows(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    """``(column_name, value)`` for every NULL; the row is named by its key."""
+    conditions = {c: F.col(c).isNull() for c in columns}
+    return _failing(df, conditions, lambda name: F.col(key).cast("string"))
+
+
 def unexpected_values(df: DataFrame, accepted: Mapping[str, Sequence[str]]) -> DataFrame:
     """``(column_name, value, rows)`` of values outside the list of their column.
 
-    Only offending values are exploded, so clean rows end in the scan stage.  NULL is left to the
-    not-NULL check.
+    NULL is left to the not-NULL check.
     """
-    offending = [F.when(~F.col(column).isin(list(values)),
-                        F.struct(F.lit(column).alias("column_name"), F.col(column).alias("value")))
-                 for column, values in accepted.items()]
-    exploded = df.select(F.explode(F.array_compact(F.array(*offending))).alias("bad"))
-    return exploded.groupBy("bad.column_name", "bad.value").agg(F.count(F.lit(1)).alias("rows"))
+    conditions = {c: ~F.col(c).isin(list(values)) for c, values in accepted.items()}
+    found = _failing(df, conditions, lambda name: F.col(name).cast("string"))
+    return found.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def accepted_failures(df: DataFrame, model: str,

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayflux import domain
@@ -136,46 +136,46 @@ def check_report(models: Mapping[str, DataFrame], contracts=CONTRACTS) -> DataFr
     return found.withColumn("status", status)
 
 
-def failure_samples(models: Mapping[str, DataFrame], limit: int = 5,
-                    contracts=CONTRACTS) -> DataFrame:
-    """``(model, column_name, test, sample)``: up to ``limit`` failing values per check.
+def failing_values(models: Mapping[str, DataFrame], contracts=CONTRACTS) -> DataFrame:
+    """``(model, column_name, test, value)``: what made the checks fail, NULL rows by their key.
 
     Columns with personal data are left out altogether.
     """
     parts = []
     for contract in contracts:
-        model = models[contract.name]
-        shown = {c.name for c in contract.columns if not c.pii}
-        for column in contract.names("unique"):
-            if column in shown:
-                repeated = checks.repeated_keys(model, column).select("value").limit(limit)
-                parts.append(_sample(repeated, contract.name, F.lit(column), checks.UNIQUE))
-        accepted = {c: v for c, v in _accepted(contract).items() if c in shown}
-        for column, values in accepted.items():
-            found = checks.unexpected_values(model, {column: values}).select("value").limit(limit)
-            parts.append(_sample(found, contract.name, F.lit(column), checks.ACCEPTED))
+        model, shown = models[contract.name], {c.name for c in contract.columns if not c.pii}
+        keys = [k for k in contract.names("unique") if k in shown]
+        for key in keys:
+            found = checks.repeated_keys(model, key).withColumn("column_name", F.lit(key))
+            parts.append(_labelled(found, contract, checks.UNIQUE))
+        nullable = [c for c in contract.names("not_null") if c in shown]
+        parts += [_labelled(checks.null_rows(model, nullable, key), contract, checks.NOT_NULL)
+                  for key in keys[:1]]
+        accepted = {c: values for c, values in _accepted(contract).items() if c in shown}
+        if accepted:
+            parts.append(_labelled(checks.unexpected_values(model, accepted), contract,
+                                   checks.ACCEPTED))
         for column in _related(contract):
             if column.name in shown:
                 found = orphans(model, column.name, models[column.parent[0]], column.parent[1])
-                found = found.select(F.col("key").alias("value")).limit(limit)
-                parts.append(_sample(found, contract.name, F.lit(column.name), checks.RELATED))
-        parts += _null_samples(model, contract, shown, limit)
+                found = found.select(F.lit(column.name).alias("column_name"),
+                                     F.col("key").alias("value"))
+                parts.append(_labelled(found, contract, checks.RELATED))
     return _union(parts)
 
 
-def _null_samples(model: DataFrame, contract: ModelContract, shown: set[str],
-                  limit: int) -> list[DataFrame]:
-    """For a NULL the row is named by the unique key of its model."""
-    key = contract.names("unique")[0]
-    parts = []
-    for column in contract.names("not_null"):
-        if column in shown and key in shown:
-            failing = model.where(F.col(column).isNull()).select(F.col(key).alias("value"))
-            parts.append(_sample(failing.limit(limit), contract.name, F.lit(column),
-                                 checks.NOT_NULL))
-    return parts
+def failure_samples(models: Mapping[str, DataFrame], limit: int = 5,
+                    contracts=CONTRACTS) -> DataFrame:
+    """``(model, column_name, test, sample)``: the first ``limit`` failing values of each check.
+
+    The rank is limited before the shuffle, so a check with very many failures sends a few rows.
+    """
+    window = Window.partitionBy("model", "column_name", "test").orderBy(F.asc_nulls_last("value"))
+    ranked = failing_values(models, contracts).withColumn("place", F.row_number().over(window))
+    return ranked.where(F.col("place") <= limit).select(
+        "model", "column_name", "test", F.col("value").alias("sample"))
 
 
-def _sample(df: DataFrame, model: str, column, test: str) -> DataFrame:
-    return df.select(F.lit(model).alias("model"), column.alias("column_name"),
-                     F.lit(test).alias("test"), F.col("value").cast("string").alias("sample"))
+def _labelled(found: DataFrame, contract: ModelContract, test: str) -> DataFrame:
+    return found.select(F.lit(contract.name).alias("model"), "column_name",
+                        F.lit(test).alias("test"), F.col("value").cast("string").alias("value"))

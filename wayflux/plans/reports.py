@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayflux import domain
+from wayflux import domain, schemas
 from wayflux.functions import clip, first_match
 from wayflux.operators import (
     Link, average, breakdown, count_of, enrich, rows, share, star_breakdown)
@@ -31,15 +31,21 @@ _NUMBERS = ("hour", "speed_int", "congestion_level", "peak_flag")
 # ---- report frame -------------------------------------------------------------------------------
 
 def zone_positions(spark: SparkSession) -> DataFrame:
-    return literal_table(spark, domain.ZONE_POSITIONS, "city_zone STRING, lat DOUBLE, lon DOUBLE")
+    return literal_table(spark, domain.ZONE_POSITIONS, schemas.ZONE_POSITION)
 
 
-def typed_events(fact: DataFrame) -> DataFrame:
-    """Fact with report types: zoned timestamp, plain numbers, no NULL peak flag."""
+def report_events(fact: DataFrame) -> DataFrame:
+    """Fact with report types (zoned timestamp, plain numbers, no NULL peak flag) and labels.
+
+    Enough for every report that shows no dimension attribute, without any join.
+    """
     columns = {name: F.col(name).try_cast("int") for name in _NUMBERS}
     columns["peak_flag"] = F.coalesce(columns["peak_flag"], F.lit(0))
     columns["event_ts"] = F.col("event_ts").try_cast("timestamp")
     columns["date"] = F.col("date").try_cast("date")
+    columns["speed_band"] = F.coalesce("speed_band", F.lit(domain.UNKNOWN))
+    columns["weather"] = F.coalesce("weather", F.lit(domain.UNKNOWN))
+    columns["peak_label"] = peak_label(columns["peak_flag"])
     return fact.withColumns(columns)
 
 
@@ -48,14 +54,6 @@ def peak_label(peak: Column) -> Column:
                        domain.OTHER_PEAK_LABEL)
 
 
-def _labelled(events: DataFrame) -> DataFrame:
-    return events.withColumns({
-        "peak_label": peak_label(F.col("peak_flag")),
-        "speed_band": F.coalesce("speed_band", F.lit(domain.UNKNOWN)),
-        "weather": F.coalesce("weather", F.lit(domain.UNKNOWN)),
-    })
-
-
 def report_links(spark: SparkSession, zones: DataFrame, roads: DataFrame) -> list[Link]:
     """The dimensions of a report; a NULL key meets a NULL member."""
     return [Link(zones, "city_zone", null_safe=True), Link(roads, "road_id", null_safe=True),
@@ -64,8 +62,7 @@ def report_links(spark: SparkSession, zones: DataFrame, roads: DataFrame) -> lis
 
 def report_frame(fact: DataFrame, zones: DataFrame, roads: DataFrame) -> DataFrame:
     """Every event with its zone, road and position, missing labels filled."""
-    wide = enrich(typed_events(fact), report_links(fact.sparkSession, zones, roads))
-    return _labelled(wide)
+    return enrich(report_events(fact), report_links(fact.sparkSession, zones, roads))
 
 
 # ---- filters ------------------------------------------------------------------------------------
@@ -169,7 +166,7 @@ def zone_summary(fact: DataFrame, zones: DataFrame, roads: DataFrame) -> DataFra
     """Zones with position, busiest first.  Aggregated before the dimensions are joined."""
     links = report_links(fact.sparkSession, zones, roads)
     links = [link for link in links if link.fact_key == "city_zone"]
-    found = star_breakdown(typed_events(fact), links, _ZONE_KEYS, _TRAFFIC_1DP)
+    found = star_breakdown(report_events(fact), links, _ZONE_KEYS, _TRAFFIC_1DP)
     return _busiest_first(found, "city_zone")
 
 
@@ -200,7 +197,7 @@ def road_summary(fact: DataFrame, zones: DataFrame, roads: DataFrame) -> DataFra
     """Roads, busiest first.  Aggregated before the dimension is joined."""
     links = report_links(fact.sparkSession, zones, roads)
     links = [link for link in links if link.fact_key == "road_id"]
-    found = star_breakdown(typed_events(fact), links, ("road_id", "road_type"), _TRAFFIC_1DP)
+    found = star_breakdown(report_events(fact), links, ("road_id", "road_type"), _TRAFFIC_1DP)
     return _busiest_first(found, "road_id", "road_type")
 
 

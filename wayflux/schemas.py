@@ -31,6 +31,7 @@ EVENT_DATE = "event_date"
 SILVER_STORED = T.StructType(SILVER.fields + _columns(**{EVENT_DATE: DATE}))
 
 DIM_ZONE = T.StructType(_columns(city_zone=TEXT, zone_type=TEXT, traffic_risk=TEXT))
+ZONE_POSITION = T.StructType(_columns(city_zone=TEXT, lat=T.DoubleType(), lon=T.DoubleType()))
 DIM_ROAD = T.StructType(_columns(road_id=TEXT, road_type=TEXT, speed_limit=INT))
 
 

@@ -6,10 +6,11 @@ the class path; nothing else in the library depends on the format.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LAKE_FORMAT = "parquet"
@@ -53,9 +54,17 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
-def literal_table(spark: SparkSession, rows: Iterable[tuple], ddl: str) -> DataFrame:
-    """A table written down in the code; its size is known to the optimizer."""
-    return spark.createDataFrame(list(rows), ddl)
+def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A table written down in the code.
+
+    It is exploded from one row of literals, so the optimizer knows that it is small and joins
+    broadcast it; createDataFrame would hand over an RDD of unknown size.
+    """
+    def struct(row: tuple) -> Column:
+        return F.struct(*[F.lit(value).cast(f.dataType).alias(f.name)
+                          for f, value in zip(schema.fields, row)])
+
+    return spark.range(1).select(F.inline(F.array(*[struct(row) for row in rows])))
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, column: str | None = None,
