@@ -245,7 +245,7 @@ def oracle_sql() -> dict[str, str]:
                                 " from judged group by all"),
         "silver_clean": _with("select * from silver"),
         "silver_stream_dedup": _with("select * from silver"),
-        "silver_stream_split": _with("select * from silver"),
+        "silver_stream_unthinned": _with("select * from silver"),
         "silver_stream_late": _LATE,
         "gold_dim_zone": _with("select * from gold_zone"),
         "gold_dim_road": _with("select * from gold_road"),

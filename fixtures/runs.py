@@ -48,22 +48,22 @@ def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver(layers(spark, sf_dir).bronze(), traffic.as_of())
 
 
-def _run_silver(spark: SparkSession, sf_dir: str, splits: int) -> DataFrame:
+def _run_silver(spark: SparkSession, sf_dir: str, thin: bool) -> DataFrame:
     """The silver stream over the stored bronze table, into a lake of its own."""
     here = layers(spark, sf_dir)
     here.bronze()
     lake = Lake(spark, work_path(spark, "silver-stream"),
                 elsewhere={BRONZE: here.lake.path(BRONZE)})
-    start_silver(lake, traffic.as_of(), splits=splits, available_now=True).awaitTermination()
+    start_silver(lake, traffic.as_of(), thin=thin, available_now=True).awaitTermination()
     return lake.read(SILVER).select(*schemas.SILVER.names)
 
 
 def silver_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run_silver(spark, sf_dir, splits=0)
+    return _run_silver(spark, sf_dir, thin=True)
 
 
-def silver_stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run_silver(spark, sf_dir, splits=8)
+def silver_stream_unthinned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_silver(spark, sf_dir, thin=False)
 
 
 def silver_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,7 +272,7 @@ def queries() -> dict[str, Query]:
         "dq_flag_counts": dq_flag_counts,
         "silver_clean": silver_clean,
         "silver_stream_dedup": silver_stream_dedup,
-        "silver_stream_split": silver_stream_split,
+        "silver_stream_unthinned": silver_stream_unthinned,
         "silver_stream_late": silver_stream_late,
         "gold_dim_zone": gold_dim_zone,
         "gold_dim_road": gold_dim_road,

@@ -2,8 +2,8 @@
 
 from wayflux.operators.breakdown import (
     Measure, average, breakdown, count_of, rows, share, star_breakdown)
-from wayflux.operators.dedup import dedup_stream, keep_first
+from wayflux.operators.dedup import dedup_stream, keep_first, thin_copies
 from wayflux.operators.joins import Link, enrich, orphans
 
 __all__ = ["Link", "Measure", "average", "breakdown", "count_of", "dedup_stream", "enrich",
-           "keep_first", "orphans", "rows", "share", "star_breakdown"]
+           "keep_first", "orphans", "rows", "share", "star_breakdown", "thin_copies"]

@@ -65,10 +65,10 @@ def silver(bronze: DataFrame, as_of: Column | None = None,
 
 
 def silver_stream(bronze: DataFrame, as_of: Column | None = None,
-                  rules: SilverRules = SILVER_RULES, splits: int = 0) -> DataFrame:
+                  rules: SilverRules = SILVER_RULES, thin: bool = True) -> DataFrame:
     """Streaming form.  The watermark follows clean rows only, as bad clocks must not move it."""
     clean = keep_clean(judge(bronze, as_of, rules))
-    unique = dedup_stream(clean, rules.event_key, "event_ts", rules.lateness, splits)
+    unique = dedup_stream(clean, rules.event_key, "event_ts", rules.lateness, thin)
     return add_features(unique, rules)
 
 

@@ -27,10 +27,10 @@ def start_bronze(lake: Lake, log: DataFrame, available_now: bool = False,
 
 
 def start_silver(lake: Lake, as_of: Column | None = None, rules: SilverRules = SILVER_RULES,
-                 splits: int = 0, max_files: int | None = None, available_now: bool = False,
+                 thin: bool = True, max_files: int | None = None, available_now: bool = False,
                  interval: str | None = None) -> StreamingQuery:
     """Follow bronze.  One shuffle by event key; stored by day for the layers behind it."""
-    rows = silver_plan.silver_stream(lake.stream(BRONZE, max_files), as_of, rules, splits)
+    rows = silver_plan.silver_stream(lake.stream(BRONZE, max_files), as_of, rules, thin)
     return append_stream(silver_plan.with_event_date(rows), lake.path(SILVER),
                          lake.checkpoint(SILVER), PARTITIONS[SILVER], lake.fmt,
                          available_now, interval)
