@@ -1,7 +1,9 @@
 """Small builders and comparisons used by the tests."""
 
+import contextlib
+import io
 import json
-from datetime import datetime, timezone
+from datetime import datetime
 
 from wayflux import schemas
 
@@ -34,9 +36,9 @@ def values(df, *columns):
     return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr)
 
 
-def physical_plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def utc(value):
-    return value.astimezone(timezone.utc).replace(tzinfo=None) if value.tzinfo else value
+def physical_plan(df, mode="simple"):
+    """Text of explain()."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain(mode=mode)
+    return text.getvalue()

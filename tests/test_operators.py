@@ -1,0 +1,116 @@
+"""Generic operators against brute force, with hot keys and NULL keys."""
+
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from helpers import physical_plan, values
+from wayflux.operators import (
+    Link, average, breakdown, count_of, enrich, keep_first, orphans, rows, share, star_breakdown,
+    thin_copies)
+
+_keys = st.sampled_from([None, "a", "b", "hot"])
+_rows = st.lists(st.tuples(_keys, st.integers(0, 3), st.one_of(st.none(), st.integers(0, 9))),
+                 max_size=40)
+
+
+@settings(max_examples=12, deadline=None)
+@given(data=_rows)
+def test_keep_first_equals_sorting(spark, data):
+    df = spark.createDataFrame(data, "k STRING, t INT, v INT")
+    expected = {}
+    for k, t, v in sorted(data, key=lambda r: (r[0] or "", r[1], -1 if r[2] is None else r[2])):
+        expected.setdefault((k, t), v)
+    got = {(r.k, r.t): r.v for r in keep_first(df, ["k", "t"], ["v"]).collect()}
+    assert got == expected
+
+
+def test_keep_first_sends_one_row_per_key_and_task(spark):
+    df = spark.range(0, 30000, 1, 4).selectExpr(
+        "case when id % 3 = 0 then 'hot' else cast(id as string) end k", "id")
+    unique = keep_first(df, ["k"], ["id"])
+    plan = physical_plan(unique)
+    assert "row_number(), 1, Partial" in plan
+    assert unique.count() == 20001
+    assert unique.where("k = 'hot'").first().id == 0
+
+
+@settings(max_examples=8, deadline=None)
+@given(data=_rows)
+def test_thin_copies_keeps_every_key(spark, data):
+    df = spark.createDataFrame(data, "k STRING, t INT, v INT").coalesce(1)
+    got = values(thin_copies(df, ["k", "t"]))
+    firsts = {}
+    for k, t, v in data:
+        firsts.setdefault((k, t), v)
+    assert got == sorted([(k, t, v) for (k, t), v in firsts.items()], key=repr)
+
+
+def test_thin_copies_shrinks_a_hot_key(spark):
+    df = spark.range(0, 60000, 1, 2).selectExpr(
+        "case when id % 3 = 0 then -1 else id end k", "cast(id as string) payload")
+    thinned = thin_copies(df, ["k"])
+    assert thinned.where("k = -1").count() <= 8
+    assert thinned.where("k <> -1").count() == 40000
+    assert "Exchange" not in physical_plan(thinned)
+
+
+def _star(spark, seed):
+    random.seed(seed)
+    fact = [(random.choice([None, "a", "b", "hot", "hot", "lost"]), random.choice(["x", "y", None]),
+             random.choice([None, 1, 2, 3]), random.random() * 100) for _ in range(300)]
+    fact = spark.createDataFrame(fact, "zone STRING, road STRING, speed INT, price DOUBLE")
+    zones = spark.createDataFrame(
+        [("a", "A", 1), ("b", "B", 1), ("hot", "H", 2), ("hot", "H2", None), (None, "N", 2)],
+        "zone STRING, kind STRING, region INT")
+    regions = spark.createDataFrame([(1, "north"), (2, "south")], "region_id INT, name STRING")
+    return fact, zones, regions
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+@pytest.mark.parametrize("compact", [True, False])
+def test_star_breakdown_equals_join_then_group(spark, null_safe, compact):
+    fact, zones, regions = _star(spark, 3)
+    links = [Link(zones, "zone", null_safe=null_safe),
+             Link(regions, "region", "region_id", compact=compact)]
+    measures = [rows("n"), count_of("speed", "speeds"), average("speed", "avg_speed", digits=1),
+                average("price", "avg_price", digits=1, exact="decimal(18,6)")]
+    for keys in (["kind", "name", "road"], ["name"], ["zone", "name"]):
+        direct = breakdown(enrich(fact, links), keys, measures)
+        assert values(star_breakdown(fact, links, keys, measures)) == values(direct)
+
+
+def test_star_breakdown_aggregates_before_the_join(spark):
+    fact, zones, _ = _star(spark, 4)
+    plan = physical_plan(star_breakdown(fact, [Link(zones, "zone")], ["kind"], [rows()]))
+    join = plan.index("Join")
+    assert "partial_count" in plan[join:]
+
+
+def test_enrich_null_keys(spark):
+    fact, zones, _ = _star(spark, 5)
+    one = zones.where("kind in ('A', 'N')")
+    safe = enrich(fact, [Link(one, "zone", null_safe=True)])
+    plain = enrich(fact, [Link(one, "zone")])
+    assert safe.count() == plain.count() == 300
+    assert safe.where("zone is null and kind = 'N'").count() == fact.where("zone is null").count()
+    assert plain.where("zone is null and kind is not null").count() == 0
+
+
+def test_orphans_counts_rows_and_skips_null(spark):
+    child = spark.createDataFrame([("a",), ("z",), ("z",), (None,)], "k STRING")
+    parent = spark.createDataFrame([("a",), ("b",)], "id STRING")
+    assert values(orphans(child, "k", parent, "id")) == [("z", 2)]
+
+
+def test_count_skips_null_rows_do_not(spark):
+    df = spark.createDataFrame([("a", None), ("a", 1), (None, 2)], "k STRING, v INT")
+    got = values(breakdown(df, ["k"], [rows("n"), count_of("v", "filled")]))
+    assert got == sorted([("a", 2, 1), (None, 1, 1)], key=repr)
+
+
+def test_share(spark):
+    df = spark.createDataFrame([("a", 3), ("b", 1)], "k STRING, events LONG")
+    assert values(share(df, "events", "share")) == [("a", 3, 0.75), ("b", 1, 0.25)]
