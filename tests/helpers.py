@@ -32,6 +32,11 @@ def event(vehicle="V1", at="2024-01-01 10:00:00", **changes):
             "congestion_level": 3, "weather": "CLEAR", "event_time": at, **changes}
 
 
+def files(df):
+    """The stored files the rows come from."""
+    return {r.file_path for r in df.select("_metadata.file_path").distinct().collect()}
+
+
 def values(df, *columns):
     return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr)
 
