@@ -261,8 +261,8 @@ def scale_star(spark: SparkSession, sf_dir: str) -> DataFrame:
              "n_regionkey", "r_regionkey"),
     ]
     measures = [count_of("l_orderkey"),
-                average("l_quantity", "avg_quantity", digits=1, exact="decimal(18,2)"),
-                average("l_extendedprice", "avg_price", digits=1, exact="decimal(18,2)")]
+                average("l_quantity", "avg_quantity", digits=1, decimals=2),
+                average("l_extendedprice", "avg_price", digits=1, decimals=2)]
     return star_breakdown(table["lineitem"], links, ["region", "nation", "priority"], measures)
 
 

@@ -76,7 +76,7 @@ def test_star_breakdown_equals_join_then_group(spark, null_safe, compact):
     links = [Link(zones, "zone", null_safe=null_safe),
              Link(regions, "region", "region_id", compact=compact)]
     measures = [rows("n"), count_of("speed", "speeds"), average("speed", "avg_speed", digits=1),
-                average("price", "avg_price", digits=1, exact="decimal(18,6)")]
+                average("price", "avg_price", digits=1, decimals=6)]
     for keys in (["kind", "name", "road"], ["name"], ["zone", "name"]):
         direct = breakdown(enrich(fact, links), keys, measures)
         assert values(star_breakdown(fact, links, keys, measures)) == values(direct)

@@ -23,16 +23,16 @@ class Measure:
     kind: str
     column: str | None = None
     digits: int | None = None
-    exact: str | None = None
+    decimals: int | None = None
 
     def direct(self) -> Column:
         if self.kind == "rows":
             return F.count(F.lit(1)).alias(self.name)
         if self.kind == "count":
             return F.count(self.column).alias(self.name)
-        if self.exact:
-            return self._round(F.sum(self._value()).cast("double") / F.count(self.column))
-        return self._round(F.avg(self.column))
+        if self.decimals is None:
+            return self._round(F.avg(self.column))
+        return self._mean(F.sum(self._value()), F.count(self.column))
 
     def partials(self) -> list[Column]:
         """Columns of the first aggregation."""
@@ -52,14 +52,22 @@ class Measure:
         counted = F.sum(self._part("n"))
         if self.kind != "avg":
             return F.coalesce(counted, F.lit(0)).alias(self.name)
-        return self._round(F.try_divide(F.sum(self._part("s")).cast("double"), counted))
+        return self._mean(F.sum(self._part("s")), counted)
 
     def _part(self, what: str) -> str:
         return f"_{self.name}_{what}"
 
     def _value(self) -> Column:
         value = F.col(self.column)
-        return value.cast(self.exact) if self.exact else value
+        if self.decimals is None:
+            return value
+        return F.round(value * float(10 ** self.decimals)).cast("bigint")
+
+    def _mean(self, total: Column, counted: Column) -> Column:
+        total = total.cast("double")
+        if self.decimals is not None:
+            total = total / float(10 ** self.decimals)
+        return self._round(F.try_divide(total, counted))
 
     def _round(self, value: Column) -> Column:
         return (value if self.digits is None else half_even(value, self.digits)).alias(self.name)
@@ -76,10 +84,13 @@ def count_of(column: str, name: str = "events") -> Measure:
 
 
 def average(column: str, name: str, digits: int | None = None,
-            exact: str | None = None) -> Measure:
-    """Mean of the non-NULL values; ``digits`` rounds half to even, ``exact`` names a decimal type
-    to sum in, so that the result does not depend on the order of rows."""
-    return Measure(name, "avg", column, digits, exact)
+            decimals: int | None = None) -> Measure:
+    """Mean of the non-NULL values; ``digits`` rounds half to even.
+
+    Sums of doubles depend on the order of rows.  For values with a known number of ``decimals``
+    the sum is taken over whole units of that size instead, as a long.
+    """
+    return Measure(name, "avg", column, digits, decimals)
 
 
 def breakdown(frame: DataFrame, keys: Sequence[str], measures: Iterable[Measure]) -> DataFrame:

@@ -24,7 +24,7 @@ _TRAFFIC_1DP = (count_of("vehicle_id"), average("speed_int", "avg_speed", digits
 _ZONE_KEYS = ("city_zone", "zone_type", "traffic_risk", "lat", "lon")
 _FEED = ("event_ts", "vehicle_id", "city_zone", "road_id", "road_type", "speed_int",
          "congestion_level", "weather", "traffic_risk", "peak_label")
-_DEGREES = "decimal(9,6)"
+_DEGREE_DECIMALS = 6
 _NUMBERS = ("hour", "speed_int", "congestion_level", "peak_flag")
 
 
@@ -185,8 +185,8 @@ def map_markers(zone_rows: DataFrame) -> DataFrame:
 
 def map_centre(zone_rows: DataFrame) -> DataFrame:
     """Mean position over zones, whatever their traffic."""
-    return zone_rows.agg(average("lat", "latitude", exact=_DEGREES).direct(),
-                         average("lon", "longitude", exact=_DEGREES).direct())
+    return zone_rows.agg(average("lat", "latitude", decimals=_DEGREE_DECIMALS).direct(),
+                         average("lon", "longitude", decimals=_DEGREE_DECIMALS).direct())
 
 
 def hourly_pulse(frame: DataFrame) -> DataFrame:
