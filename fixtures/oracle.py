@@ -69,11 +69,9 @@ def _layer_ctes(gaps: bool) -> list[tuple[str, str]]:
         ("gold_road", _DIM_ROAD),
         ("gold_fact", f"select {_FACT} from (select *, cast(event_ts as date) as date from silver)"
                       " where vehicle_id is not null and event_ts is not null"),
-        ("loc", """select md5(p.city_zone || '|' || p.road_id) location_id, p.city_zone,
-             z.zone_type, z.traffic_risk, p.road_id, r.road_type, r.speed_limit
-           from (select distinct city_zone, road_id from gold_fact) p
-           left join gold_zone z on p.city_zone = z.city_zone
-           left join gold_road r on p.road_id = r.road_id"""),
+        ("loc", """select md5(city_zone || '|' || road_id) location_id, *
+           from (select city_zone, road_id from gold_fact group by all)
+           left join gold_zone using (city_zone) left join gold_road using (road_id)"""),
         ("fct", f"""select md5(vehicle_id || '|' || cast(event_ts as varchar)) event_id,
              md5(city_zone || '|' || road_id) location_id, {_FACT} from gold_fact"""),
         ("view_zone", "select distinct city_zone, zone_type, traffic_risk from loc"),

@@ -16,6 +16,7 @@ from wayflux.sinks import (
     register_table, row_counts)
 from wayflux.sinks.jdbc import jdbc_options
 from wayflux.sources import file_log, literal_table
+from wayflux.sources.tables import jdbc_scan_options
 from wayflux.streaming import rewrite_star
 
 
@@ -80,6 +81,13 @@ def test_jdbc_options():
                        "truncate": "true", "batchsize": "5000", "numPartitions": "4", "user": "u"}
 
 
+def test_jdbc_scan_options():
+    plain = jdbc_scan_options("jdbc:x", "t")
+    assert plain == {"url": "jdbc:x", "dbtable": "t"}
+    split = jdbc_scan_options("jdbc:x", "t", "date", ("2024-01-01", "2024-02-01"), 31)
+    assert split["partitionColumn"] == "date" and split["numPartitions"] == "31"
+
+
 def test_overwrite_replaces_the_schema(spark, tmp_path):
     path = str(tmp_path / "t")
     overwrite_table(spark.range(3).toDF("a"), path)

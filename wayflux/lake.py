@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayflux import schemas
 from wayflux.plans import staging, warehouse
-from wayflux.sources import LAKE_FORMAT, read_table, stream_table, table_exists
+from wayflux.sources import FILES_PER_BATCH, LAKE_FORMAT, read_table, stream_table, table_exists
 
 BRONZE, SILVER = "traffic_bronze", "traffic_silver"
 ZONE, ROAD, FACT = "dim_zone", "dim_road", "fact_traffic"
@@ -58,7 +58,7 @@ class Lake:
     def read(self, table: str) -> DataFrame:
         return read_table(self.spark, self.path(table), _SCHEMAS[table], self.fmt)
 
-    def stream(self, table: str, max_files: int | None = None) -> DataFrame:
+    def stream(self, table: str, max_files: int = FILES_PER_BATCH) -> DataFrame:
         return stream_table(self.spark, self.path(table), _SCHEMAS[table], self.fmt, max_files)
 
     def gold(self) -> dict[str, DataFrame]:

@@ -2,7 +2,7 @@
 
 from wayflux.sources.logs import file_log, kafka_log
 from wayflux.sources.tables import (
-    LAKE_FORMAT, literal_table, read_jdbc, read_seed, read_table, stream_table, table_exists)
+    FILES_PER_BATCH, LAKE_FORMAT, literal_table, read_jdbc, read_seed, read_table, stream_table, table_exists)
 
-__all__ = ["LAKE_FORMAT", "file_log", "kafka_log", "literal_table", "read_jdbc", "read_seed",
+__all__ = ["FILES_PER_BATCH", "LAKE_FORMAT", "file_log", "kafka_log", "literal_table", "read_jdbc", "read_seed",
            "read_table", "stream_table", "table_exists"]

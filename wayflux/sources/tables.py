@@ -15,6 +15,10 @@ from pyspark.sql import types as T
 
 LAKE_FORMAT = "parquet"
 
+# Files a table stream takes in one batch.  Bounds the state update, and, as files arrive in time
+# order, the days a batch writes to.
+FILES_PER_BATCH = 1000
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str = LAKE_FORMAT) -> DataFrame:
@@ -37,16 +41,14 @@ def table_exists(spark: SparkSession, path: str, fmt: str = LAKE_FORMAT) -> bool
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = LAKE_FORMAT,
-                 max_files: int | None = None) -> DataFrame:
+                 max_files: int = FILES_PER_BATCH) -> DataFrame:
     """An append-only table as a stream: its whole history first, then what is added."""
     reader = spark.readStream.format(fmt)
     if fmt == "delta":
         reader = reader.option("startingVersion", 0)
     else:
         reader = reader.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    return reader.option("maxFilesPerTrigger", max_files).load(path)
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -71,8 +73,15 @@ def read_jdbc(spark: SparkSession, url: str, table: str, column: str | None = No
               bounds: tuple[str, str] | None = None, partitions: int = 1,
               **properties: str) -> DataFrame:
     """A warehouse table over JDBC, in ``partitions`` range scans over ``column`` if given."""
-    reader = spark.read.format("jdbc").options(url=url, dbtable=table, **properties)
+    options = jdbc_scan_options(url, table, column, bounds, partitions, **properties)
+    return spark.read.format("jdbc").options(**options).load()
+
+
+def jdbc_scan_options(url: str, table: str, column: str | None = None,
+                      bounds: tuple[str, str] | None = None, partitions: int = 1,
+                      **properties: str) -> dict[str, str]:
+    options = {"url": url, "dbtable": table, **properties}
     if column and bounds:
-        reader = reader.options(partitionColumn=column, lowerBound=bounds[0],
-                                upperBound=bounds[1], numPartitions=str(partitions))
-    return reader.load()
+        options.update(partitionColumn=column, lowerBound=bounds[0], upperBound=bounds[1],
+                       numPartitions=str(partitions))
+    return options

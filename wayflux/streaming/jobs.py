@@ -17,6 +17,10 @@ from wayflux.plans import gold as gold_plan
 from wayflux.plans import silver as silver_plan
 from wayflux.sinks import append_stream, append_table, overwrite_table
 from wayflux.sinks.tables import with_trigger
+from wayflux.sources import FILES_PER_BATCH
+
+# What the gold layer needs to know about new silver rows.
+_BATCH_MARKS = (schemas.EVENT_DATE, "city_zone", "road_id")
 
 
 def start_bronze(lake: Lake, log: DataFrame, available_now: bool = False,
@@ -27,7 +31,7 @@ def start_bronze(lake: Lake, log: DataFrame, available_now: bool = False,
 
 
 def start_silver(lake: Lake, as_of: Column | None = None, rules: SilverRules = SILVER_RULES,
-                 thin: bool = True, max_files: int | None = None, available_now: bool = False,
+                 thin: bool = True, max_files: int = FILES_PER_BATCH, available_now: bool = False,
                  interval: str | None = None) -> StreamingQuery:
     """Follow bronze.  One shuffle by event key; stored by day for the layers behind it."""
     rows = silver_plan.silver_stream(lake.stream(BRONZE, max_files), as_of, rules, thin)
@@ -51,14 +55,12 @@ def _add_members(lake: Lake, table: str, batch: DataFrame, member: str,
                  attributes: Mapping[str, MemberRule]) -> None:
     """Append the members a dimension does not have yet; repeating a batch adds nothing."""
     members = gold_plan.member_dimension(batch, member, attributes)
-    if lake.has(table):
-        members = members.join(lake.read(table).select(member), member, "left_anti")
-        members = members.persist()
-        if not members.isEmpty():
-            append_table(members, lake.path(table), lake.fmt)
-        members.unpersist()
-    else:
+    if not lake.has(table):
         overwrite_table(members, lake.path(table), fmt=lake.fmt)
+        return
+    members = members.join(lake.read(table).select(member), member, "left_anti")
+    if not members.isEmpty():
+        append_table(members, lake.path(table), lake.fmt)
 
 
 def refresh_star(lake: Lake, silver: DataFrame, batch: DataFrame,
@@ -67,22 +69,27 @@ def refresh_star(lake: Lake, silver: DataFrame, batch: DataFrame,
 
     Copies of a reading share its day, so only the days in the batch can change.  They are built
     again from all of silver for these days and replace them; running a batch twice is harmless.
+    The batch is read once, for its distinct days and members.
     """
-    day = schemas.EVENT_DATE
-    # At most one row per calendar day before tomorrow, so this is small whatever the batch.
-    days = F.broadcast(batch.select(day).distinct())
-    touched = silver.join(days, day, "left_semi")
+    marks = batch.select(*_BATCH_MARKS).distinct().persist()
+    day = F.col(schemas.EVENT_DATE)
+    # One value per calendar day, so the list is short whatever the batch holds.  As literals the
+    # days prune the partitions of silver; a join against them would scan all of it.
+    days = [row[0] for row in marks.select(day).where(day.isNotNull()).distinct().collect()]
+    touched = silver.where(day.isin(days))
     overwrite_table(gold_plan.fact_traffic(touched, rules), lake.path(FACT), PARTITIONS[FACT],
                     lake.fmt, touched_only=True, rebalance=True)
-    _add_members(lake, ZONE, batch, "city_zone", rules.zone)
-    _add_members(lake, ROAD, batch, "road_id", rules.road)
+    _add_members(lake, ZONE, marks, "city_zone", rules.zone)
+    _add_members(lake, ROAD, marks, "road_id", rules.road)
+    marks.unpersist()
 
 
 def start_gold(lake: Lake, incremental: bool = True, rules: StarRules = STAR_RULES,
                available_now: bool = True) -> StreamingQuery:
     """Follow silver; every batch with rows leaves a star that matches all of silver.
 
-    ``incremental=False`` rebuilds the whole star each time, as needed after a rule change.
+    ``incremental=False`` rebuilds the whole star each time, as needed after a rule change.  The
+    batch only tells what changed, so no other column of it is read.
     """
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -93,6 +100,7 @@ def start_gold(lake: Lake, incremental: bool = True, rules: StarRules = STAR_RUL
         else:
             rewrite_star(here, here.read(SILVER), rules)
 
-    writer = (lake.stream(SILVER).writeStream.outputMode("append").foreachBatch(on_batch)
+    marks = lake.stream(SILVER).select(*_BATCH_MARKS)
+    writer = (marks.writeStream.outputMode("append").foreachBatch(on_batch)
               .option("checkpointLocation", lake.checkpoint(FACT)))
     return with_trigger(writer, available_now).start()
