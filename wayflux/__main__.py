@@ -25,7 +25,7 @@ from wayflux.plans import contracts, reports, warehouse
 from wayflux.session import build_session
 from wayflux.sinks import (
     create_bi_views, create_database, create_mart_views, register_table, row_counts)
-from wayflux.sources import FILES_PER_BATCH, LAKE_FORMAT, file_log, kafka_log
+from wayflux.sources import LAKE_FORMAT, file_log, kafka_log
 from wayflux.streaming import start_bronze, start_gold, start_silver
 
 
@@ -167,7 +167,7 @@ def parser() -> argparse.ArgumentParser:
     stream = found.add_argument_group("streams")
     stream.add_argument("--available-now", action="store_true", help="drain and stop")
     stream.add_argument("--interval", help="time between batches, e.g. '30 seconds'")
-    stream.add_argument("--max-files", type=int, default=FILES_PER_BATCH, help="files per batch")
+    stream.add_argument("--max-files", type=int, help="files per batch of the silver stream")
     stream.add_argument("--shuffle-partitions", type=int)
     stream.add_argument("--rocksdb-state", action="store_true")
     stream.add_argument("--rebuild", action="store_true", help="rebuild gold as a whole")

@@ -15,10 +15,6 @@ from pyspark.sql import types as T
 
 LAKE_FORMAT = "parquet"
 
-# Files a table stream takes in one batch.  Bounds the state update, and, as files arrive in time
-# order, the days a batch writes to.
-FILES_PER_BATCH = 1000
-
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str = LAKE_FORMAT) -> DataFrame:
@@ -41,14 +37,20 @@ def table_exists(spark: SparkSession, path: str, fmt: str = LAKE_FORMAT) -> bool
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = LAKE_FORMAT,
-                 max_files: int = FILES_PER_BATCH) -> DataFrame:
-    """An append-only table as a stream: its whole history first, then what is added."""
+                 max_files: int | None = None) -> DataFrame:
+    """An append-only table as a stream: its whole history first, then what is added.
+
+    ``max_files`` bounds a batch.  Behind a watermark set it only where files arrive in event-time
+    order: a backlog cut otherwise makes rows late that one batch would keep.
+    """
     reader = spark.readStream.format(fmt)
     if fmt == "delta":
         reader = reader.option("startingVersion", 0)
     else:
         reader = reader.schema(schema)
-    return reader.option("maxFilesPerTrigger", max_files).load(path)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(path)
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
