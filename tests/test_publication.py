@@ -200,26 +200,36 @@ def test_literal_table_is_typed_and_small(spark):
     assert [f.dataType for f in places.schema] == [f.dataType for f in schemas.ZONE_POSITION]
 
 
-def test_work_paths_follow_the_session(spark, monkeypatch):
+def test_work_paths_follow_the_session(spark):
     assert work_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert work_path(spark, "x") != work_path(spark, "x")
 
-    class Conf:
-        def get(self, key, default=None):
-            return default
 
-    class Cluster:
-        conf = Conf()
 
-        class sparkContext:
-            master = "spark://somewhere:7077"
+class FakeSession:
+    """A session whose cluster names no shared folder."""
 
-            @staticmethod
-            def getCheckpointDir():
-                return None
+    def __init__(self, master):
+        self.master, self.folder, self.conf, self.sparkContext = master, None, self, self
 
+    def get(self, key, default=None):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_a_cluster_must_name_its_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Cluster)
+        shared_folder(FakeSession("spark://somewhere:7077"))
+
+
+def test_a_local_session_gets_one_folder():
+    session = FakeSession("local[2]")
+    assert shared_folder(session) == shared_folder(session) != ""
 
 
 def test_zone_is_pinned(spark):

@@ -71,9 +71,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR_SETTING} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="wayflux-")
-    spark.conf.set(CHECKPOINT_DIR_SETTING, folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wayflux-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def work_path(spark: SparkSession, label: str) -> str:
