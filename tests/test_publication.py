@@ -205,7 +205,6 @@ def test_work_paths_follow_the_session(spark):
     assert work_path(spark, "x") != work_path(spark, "x")
 
 
-
 class FakeSession:
     """A session whose cluster names no shared folder."""
 
