@@ -33,6 +33,7 @@ def only(df: DataFrame, **kinds: str) -> DataFrame:
         .alias(name) for name, kind in kinds.items()])
 
 
-def ascii_lower(text: str | Column) -> Column:
-    """A-Z only; other letters keep their case."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def ascii_lower(text: str) -> Column:
+    """A-Z only; other letters keep their case.  Texts of plain ASCII take the faster ``lower``."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(
+        F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))

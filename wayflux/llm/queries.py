@@ -4,21 +4,65 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wayflux.llm.common import table
+from wayflux.llm.decontaminate import contamination
+from wayflux.llm.mixing import document_rates
 from wayflux.llm.near_dup import NearDup, near_dup_groups
+from wayflux.llm.token_files import token_table
+from wayflux.llm.toxicity import learn, toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the installed vocabulary files have ``name``."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def _held_out() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+
+
+def training_rows() -> Column:
+    """Labels may be learnt only where the checksum of the id leaves a remainder by five."""
+    return ~_held_out()
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of the labels outside the held-out fifth."""
+    docs = table(spark, sf_dir, "documents")
+    model = learn(docs, table(spark, sf_dir, "labels"), usable=training_rows())
+    return toxicity_scores(docs, model).withColumn("held_out", _held_out())
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token files, read back."""
+    return token_table(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's cell of source, language and topic, its calibrated rate, and the draw."""
+    return document_rates(table(spark, sf_dir, "documents"))
+
+
 def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents that share 85 % of their three-word shingles."""
     return near_dup_groups(table(spark, sf_dir, "documents"), NearDup(shingle=3, least=85))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of ten words in all documents."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_near_dup,)}
+    return {f.__name__: f for f in (
+        op3_toxicity, op4_token_files, op6_mixing, op7_near_dup, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
