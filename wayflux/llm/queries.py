@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from wayflux.llm.common import table
 from wayflux.llm.decontaminate import contamination
+from wayflux.llm.fingerprints import edited_fingerprints
 from wayflux.llm.mixing import document_rates
 from wayflux.llm.near_dup import NearDup, near_dup_groups
+from wayflux.llm.secrets import secret_report
 from wayflux.llm.token_files import token_table
 from wayflux.llm.toxicity import learn, toxicity_scores
 
@@ -33,6 +35,11 @@ def training_rows() -> Column:
     return ~_held_out()
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup sketches of all documents, compared with their edited versions and with the next."""
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model of the labels outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents")
@@ -45,6 +52,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents by patterns and by entropy."""
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's cell of source, language and topic, its calibrated rate, and the draw."""
     return document_rates(table(spark, sf_dir, "documents"))
@@ -62,7 +74,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op3_toxicity, op4_token_files, op6_mixing, op7_near_dup, op10_decontaminate)}
+        op1_fingerprints, op3_toxicity, op4_token_files, op5_secrets, op6_mixing, op7_near_dup, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
