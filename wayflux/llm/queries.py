@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from wayflux.llm.common import table
 from wayflux.llm.decontaminate import contamination
 from wayflux.llm.fingerprints import edited_fingerprints
+from wayflux.llm.language import page_languages
 from wayflux.llm.mixing import document_rates
 from wayflux.llm.near_dup import NearDup, near_dup_groups
+from wayflux.llm.pseudonyms import Pseudonyms, pseudonym_report
+from wayflux.llm.reputation import Rule, path_of, url_verdicts
 from wayflux.llm.secrets import secret_report
 from wayflux.llm.token_files import token_table
 from wayflux.llm.toxicity import learn, toxicity_scores
@@ -40,6 +43,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all pages; likelihoods of texts are learnt from the documents."""
+    return page_languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model of the labels outside the held-out fifth."""
     docs = table(spark, sf_dir, "documents")
@@ -67,6 +75,33 @@ def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup_groups(table(spark, sf_dir, "documents"), NearDup(shingle=3, least=85))
 
 
+#: Rules by host and path; the longest that fits wins.
+URL_RULES = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"),
+             Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"),
+             Rule("block", "com", "/de/"))
+
+
+def _page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is bad when the document that its address names is labelled toxic or of low quality."""
+    named = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract(
+        path_of("url"), r"^/[a-z]{2}/([0-9]{1,18})", 1).try_cast("bigint").alias("doc_id"))
+    bad = (F.col("toxic") == 1) | (F.col("quality") == 0)
+    return named.join(table(spark, sf_dir, "labels"), "doc_id").select(
+        "page_id", F.coalesce(bad, F.lit(False)).cast("int").alias("bad"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all pages by rules, else by the reputation of their hosts."""
+    return url_verdicts(table(spark, sf_dir, "pages"), _page_outcomes(spark, sf_dir), URL_RULES)
+
+
+def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their personal numbers, dates and addresses replaced.  The key of a real
+    run comes from the setting ``spark.wayflux.pseudonym.key``."""
+    key = spark.conf.get("spark.wayflux.pseudonym.key", "key of the test tables")
+    return pseudonym_report(table(spark, sf_dir, "documents"), Pseudonyms(key.encode()))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of ten words in all documents."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -74,7 +109,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_fingerprints, op3_toxicity, op4_token_files, op5_secrets, op6_mixing, op7_near_dup, op10_decontaminate)}
+        op1_fingerprints, op2_language, op3_toxicity, op4_token_files, op5_secrets, op6_mixing,
+        op7_near_dup, op8_url_filter, op9_pseudonyms, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
