@@ -92,7 +92,8 @@ def _page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all pages by rules, else by the reputation of their hosts."""
-    return url_verdicts(table(spark, sf_dir, "pages"), _page_outcomes(spark, sf_dir), URL_RULES)
+    return url_verdicts(table(spark, sf_dir, "pages"), _page_outcomes(spark, sf_dir), URL_RULES).withColumns(
+        {c: F.round(c, 6) for c in ("mean", "lower")})
 
 
 def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,5 +114,72 @@ def queries() -> dict[str, Query]:
         op7_near_dup, op8_url_filter, op9_pseudonyms, op10_decontaminate)}
 
 
+#: Rates of bad outcomes are shrunk level by level; {strength} of a level is a query of one row.
+_STRENGTH = """(select case when count(*) < 2 or m.mean * (1 - m.mean) <= 0 or sum(n) * sum(n) <= sum(n * n) then 1000.0
+    when (sum(n * pow(bad * 1.0 / n - m.mean, 2)) - (count(*) - 1) * m.mean * (1 - m.mean)) <= 0 then 1000.0
+    else least(greatest(m.mean * (1 - m.mean) * (sum(n) - sum(n * n) * 1.0 / sum(n))
+        / (sum(n * pow(bad * 1.0 / n - m.mean, 2)) - (count(*) - 1) * m.mean * (1 - m.mean)) - 1, 1.0), 1000.0) end
+    from {level}, m where n > 0 group by m.mean)"""
+
+_OP8 = f"""
+with cut as (
+  select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) end as rest from pages),
+urls as (
+  select page_id, translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') as host,
+    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from cut),
+outcome as (
+  select page_id, max(case when toxic = 1 or quality = 0 then 1 else 0 end) as bad from urls join labels
+    on doc_id = try_cast(regexp_extract(path, '^/[a-z]{{2}}/([0-9]{{1,18}})', 1) as bigint) group by page_id),
+parts as (select page_id, host, string_split(regexp_extract(host, '^[^:]*'), '.') as labels from urls),
+hosts as (
+  select host, count(bad) as n, coalesce(sum(bad), 0) as bad, array_to_string(any_value(labels)[-2:], '.') as domain,
+    any_value(labels)[-1] as suffix from parts left join outcome using (page_id) group by host),
+domains as (select domain, sum(n) as n, sum(bad) as bad, any_value(suffix) as suffix from hosts group by domain),
+suffixes as (select suffix, sum(n) as n, sum(bad) as bad from hosts group by suffix),
+m as (select case when sum(n) > 0 then (sum(bad) + 0.5) / (sum(n) + 1) else 0.5 end as mean from hosts),
+k as (select coalesce({_STRENGTH.format(level='suffixes')}, 1000.0) as ks,
+  coalesce({_STRENGTH.format(level='domains')}, 1000.0) as kd, coalesce({_STRENGTH.format(level='hosts')}, 1000.0) as kh),
+s as (select suffix, (bad + ks * m.mean) / (n + ks) as mean from suffixes, k, m),
+d as (select domain, (domains.bad + kd * s.mean) / (domains.n + kd) as mean from domains join s using (suffix), k),
+h as (select host, (hosts.bad + kh * d.mean) / (hosts.n + kh) as mean, n, kh from hosts join d using (domain), k),
+rules(verdict, host, path) as (values ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+  ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fit as (
+  select page_id, arg_max(r.host || r.path, length(r.host || r.path)) as rule,
+    arg_max(verdict, length(r.host || r.path)) as verdict from urls u join rules r
+    on (u.host = r.host or ends_with(u.host, '.' || r.host)) and starts_with(u.path, r.path) group by page_id)
+select u.page_id, u.host, u.path, fit.rule, coalesce(fit.verdict, case when mean - 1.2816
+    * sqrt(mean * (1 - mean) / (n + kh + 1)) > 0.5 then 'block' else 'allow' end) as verdict,
+  round(mean, 6) as mean, round(mean - 1.2816 * sqrt(mean * (1 - mean) / (n + kh + 1)), 6) as lower
+from urls u left join fit using (page_id) left join h on h.host = u.host"""
+
+_OP10 = r"""
+with doc as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents),
+item as (
+  select item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from benchmark),
+spots as (
+  select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as k from item where len(w) > 0),
+windows as (select distinct item_id, list_slice(w, k, k + 9) as words from spots),
+sizes as (select distinct len(words) as size from windows),
+places as (
+  select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as k from doc, sizes where len(w) >= size),
+hits as (
+  select doc_id, k, size, item_id from places p join windows v on list_slice(p.w, k, k + size - 1) = v.words),
+found as (
+  select doc_id, count(distinct item_id) as n_items,
+    array_to_string(list_sort(list(distinct cast(item_id as varchar))), ',') as listed from hits group by doc_id),
+words as (
+  select doc_id, count(distinct place) as n_hit from (
+    select doc_id, unnest(range(k, k + size)) as place from hits) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(listed, '')) as items_sha256, n_hit is not null as contaminated
+from doc left join found using (doc_id) left join words using (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The operators that SQL can express; the others are tested against brute force."""
+    return {"op8_url_filter": _OP8, "op10_decontaminate": _OP10}

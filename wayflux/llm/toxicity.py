@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayflux.llm.common import only
+from wayflux.llm.common import only, stored
 
 _WORD = re.compile(r"[^\W_]+")
 _OPENING, _CLOSING = "\"“„«‹‘", "\"”“»›’"
@@ -33,12 +33,16 @@ N_FEATURES = 6
 @dataclass(frozen=True)
 class Toxicity:
     """``labelled``: bound on the labelled rows that are sampled, by a hash of their ids, to learn from.
-    ``terms``: bound on the lexicon.  ``confidence``: least lower bound of a term's log odds ratio.
+    ``terms``: bound on the lexicon.  ``support``: share of the toxic documents a term is in at least, so
+    that rare words stay out; ``contexts``: different words before it, for each of these documents, so
+    that words of one much copied text stay out.  ``confidence``: least lower bound of a term's log odds ratio.
     ``stem``: lengths of word beginnings that are tried as stems.  ``fuzzy_from``: shortest word that
     may be misspelled.  ``window``: words on each side of a match that are its context."""
 
     labelled: int = 20_000
     terms: int = 2_000
+    support: float = 0.01
+    contexts: float = 0.5
     confidence: float = 2.2
     stem: tuple[int, int] = (4, 6)
     fuzzy_from: int = 5
@@ -54,10 +58,13 @@ class Lexicon:
 
     def __init__(self, terms: dict[str, float], stems: dict[str, float], fuzzy_from: int) -> None:
         self._root: dict = {}
+        self._fuzzy: dict = {}
         self._fuzzy_from = fuzzy_from
-        for kind, entries in (("term", terms), ("stem", stems)):
+        long = {t: w for t, w in terms.items() if len(t) >= fuzzy_from}
+        for root, kind, entries in ((self._root, "term", terms), (self._root, "stem", stems),
+                                    (self._fuzzy, "term", long)):
             for word, weight in entries.items():
-                node = self._root
+                node = root
                 for letter in word:
                     node = node.setdefault(letter, {})
                 node[kind] = weight
@@ -92,40 +99,39 @@ class Lexicon:
     def _near(self, word: str) -> float | None:
         """The highest weight of a term one insertion, deletion, substitution or swap away.
 
-        The automaton's states are (letters of the word read, edits made, inside a swap); each trie edge
-        moves all of them at once, and a branch ends where none is left."""
-        n, best = len(word), None
-        todo = [(self._root, {(0, 0, False), (1, 1, False)}, 0)]
-        while todo:
-            node, states, depth = todo.pop()
-            if "term" in node and depth >= self._fuzzy_from - 1 and any(
-                    at == n and not swap for at, _, swap in states):
-                weight = node["term"]
-                best = weight if best is None or weight > best else best
+        The automaton of distance one has two kinds of states for each place in the word: no edit yet, and
+        one edit made.  In the first the trie is followed along the word and all edges leave it; in the second
+        only the word's own letters go on, so all such walks end soon."""
+        best, node = None, self._fuzzy
+        for at in range(len(word) + 1):
+            here = word[at] if at < len(word) else None
+            rest, swapped = word[at + 1:], word[at + 1:at + 2]
+            ends = [_end(node, rest)] if here is not None else []  # a letter too many in the word
             for letter, below in node.items():
-                if len(letter) > 1:
+                if letter == "term":
                     continue
-                new = set()
-                for at, edits, swap in states:
-                    if swap:
-                        if word[at] == letter:
-                            new.add((at + 2, 1, False))
-                        continue
-                    if at < n and word[at] == letter:
-                        new.add((at + 1, edits, False))
-                        if edits == 0 and at + 1 < n:
-                            new.add((at + 2, 1, False))
-                    if edits == 0:
-                        new.add((at, 1, False))
-                        if at < n:
-                            new.add((at + 1, 1, False))
-                        if at + 1 < n and word[at + 1] == letter:
-                            new.add((at, 1, True))
-                if new:
-                    todo.append((below, new, depth + 1))
+                if here is not None and letter != here:
+                    ends.append(_end(below, rest))  # another letter
+                    if letter == swapped and here in below:
+                        ends.append(_end(below[here], word[at + 2:]))
+                ends.append(_end(below, word[at:]))  # a letter missing in the word
+            for weight in ends:
+                if weight is not None and (best is None or weight > best):
+                    best = weight
+            node = node.get(here) if here is not None else None
+            if node is None:
+                break
         return best
 
 
+def _end(node: dict, rest: str) -> float | None:
+    for letter in rest:
+        node = node.get(letter)
+        if node is None:
+            return None
+    return node.get("term")
+
+
 def features(text: str | None, lexicon: Lexicon, rule: Toxicity) -> list[float]:
     """Counts by kind (log), the highest weight of an unquoted match, and matches for each word."""
     counts, top, n_hits = [0, 0, 0, 0], 0.0, 0
@@ -176,6 +182,29 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
     return w
 
 
+def _in_many_contexts(toxic: DataFrame, terms: list[str], stems: list[str],
+                      rule: Toxicity) -> set[tuple[str, str]]:
+    """Of the candidates (bounded lists), those that follow many different words.  What only much copied
+    texts have in common always follows the same one."""
+    rows = [("term", t, t) for t in terms] + [("stem", s, s) for s in stems]
+    if not rows:
+        return set()
+    known = F.broadcast(toxic.sparkSession.createDataFrame(rows, "kind string, entry string, head string"))
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    low, high = rule.stem
+    heads = F.expr(f"concat(array(named_struct('kind', 'term', 'head', word)), transform(filter("
+                   f"sequence({low}, {high}), k -> k < length(word)), "
+                   f"k -> named_struct('kind', 'stem', 'head', left(word, k))))")
+    seen = (toxic.select(F.monotonically_increasing_id().alias("doc"), words.alias("words"))
+            .select("doc", "words", F.posexplode("words").alias("pos", "word"))
+            .select("doc", F.get("words", F.col("pos") - 1).alias("before"), F.explode(heads).alias("h"))
+            .select("doc", "before", "h.kind", "h.head").join(known, ["kind", "head"]))
+    found = seen.groupBy("kind", "entry").agg(
+        F.countDistinct("before").alias("contexts"), F.countDistinct("doc").alias("docs")).where(
+        f"contexts >= greatest(3, {rule.contexts} * docs)")
+    return {(r["kind"], r["entry"]) for r in found.collect()}
+
+
 @dataclass(frozen=True)
 class Model:
     terms: dict[str, float]
@@ -200,7 +229,8 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Toxicity = Toxicity(),
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rule.labelled))
     sample = F.broadcast(docs.sparkSession.createDataFrame(
         [tuple(r) for r in sample.collect()], "doc_id bigint, toxic int"))
-    texts = only(docs, doc_id="bigint", text="string").join(sample, "doc_id").where("text is not null")
+    texts = stored(only(docs, doc_id="bigint", text="string").join(sample, "doc_id")
+                   .where("text is not null").select("toxic", "text"), "labelled")
     totals = dict(texts.groupBy("toxic").count().collect())
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     if not n_toxic or not n_clean:
@@ -209,7 +239,9 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Toxicity = Toxicity(),
         F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))).alias("word"))
     counts = words.groupBy("word").agg(
         F.sum("toxic").alias("p"), (F.count(F.lit(1)) - F.sum("toxic")).alias("n"))
-    lean = f"p >= 2 and p * {n_clean} > 4 * n * {n_toxic}"
+    counts = stored(counts, "word-counts")
+    support = max(3, math.ceil(rule.support * n_toxic))
+    lean = f"p >= {support} and p * {n_clean} > 4 * n * {n_toxic}"
     low, high = rule.stem
     stem_counts = counts.select("p", "n", F.explode(F.expr(
         f"transform(filter(sequence({low}, {high}), k -> k < length(word)), k -> left(word, k))"))
@@ -226,7 +258,11 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Toxicity = Toxicity(),
 
     terms = chosen(counts, "length(word) >= 3")
     stems = chosen(stem_counts, "forms >= 3")
+    varied = _in_many_contexts(texts.where("toxic = 1"), [*terms], [*stems], rule)
+    stems = {s: w for s, w in stems.items() if ("stem", s) in varied}
     stems = {s: w for s, w in stems.items() if not any(s[:k] in stems for k in range(low, len(s)))}
+    terms = {t: w for t, w in terms.items()
+             if ("term", t) in varied and not any(t[:k] in stems for k in range(low, len(t)))}
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(terms, stems, rule.fuzzy_from)
