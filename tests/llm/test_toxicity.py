@@ -1,0 +1,87 @@
+import zlib
+
+from wayflux.llm.common import table
+from wayflux.llm.queries import op3_toxicity
+from wayflux.llm.toxicity import Lexicon, Toxicity, drop_toxic, features, learn, toxicity_scores
+
+
+def one_edit(a, b):
+    if a == b:
+        return True
+    swaps = {a[:k] + a[k + 1] + a[k] + a[k + 2:] for k in range(len(a) - 1)}
+    if b in swaps:
+        return True
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) - len(short) == 1 and any(long[:k] + long[k + 1:] == short for k in range(len(long)))
+
+
+def test_automaton_against_brute_force():
+    terms = ["idiot", "stupid", "trash", "worthless", "scum", "abba"]
+    lexicon = Lexicon({t: 1.0 for t in terms}, {"lowei": 2.0}, 5)
+    letters = "abdehilmoprstuxz"
+    words = set(terms)
+    for t in terms:
+        for k in range(len(t) + 1):
+            words |= {t[:k] + t[k + 1:], t[:k] + t[k + 2:]}
+            for c in letters:
+                words |= {t[:k] + c + t[k:], t[:k] + c + t[k + 1:], t[:k] + c + t[k:] + c, t[1:k] + c + t[k + 1:]}
+        words |= {t[:k] + t[k + 1] + t[k] + t[k + 2:] for k in range(len(t) - 1)}
+    for w in words - {""}:
+        found = lexicon.match(w)
+        if w in terms:
+            assert found == (0, 1.0)
+        else:
+            near = len(w) >= 5 and any(one_edit(t, w) for t in terms if len(t) >= 5)
+            assert (found is not None) == near, w
+    assert lexicon.match("loweibung") == (2, 2.0) and lexicon.match("lowe") is None
+
+
+def test_context_window_separates_quotation():
+    lexicon, rule = Lexicon({"idiot": 3.0}, {}, 5), Toxicity()
+    direct = features("you are an idiot and that is all", lexicon, rule)
+    assert direct[0] > 0 and direct[3] == 0
+    for text in ("the word “idiot” has a long history", "she said that idiot was the word", 'he wrote "you idiot" there'):
+        quoted = features(text, lexicon, rule)
+        assert quoted[0] == 0 and quoted[3] > 0
+    assert features("an 1diot here", lexicon, rule)[1] > 0
+    assert features(None, lexicon, rule) == features("", lexicon, rule) == features("clean", lexicon, rule)
+
+
+def test_held_out_documents(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    rows = {r.doc_id: r for r in op3_toxicity(spark, sf_dir).collect()}
+    labels = {r.doc_id: r.toxic for r in table(spark, sf_dir, "labels").collect()}
+    held = {i: y for i, y in labels.items() if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in rows.items())
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows.values())
+    caught = sum(rows[i].predicted for i, y in held.items() if y)
+    assert caught >= 0.8 * sum(held.values())
+    assert sum(rows[i].predicted for i, y in held.items() if not y) == 0
+
+
+def test_labels_in_the_held_out_part_change_nothing(spark):
+    from wayflux.llm.queries import training_rows
+
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    labels = table(spark, "/root/testdata/sf0.01", "labels")
+    flipped = labels.selectExpr("doc_id", "quality", "if(crc32(cast(doc_id as string)) % 5 = 0, 1 - toxic, toxic) as toxic")
+    assert learn(docs, labels, usable=training_rows()) == learn(docs, flipped, usable=training_rows())
+
+
+def test_odd_rows(spark, odd, none):
+    docs = spark.createDataFrame([(100 + k, "you vile scoundrel" if k % 2 else "a fine day") for k in range(60)],
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(100 + k, k % 2) for k in range(60)] + [(None, 1), (101, None), (9999, 1)],
+                                   "doc_id bigint, toxic int")
+    model = learn(docs, labels)
+    assert "scoundrel" in model.terms
+    rows = toxicity_scores(odd, model).collect()
+    assert len(rows) == odd.count() and not any(r.predicted for r in rows)
+    assert drop_toxic(odd, model).columns == odd.columns and drop_toxic(odd, model).count() == odd.count()
+    assert [r.predicted for r in toxicity_scores(docs, model).orderBy("doc_id").collect()] == [k % 2 for k in range(60)]
+    assert drop_toxic(docs, model).count() == 30
+    assert toxicity_scores(none, model).count() == 0
+    empty = learn(docs, labels.limit(0))
+    assert not any(r.predicted for r in toxicity_scores(docs, empty).collect())
