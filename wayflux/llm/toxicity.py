@@ -34,7 +34,7 @@ N_FEATURES = 6
 class Toxicity:
     """``labelled``: bound on the labelled rows that are sampled, by a hash of their ids, to learn from.
     ``terms``: bound on the lexicon.  ``support``: share of the toxic documents a term is in at least, so
-    that rare words stay out; ``contexts``: different words before it, for each of these documents, so
+    that rare words stay out; ``contexts``: different words before it, for each time it occurs, so
     that words of one much copied text stay out.  ``confidence``: least lower bound of a term's log odds ratio.
     ``stem``: lengths of word beginnings that are tried as stems.  ``fuzzy_from``: shortest word that
     may be misspelled.  ``window``: words on each side of a match that are its context."""
@@ -42,7 +42,7 @@ class Toxicity:
     labelled: int = 20_000
     terms: int = 2_000
     support: float = 0.01
-    contexts: float = 0.5
+    contexts: float = 0.25
     confidence: float = 2.2
     stem: tuple[int, int] = (4, 6)
     fuzzy_from: int = 5
@@ -190,18 +190,19 @@ def _in_many_contexts(toxic: DataFrame, terms: list[str], stems: list[str],
     if not rows:
         return set()
     known = F.broadcast(toxic.sparkSession.createDataFrame(rows, "kind string, entry string, head string"))
-    words = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     low, high = rule.stem
     heads = F.expr(f"concat(array(named_struct('kind', 'term', 'head', word)), transform(filter("
                    f"sequence({low}, {high}), k -> k < length(word)), "
                    f"k -> named_struct('kind', 'stem', 'head', left(word, k))))")
-    seen = (toxic.select(F.monotonically_increasing_id().alias("doc"), words.alias("words"))
-            .select("doc", "words", F.posexplode("words").alias("pos", "word"))
-            .select("doc", F.get("words", F.col("pos") - 1).alias("before"), F.explode(heads).alias("h"))
-            .select("doc", "before", "h.kind", "h.head").join(known, ["kind", "head"]))
+    words = toxic.select(F.regexp_extract_all(
+        F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("words"))
+    pairs = words.select(F.inline(F.arrays_zip(
+        F.col("words").alias("word"), F.concat(F.array(F.lit("")), F.col("words")).alias("before"))))
+    seen = (pairs.where("word is not null").select("before", F.inline(heads))
+            .join(known, ["kind", "head"]).groupBy("kind", "entry", "before").count())
     found = seen.groupBy("kind", "entry").agg(
-        F.countDistinct("before").alias("contexts"), F.countDistinct("doc").alias("docs")).where(
-        f"contexts >= greatest(3, {rule.contexts} * docs)")
+        F.count(F.lit(1)).alias("contexts"), F.sum("count").alias("times")).where(
+        f"contexts >= greatest(3, {rule.contexts} * times)")
     return {(r["kind"], r["entry"]) for r in found.collect()}
 
 
