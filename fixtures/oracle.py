@@ -21,6 +21,7 @@ _RAW_JSON = "'{' || concat_ws(',', " + ", ".join(
         "vehicle_id", "road_id", "city_zone", "speed", "congestion_level", "weather",
         "event_time", "note", "road_condition")) + ") || '}'"
 
+# Fixed values from here on: attributes of members and positions of zones.
 _DIM_ZONE = """
   select city_zone,
     case city_zone when 'CBD' then 'Commercial' when 'TECHPARK' then 'IT HUB'
@@ -106,6 +107,10 @@ _ZONE_SUMMARY = (f"select city_zone, zone_type, traffic_risk, lat, lon, {_TRAFFI
                  " from frame group by all")
 _ROAD_SUMMARY = f"select road_id, road_type, {_TRAFFIC_1DP} from frame group by all"
 _FOCUS = "city_zone = (select min(city_zone) from frame)"
+_KPIS = """select count(*) events, avg(speed_int) avg_speed, avg(congestion_level) avg_congestion,
+  avg(case when peak_flag = 1 then 1.0::double else 0.0 end) * 100 peak_share,
+  avg(case when traffic_risk = 'HIGH' then 1.0::double else 0.0 end) * 100 high_risk_share from frame"""
+_ROAD_MIX = f"select road_id, road_type, {_TRAFFIC} from frame where {_FOCUS} group by all"
 _FILTER_OPTIONS = """
   select distinct * from (
     select 'city_zone' "column", city_zone "option" from frame
@@ -236,6 +241,13 @@ left join region on n_regionkey = r_regionkey
 group by all"""
 
 
+_LOOSE = """
+with n as (select event_id, case when event_id % 3 = 0 then floor(cast(value as double))
+  else cast(value as double) end v from events)
+select event_id, case when v = floor(v) then cast(v as integer) end as_text,
+  case when v = floor(v) then cast(v as integer) end as_double from n"""
+
+
 def oracle_sql() -> dict[str, str]:
     queries = {
         "bronze_parse": _with("select * from bronze"),
@@ -271,11 +283,9 @@ def oracle_sql() -> dict[str, str]:
         "filter_options_gaps": _with(_FILTER_OPTIONS, gaps=True),
         "report_filtered": _with(f"select * from frame where {_SELECTED}"),
         "report_filtered_gaps": _with(f"select * from frame where {_SELECTED}", gaps=True),
-        "kpi_overview": _with("""select count(*) events, avg(speed_int) avg_speed,
-            avg(congestion_level) avg_congestion,
-            avg(case when peak_flag = 1 then 1.0::double else 0.0 end) * 100 peak_share,
-            avg(case when traffic_risk = 'HIGH' then 1.0::double else 0.0 end) * 100
-              high_risk_share from frame"""),
+        "report_since": _with("select * from frame where date >= date '2024-01-12'"),
+        "kpi_overview": _with(_KPIS),
+        "kpi_overview_gaps": _with(_KPIS, gaps=True),
         "zone_summary": _with(_ZONE_SUMMARY),
         "zone_summary_gaps": _with(_ZONE_SUMMARY, gaps=True),
         "map_markers": _with(f"""select *, greatest(events, 1) * 350 radius,
@@ -299,18 +309,29 @@ def oracle_sql() -> dict[str, str]:
             congestion_level, weather, traffic_risk, peak_label from frame"""),
         "zone_kpis": _with("select count(*) events, avg(speed_int) avg_speed,"
                            f" avg(congestion_level) avg_congestion from frame where {_FOCUS}"),
-        "zone_road_mix": _with(f"select road_id, road_type, {_TRAFFIC} from frame where {_FOCUS}"
-                               " group by all"),
+        "zone_road_mix": _with(_ROAD_MIX),
+        "zone_road_mix_gaps": _with(_ROAD_MIX, gaps=True),
         "zone_weather_mix": _with(f"select weather, {_TRAFFIC} from frame where {_FOCUS}"
                                   " group by all"),
         "zone_hourly": _with(f"select hour, count(*) events from frame where {_FOCUS}"
                              " group by all"),
         "zone_road_matrix": _with("select city_zone, road_id, count(*) events from frame"
                                   " group by all"),
-        "road_leaderboard": _with(f"select road_id, road_type, {_TRAFFIC} from frame"
-                                  f" where {_FOCUS} group by all"),
+        "road_leaderboard": _with(_ROAD_MIX),
         "seed_marts": _with("select * from fct"),
         "scale_star": _SCALE_STAR,
+        "nation_top10": f"select * from ({_SCALE_STAR}) order by events desc, nation, priority limit 10",
+        "gold_rebuild_fact": _with("select * from gold_fact"),
+        "publish_incremental": _with("select * from fct"),
+        "publish_normalise_loose": _LOOSE,
+        "staging_roundtrip_fact": _with(f"select {_FACT} from gold_fact"),
+        "staging_roundtrip_zone": _with("select * from gold_zone"),
+        "staging_roundtrip_road": _with("select * from gold_road"),
+        "full_chain_marts": _with("select * from fct"),
+        "full_chain_checks": _check_query(_KINDS, broken=False),
+        "mart_metadata": " union all ".join(
+            f"select '{m}' model, '{c}' column_name, {str(c == 'vehicle_id').lower()} pii"
+            for m, columns in _MODELS.items() for c in columns),
     }
     for kind, key in zip(_KINDS, ("dq_unique", "dq_not_null", "dq_accepted_values",
                                   "dq_relationships")):

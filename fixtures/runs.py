@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fixtures import traffic
 from fixtures.layers import Layers, layers
@@ -29,6 +30,9 @@ SELECTION = reports.Selection(
     roads=["R100", "R300"], weather=["RAIN", "UNKNOWN"], peak=["Off-Peak", "Unknown"])
 
 
+SINCE = reports.Selection(dates=(date(2024, 1, 12), None))
+
+
 # ---- layers -------------------------------------------------------------------------------------
 
 def bronze_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +120,7 @@ def gold_stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver arrives in two parts that share their days; gold follows after each."""
     stored = layers(spark, sf_dir).silver()
     lake = Lake(spark, work_path(spark, "gold-stream"))
-    early = F.col("congestion_level") % 2 == 0
+    early = F.coalesce(F.col("congestion_level") % 2 == 0, F.lit(False))
     for part in (stored.where(early), stored.where(~early)):
         (part.hint("rebalance", schemas.EVENT_DATE).write.mode("append")
          .partitionBy(schemas.EVENT_DATE).parquet(lake.path(SILVER)))
@@ -124,6 +128,28 @@ def gold_stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read(FACT)
 
 
+def gold_rebuild_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as a whole rebuild of the star writes it."""
+    here = layers(spark, sf_dir)
+    here.silver()
+    lake = Lake(spark, work_path(spark, "gold-stream"), elsewhere={SILVER: here.lake.path(SILVER)})
+    start_gold(lake, incremental=False).awaitTermination()
+    return lake.read(FACT)
+
+
+def publish_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver arrives in two parts that share their days; gold and publication follow each."""
+    stored = layers(spark, sf_dir).silver()
+    lake = Lake(spark, work_path(spark, "publish-stream"))
+    early = F.coalesce(F.col("congestion_level") % 2 == 0, F.lit(False))
+    for part in (stored.where(early), stored.where(~early)):
+        (part.hint("rebalance", schemas.EVENT_DATE).write.mode("append")
+         .partitionBy(schemas.EVENT_DATE).parquet(lake.path(SILVER)))
+        start_gold(lake, incremental=True).awaitTermination()
+        publish.start_publish(lake).awaitTermination()
+    return lake.read(warehouse.EVENTS)
+
+
 def mart_dim_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.dim_locations(layers(spark, sf_dir).staging())
 
@@ -150,6 +176,27 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts(lake.staging())
 
 
+def _staging_table(name: str) -> Query:
+    """A staging table after two loads."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lake = Lake(spark, work_path(spark, "staging"))
+        for _ in range(2):
+            publish.load_staging(layers(spark, sf_dir).gold(), publish.lake_writer(lake))
+        return lake.staging()[name]
+    return query
+
+
+def publish_normalise_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers among the values of all events, stored as text and as doubles."""
+    value = F.col("value").cast("double")
+    value = F.when(F.col("event_id") % 3 == 0, F.floor(value).cast("double")).otherwise(value)
+    loose = traffic.table(spark, sf_dir, "events").select(
+        "event_id", value.cast("string").alias("as_text"), value.alias("as_double"))
+    contract = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("as_text", T.IntegerType()),
+                             T.StructField("as_double", T.IntegerType())])
+    return staging.normalise(loose, contract)
+
+
 def _bi_catalog(spark: SparkSession, sf_dir: str) -> str:
     here = layers(spark, sf_dir)
     here.gold()
@@ -187,6 +234,26 @@ def full_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.run_chain(lake, log, traffic.as_of()).counts
 
 
+def full_chain_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events mart at the end of the chain."""
+    lake = Lake(spark, work_path(spark, "chain"))
+    publish.run_chain(lake, file_log(spark, layers(spark, sf_dir).messages()), traffic.as_of())
+    return lake.read(warehouse.EVENTS)
+
+
+def full_chain_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check report that the chain stores."""
+    lake = Lake(spark, work_path(spark, "chain"))
+    return publish.run_chain(lake, file_log(spark, layers(spark, sf_dir).messages()), traffic.as_of()).checks
+
+
+def mart_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal-data flags as the stored marts carry them."""
+    here = layers(spark, sf_dir)
+    here.marts()
+    return contracts.stored_register(spark, {c.name: here.lake.path(c.name) for c in contracts.CONTRACTS})
+
+
 # ---- reports ------------------------------------------------------------------------------------
 
 def _frame(here: Layers, selection: reports.Selection | None = None) -> DataFrame:
@@ -212,13 +279,23 @@ def _on_star(report: Callable[..., DataFrame], gaps: bool = False) -> Query:
     return lambda spark, sf_dir: report(*layers(spark, sf_dir, gaps).star_views())
 
 
-def _on_focus(report: Callable[[DataFrame], DataFrame]) -> Query:
+def _on_focus(report: Callable[[DataFrame, DataFrame], DataFrame], gaps: bool = False) -> Query:
+    """A report on the fact of the default zone, with the road dimension for those that show it."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        frame = _frame(layers(spark, sf_dir))
-        return report(reports.focus(frame, reports.default_zone(frame)))
+        fact, zones, roads = layers(spark, sf_dir, gaps).star_views()
+        return report(reports.focus(fact, reports.default_zone(zones)), roads)
     return query
 
 
+def _zone_events(report: Callable[[DataFrame], DataFrame]) -> Query:
+    return _on_focus(lambda fact, roads: report(reports.report_events(fact)))
+
+
+def nation_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nations and priorities with most order lines."""
+    return scale_star(spark, sf_dir).orderBy(F.desc("events"), "nation", "priority").limit(10)
+
+
 def _whole(frame: DataFrame) -> DataFrame:
     return frame
 
@@ -296,7 +373,10 @@ def queries() -> dict[str, Query]:
         "filter_options_gaps": _on_events(reports.filter_options, gaps=True),
         "report_filtered": _on_frame(_whole, selection=SELECTION),
         "report_filtered_gaps": _on_frame(_whole, gaps=True, selection=SELECTION),
-        "kpi_overview": _on_frame(reports.kpi_overview),
+        "report_since": _on_frame(_whole, selection=SINCE),
+        "kpi_overview": _on_star(lambda fact, zones, roads: reports.kpi_overview_of(fact, zones)),
+        "kpi_overview_gaps": _on_star(
+            lambda fact, zones, roads: reports.kpi_overview_of(fact, zones), gaps=True),
         "zone_summary": _on_star(reports.zone_summary),
         "zone_summary_gaps": _on_star(reports.zone_summary, gaps=True),
         "map_markers": _on_star(lambda *star: reports.map_markers(reports.zone_summary(*star))),
@@ -310,18 +390,29 @@ def queries() -> dict[str, Query]:
         "weather_impact_gaps": _on_events(reports.weather_impact, gaps=True),
         "speed_mix": _on_events(reports.speed_mix),
         "feed": _on_frame(reports.feed),
-        "zone_kpis": _on_focus(reports.zone_kpis),
-        "zone_road_mix": _on_focus(reports.zone_road_mix),
-        "zone_weather_mix": _on_focus(reports.zone_weather_mix),
-        "zone_hourly": _on_focus(reports.zone_hourly),
+        "zone_kpis": _zone_events(reports.zone_kpis),
+        "zone_road_mix": _on_focus(reports.zone_road_mix_of),
+        "zone_road_mix_gaps": _on_focus(reports.zone_road_mix_of, gaps=True),
+        "zone_weather_mix": _zone_events(reports.zone_weather_mix),
+        "zone_hourly": _zone_events(reports.zone_hourly),
         "zone_road_matrix": _on_events(reports.zone_road_matrix),
         "road_leaderboard": _on_focus(
-            lambda frame: reports.road_leaderboard(reports.zone_road_mix(frame))),
+            lambda *star: reports.road_leaderboard(reports.zone_road_mix_of(*star))),
         "dq_report": _on_models(contracts.check_report),
         "dq_report_broken": _on_models(contracts.check_report, broken=True),
         "dq_samples_broken": _on_models(contracts.failure_samples, broken=True),
         "seed_marts": seed_marts,
         "full_chain": full_chain,
+        "full_chain_marts": full_chain_marts,
+        "full_chain_checks": full_chain_checks,
+        "gold_rebuild_fact": gold_rebuild_fact,
+        "publish_incremental": publish_incremental,
+        "publish_normalise_loose": publish_normalise_loose,
+        "staging_roundtrip_fact": _staging_table(staging.STG_FACT),
+        "staging_roundtrip_zone": _staging_table(staging.STG_ZONE),
+        "staging_roundtrip_road": _staging_table(staging.STG_ROAD),
+        "mart_metadata": mart_metadata,
+        "nation_top10": nation_top10,
         "scale_star": scale_star,
     }
     for key, check in (("dq_unique", contracts.unique_checks),

@@ -14,7 +14,7 @@ from wayflux.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     session = build_session(
-        "wayflux-tests", "local[4]", 4, **{
+        "wayflux-tests", "local[4]", 4, rocksdb_state=False, **{
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": str(base / "warehouse"),

@@ -9,7 +9,7 @@ from helpers import values
 from wayflux import domain
 from wayflux.functions import (
     band, clip, first_match, flag, half_even, lenient_int, lenient_timestamp, lookup,
-    surrogate_key)
+    surrogate_key, whole_number)
 
 
 def apply(spark, column, inputs, kind):
@@ -88,3 +88,11 @@ def test_surrogate_key(spark):
     digest = lambda text: hashlib.md5(text.encode()).hexdigest()
     assert got == sorted([(digest("CBD|R100"), digest("CBD|2024-01-01 08:00:00")),
                           (None, digest("CBD|2024-01-01 08:00:00.12"))], key=repr)
+
+
+@pytest.mark.parametrize("kind, inputs, numbers", [
+    ("DOUBLE", [12.0, 12.5, -3.0, 1e10, float("nan"), None], [12, None, -3, None, None, None]),
+    ("STRING", ["12", "12.0", "12.5", "1e2", "99999999999", "x", "", None],
+     [12, 12, None, 100, None, None, None, None])])
+def test_whole_number(spark, kind, inputs, numbers):
+    assert apply(spark, whole_number, inputs, kind) == numbers

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from helpers import bronze_rows, envelope, event, files, values
 from wayflux import __main__ as cli
-from wayflux import publish, schemas
+from wayflux import publish, schemas, session
 from wayflux.lake import BRONZE, FACT, PARTITIONS, ROAD, SILVER, ZONE, Lake
-from wayflux.plans import reports, silver, staging, warehouse
+from wayflux.plans import contracts, reports, silver, staging, warehouse
 from wayflux.session import pin_zone, shared_folder, work_path
 from wayflux.sinks import (
     append_table, create_bi_views, create_database, create_mart_views, overwrite_table,
@@ -17,7 +17,7 @@ from wayflux.sinks import (
 from wayflux.sinks.jdbc import jdbc_options
 from wayflux.sources import file_log, literal_table
 from wayflux.sources.tables import jdbc_scan_options
-from wayflux.streaming import rewrite_star
+from wayflux.streaming import rewrite_star, start_gold
 
 
 def as_of():
@@ -240,3 +240,114 @@ def test_lake_tables_elsewhere(spark, lake):
     build(lake)
     other = Lake(spark, lake.root + "-other", elsewhere={SILVER: lake.path(SILVER)})
     assert other.read(SILVER).count() == 3 and not other.has(FACT)
+
+
+def deliver(lake, rows):
+    """More rows of silver, with gold and publication behind them."""
+    clean = silver.silver(bronze_rows(lake.spark, rows), as_of())
+    silver.with_event_date(clean).write.mode("append").partitionBy(*PARTITIONS[SILVER]).parquet(lake.path(SILVER))
+    start_gold(lake).awaitTermination()
+    publish.start_publish(lake).awaitTermination()
+
+
+def test_publication_rewrites_touched_days_only(spark, lake):
+    deliver(lake, ROWS)
+    tables = (staging.STG_FACT, warehouse.EVENTS)
+    untouched = {t: files(lake.read(t).where("date = '2024-01-01'")) for t in tables}
+    deliver(lake, [event("V7", "2024-01-02 08:00:00", city_zone="AIRPORT")])
+    for t in tables:
+        assert files(lake.read(t).where("date = '2024-01-01'")) == untouched[t] and lake.read(t).count() == 4
+    publish.publish_days(lake, [date(2024, 1, 2)])  # repeated
+    grown = {name: values(df) for name, df in lake.marts().items()}
+    publish.load_staging(lake.gold(), publish.lake_writer(lake))
+    publish.build_marts(lake)
+    assert {name: values(df) for name, df in lake.marts().items()} == grown
+    assert lake.read(warehouse.LOCATIONS).count() == 3
+
+
+def test_violation_in_touched_days_replaces_nothing(spark, lake):
+    deliver(lake, ROWS)
+    deliver_error = [event("V8", "2024-01-03 08:00:00", road_id=None)]
+    clean = silver.silver(bronze_rows(spark, deliver_error), as_of())
+    silver.with_event_date(clean).write.mode("append").partitionBy(*PARTITIONS[SILVER]).parquet(lake.path(SILVER))
+    start_gold(lake).awaitTermination()
+    with pytest.raises(staging.ConstraintViolation):
+        publish.publish_days(lake, [date(2024, 1, 3)])
+    assert lake.read(staging.STG_FACT).count() == lake.read(warehouse.EVENTS).count() == 3
+
+
+def test_chain_stops_on_a_failed_check(spark, lake, tmp_path, capsys, monkeypatch):
+    log = str(tmp_path / "log")
+    append_table(envelope(spark, [*ROWS, event("V9", weather="HAIL")]), log)
+    with pytest.raises(publish.ChecksFailed, match="fct_traffic_events.weather accepted_values: 1"):
+        publish.run_chain(lake, file_log(spark, log), as_of())
+    result = publish.run_chain(lake, file_log(spark, log), as_of(), stop_on_failure=False)
+    assert result.checks.where("status = 'fail'").count() == 1
+    monkeypatch.setattr(cli, "build_session", lambda *args, **kwargs: spark)
+    with pytest.raises(SystemExit) as stopped:
+        cli.main(["chain", "--lake", lake.root, "--messages", log])
+    assert stopped.value.code == 1 and "HAIL" not in capsys.readouterr().out
+
+
+def test_results_are_whole_or_said_to_be_partial(spark, lake, tmp_path, capsys, monkeypatch):
+    monkeypatch.setattr(cli, "build_session", lambda *args, **kwargs: spark)
+    build(lake, [event(f"V{i}", f"2024-01-0{1 + i % 3} 10:00:00") for i in range(150)])
+    publish.load_staging(lake.gold(), publish.lake_writer(lake))
+    publish.build_marts(lake)
+    out = str(tmp_path / "feed")
+    feed = ["report", "--lake", lake.root, "--name", "feed"]
+    cli.main([*feed, "--out", out])
+    assert spark.read.parquet(out).count() == 150
+    cli.main(feed)
+    assert "only the first 100 rows" in capsys.readouterr().out
+    cli.main([*feed, "--rows", "150"])
+    shown = capsys.readouterr().out
+    assert "only the first" not in shown and "V149" in shown
+    kpis = ["report", "--lake", lake.root, "--name", "kpi_overview", "--out", out]
+    for bound, events in ((["--date-from", "2024-01-02"], 100), (["--date-to", "2024-01-01"], 50)):
+        cli.main([*kpis, *bound])
+        assert spark.read.parquet(out).first().events == events
+
+
+@pytest.mark.parametrize("arguments", [
+    ["report"], ["bronze"], ["chain"], ["bronze", "--kafka", "h:1", "--kafka-option", "oops"]])
+def test_argument_errors(arguments, capsys):
+    with pytest.raises(SystemExit) as stopped:
+        cli.main([arguments[0], "--lake", "/nowhere", *arguments[1:]])
+    assert stopped.value.code == 2
+
+
+def test_marts_carry_their_flags(spark, lake):
+    build(lake)
+    publish.load_staging(lake.gold(), publish.lake_writer(lake))
+    publish.build_marts(lake)
+    register = contracts.stored_register(spark, {c.name: lake.path(c.name) for c in contracts.CONTRACTS})
+    assert values(register.where("pii"), "model", "column_name") == [("fct_traffic_events", "vehicle_id")]
+    assert values(contracts.model_register(spark), "model", "gdpr_pii") == [
+        ("dim_locations", False), ("fct_traffic_events", True)]
+
+
+def test_cluster_sessions_start_wide_and_keep_state_in_rocksdb(monkeypatch):
+    seen = {}
+
+    class Builder:
+        def appName(self, name):
+            return self
+
+        def master(self, name):
+            return self
+
+        def config(self, key, value):
+            seen[key] = value
+            return self
+
+        def getOrCreate(self):
+            return None
+
+    monkeypatch.setattr(session.SparkSession, "builder", Builder())
+    session.build_session("x")
+    assert "RocksDB" in seen["spark.sql.streaming.stateStore.providerClass"]
+    assert int(seen[session.INITIAL_WIDTH_SETTING]) >= 1000
+    seen.clear()
+    session.build_session("x", "local[2]", rocksdb_state=False)
+    assert session.INITIAL_WIDTH_SETTING not in seen and not any("stateStore" in k for k in seen)

@@ -60,6 +60,17 @@ def test_silver_stream_equals_batch(spark, lake, thin):
     assert got.drop(schemas.EVENT_DATE).columns == schemas.SILVER.names
 
 
+def test_files_of_a_day_are_bounded_in_a_batch(spark, lake):
+    hot = [event(f"V{i}", f"2024-01-01 {i % 24:02d}:00:00") for i in range(400)]
+    deliver(lake, hot + [event(f"V{i}", f"2024-01-{2 + i % 20:02d} 01:00:00") for i in range(40)])
+    got = drain_silver(lake, files_per_day=2)
+    assert got.count() == 440
+    for day in range(1, 22):
+        found = files(got.where(f"event_date = '2024-01-{day:02d}'"))
+        assert 1 <= len(found) <= 2
+        assert day > 1 or len(found) == 2
+
+
 def test_stream_resumes_without_repeats(spark, lake):
     deliver(lake, [event("V1"), event("V2")])
     assert drain_silver(lake).count() == 2

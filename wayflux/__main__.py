@@ -21,22 +21,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayflux import publish
 from wayflux.lake import FACT, PARTITIONS, ROAD, ZONE, Lake
-from wayflux.plans import contracts, reports, warehouse
+from wayflux.plans import contracts, reports, staging, warehouse
 from wayflux.session import build_session
 from wayflux.sinks import (
     create_bi_views, create_database, create_mart_views, register_table, row_counts)
-from wayflux.sources import LAKE_FORMAT, file_log, kafka_log
+from wayflux.sources import LAKE_FORMAT, file_log, kafka_log, read_jdbc
 from wayflux.streaming import start_bronze, start_gold, start_silver
 
 
 def _log(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.kafka:
-        return kafka_log(spark, args.kafka, args.topic, args.starting)
-    return file_log(spark, args.messages)
+        options = dict(option.split("=", 1) for option in args.kafka_option)
+        return kafka_log(spark, args.kafka, args.topic, args.starting, **options)
+    return file_log(spark, args.messages, args.log_files)
 
 
-def _views(lake: Lake) -> tuple[DataFrame, DataFrame, DataFrame]:
-    marts = lake.marts()
+def _views(marts: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
     locations = marts[warehouse.LOCATIONS]
     return (warehouse.fact_view(marts[warehouse.EVENTS]), warehouse.zone_view(locations),
             warehouse.road_view(locations))
@@ -51,42 +51,69 @@ def _frame(report: Callable[[DataFrame], DataFrame]):
 
 
 REPORTS = {
-    "kpi_overview": _frame(reports.kpi_overview),
+    "kpi_overview": lambda fact, zones, roads: reports.kpi_overview_of(fact, zones),
     "zone_summary": reports.zone_summary,
     "map_markers": lambda *star: reports.map_markers(reports.zone_summary(*star)),
     "hourly_pulse": _events(reports.hourly_pulse),
     "top_roads": lambda *star: reports.top_roads(reports.road_summary(*star)),
     "weather_impact": _events(reports.weather_impact),
     "speed_mix": _events(reports.speed_mix),
-    "feed": _frame(lambda frame: reports.feed(frame, limit=100)),
+    "feed": _frame(reports.feed),
     "zone_road_matrix": _events(reports.zone_road_matrix),
     "filter_options": _events(reports.filter_options),
 }
 
 # Reports on one zone, the first one unless --zone names another.
+def _zone_events(report: Callable[[DataFrame], DataFrame]):
+    return lambda fact, roads: report(reports.report_events(fact))
+
+
 ZONE_REPORTS = {
-    "zone_kpis": reports.zone_kpis,
-    "zone_road_mix": reports.zone_road_mix,
-    "zone_weather_mix": reports.zone_weather_mix,
-    "zone_hourly": reports.zone_hourly,
-    "road_leaderboard": lambda frame: reports.road_leaderboard(reports.zone_road_mix(frame)),
+    "zone_kpis": _zone_events(reports.zone_kpis),
+    "zone_road_mix": reports.zone_road_mix_of,
+    "zone_weather_mix": _zone_events(reports.zone_weather_mix),
+    "zone_hourly": _zone_events(reports.zone_hourly),
+    "road_leaderboard": lambda *star: reports.road_leaderboard(reports.zone_road_mix_of(*star)),
 }
 
 
 def _selection(args: argparse.Namespace) -> reports.Selection:
-    dates = (args.date_from, args.date_to) if args.date_from and args.date_to else None
-    return reports.Selection(dates, args.zones, args.roads, args.weather, args.peak)
+    return reports.Selection((args.date_from, args.date_to), args.zones, args.roads, args.weather,
+                             args.peak)
 
 
 def run_report(lake: Lake, name: str, selection: reports.Selection = reports.Selection(),
-               zone: str | None = None) -> DataFrame:
-    """A report by name over the marts of a lake."""
-    fact, zones, roads = _views(lake)
-    fact = reports.select_events(fact, selection)
+               zone: str | None = None, marts: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A report by name over the marts of a lake, or over those given."""
+    whole, zones, roads = _views(marts or lake.marts())
+    fact = reports.select_events(whole, selection)
     if name in REPORTS:
         return REPORTS[name](fact, zones, roads)
-    frame = reports.report_frame(fact, zones, roads)
-    return ZONE_REPORTS[name](reports.focus(frame, zone or reports.default_zone(fact)))
+    # The zones of the dimension are those of the whole fact, so only a filter needs a scan for them.
+    zone = zone or reports.default_zone(zones if selection == reports.Selection() else fact)
+    return ZONE_REPORTS[name](reports.focus(fact, zone), roads)
+
+
+def _show(df: DataFrame, args: argparse.Namespace) -> None:
+    """All rows to a table with --out; else the first ones, saying so when there are more."""
+    if args.out:
+        df.write.format(args.format).mode("overwrite").save(args.out)
+        return
+    df.limit(args.rows).show(args.rows, truncate=False)
+    if not df.offset(args.rows).isEmpty():
+        print(f"only the first {args.rows} rows are shown; use --rows or --out for more")
+
+
+def _marts(lake: Lake, args: argparse.Namespace) -> dict[str, DataFrame]:
+    """The marts of the lake, or with --jdbc-url those built on staging in the warehouse."""
+    if not args.jdbc_url:
+        return lake.marts()
+    return warehouse.marts(_jdbc_staging(lake, args))
+
+
+def _jdbc_staging(lake: Lake, args: argparse.Namespace) -> dict[str, DataFrame]:
+    return {name: read_jdbc(lake.spark, args.jdbc_url, f"{args.schema}.{name}")
+            for name in staging.CONTRACTS}
 
 
 def _run_bronze(lake: Lake, args: argparse.Namespace) -> None:
@@ -95,8 +122,9 @@ def _run_bronze(lake: Lake, args: argparse.Namespace) -> None:
 
 
 def _run_silver(lake: Lake, args: argparse.Namespace) -> None:
-    start_silver(lake, max_files=args.max_files, available_now=args.available_now,
-                 interval=args.interval).awaitTermination()
+    start_silver(lake, thin=not args.no_thin, max_files=args.max_files,
+                 available_now=args.available_now, interval=args.interval,
+                 files_per_day=args.files_per_day).awaitTermination()
 
 
 def _run_gold(lake: Lake, args: argparse.Namespace) -> None:
@@ -112,15 +140,16 @@ def _run_publish(lake: Lake, args: argparse.Namespace) -> None:
 
 
 def _run_marts(lake: Lake, args: argparse.Namespace) -> None:
-    publish.build_marts(lake)
+    publish.build_marts(lake, _jdbc_staging(lake, args) if args.jdbc_url else None)
 
 
 def _run_check(lake: Lake, args: argparse.Namespace) -> None:
-    marts = lake.marts()
+    marts = _marts(lake, args)
     report = contracts.check_report(marts).persist()
-    report.show(100, truncate=False)
+    _show(report, args)
     if not report.where("status = 'fail'").isEmpty():
-        contracts.failure_samples(marts).show(1000, truncate=False)
+        samples = contracts.failure_samples(marts)
+        samples.show(samples.count(), truncate=False)  # a few for each check
         sys.exit(1)
 
 
@@ -140,13 +169,18 @@ def _run_catalog(lake: Lake, args: argparse.Namespace) -> None:
 
 
 def _run_report(lake: Lake, args: argparse.Namespace) -> None:
-    run_report(lake, args.name, _selection(args), args.zone).show(1000, truncate=False)
+    _show(run_report(lake, args.name, _selection(args), args.zone, _marts(lake, args)), args)
 
 
 def _run_chain(lake: Lake, args: argparse.Namespace) -> None:
-    result = publish.run_chain(lake, _log(lake.spark, args), incremental=not args.rebuild)
-    result.counts.show(100, truncate=False)
-    result.checks.show(100, truncate=False)
+    try:
+        result = publish.run_chain(lake, _log(lake.spark, args), incremental=not args.rebuild,
+                                   stop_on_failure=not args.keep_going)
+    except publish.ChecksFailed as failed:
+        print(failed, file=sys.stderr)
+        sys.exit(1)
+    result.counts.show(100, truncate=False)  # a row for each table
+    _show(result.checks, args)
 
 
 COMMANDS = {"bronze": _run_bronze, "silver": _run_silver, "gold": _run_gold,
@@ -163,19 +197,30 @@ def parser() -> argparse.ArgumentParser:
     log.add_argument("--kafka", help="bootstrap servers")
     log.add_argument("--topic", default="traffic-topic")
     log.add_argument("--starting", default="latest")
+    log.add_argument("--kafka-option", action="append", default=[], metavar="NAME=VALUE",
+                     help="e.g. maxOffsetsPerTrigger=1000000 or kafka.security.protocol=SSL")
     log.add_argument("--messages", help="folder of message files instead of Kafka")
+    log.add_argument("--log-files", type=int, help="message files per batch")
     stream = found.add_argument_group("streams")
     stream.add_argument("--available-now", action="store_true", help="drain and stop")
     stream.add_argument("--interval", help="time between batches, e.g. '30 seconds'")
-    stream.add_argument("--max-files", type=int, help="files per batch of the silver stream")
-    stream.add_argument("--shuffle-partitions", type=int)
-    stream.add_argument("--rocksdb-state", action="store_true")
+    stream.add_argument("--max-files", type=int, help="files per batch of the silver stream; a backlog "
+                        "that is cut makes rows late that one batch would keep")
+    stream.add_argument("--files-per-day", type=int, default=8, help="of one day in a silver batch")
+    stream.add_argument("--no-thin", action="store_true", help="no dropping of copies before the shuffle")
+    stream.add_argument("--shuffle-partitions", type=int, help="fixed by the first start of a stream")
+    stream.add_argument("--rocksdb-state", action=argparse.BooleanOptionalAction, default=True)
     stream.add_argument("--rebuild", action="store_true", help="rebuild gold as a whole")
     target = found.add_argument_group("publication")
     target.add_argument("--jdbc-url")
     target.add_argument("--schema", default="analytics")
     target.add_argument("--connections", type=int, default=8)
     target.add_argument("--database", default="mobility")
+    shown = found.add_argument_group("results of report, check and chain")
+    shown.add_argument("--out", help="write the whole result as a table here")
+    shown.add_argument("--rows", type=int, default=100, help="rows shown on the console")
+    chain = found.add_argument_group("chain")
+    chain.add_argument("--keep-going", action="store_true", help="do not stop on a failed check")
     report = found.add_argument_group("reports")
     report.add_argument("--name", choices=[*REPORTS, *ZONE_REPORTS])
     report.add_argument("--zone", help="zone of a drill-down report")
@@ -187,7 +232,14 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: Sequence[str] | None = None) -> None:
-    args = parser().parse_args(argv)
+    found = parser()
+    args = found.parse_args(argv)
+    if args.command == "report" and not args.name:
+        found.error("report needs --name")
+    if args.command in ("bronze", "chain") and not (args.kafka or args.messages):
+        found.error(f"{args.command} needs --kafka or --messages")
+    if any("=" not in option for option in args.kafka_option):
+        found.error("--kafka-option needs NAME=VALUE")
     spark = build_session(f"wayflux-{args.command}", shuffle_partitions=args.shuffle_partitions,
                           rocksdb_state=args.rocksdb_state)
     COMMANDS[args.command](Lake(spark, args.lake.rstrip("/"), args.format), args)

@@ -19,6 +19,13 @@ def lenient_int(text: Column) -> Column:
     return F.coalesce(text.try_cast("int"), digits.try_cast("int"))
 
 
+def whole_number(value: Column) -> Column:
+    """A number or its text to INT where it is whole: 12.0, '12.0' and '1e2' are; a fraction, a word
+    and what INT cannot hold give NULL."""
+    number = value.try_cast("double")
+    return F.when(number == F.floor(number), number.try_cast("int"))
+
+
 def lenient_timestamp(text: Column) -> Column:
     """ISO text to TIMESTAMP, offsets honoured; anything else gives NULL."""
     return F.try_to_timestamp(text)

@@ -76,6 +76,29 @@ def unexpected_values(df: DataFrame, accepted: Mapping[str, Sequence[str]]) -> D
     return found.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def row_failures(df: DataFrame, model: str, columns: Sequence[str],
+                 accepted: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Not-NULL and accepted-value results of a model in one scan."""
+    conditions = [(NOT_NULL, c, F.col(c).isNull(), F.lit(None).cast("string")) for c in columns]
+    conditions += [(ACCEPTED, c, ~F.col(c).isin(list(values)), F.col(c).cast("string"))
+                   for c, values in accepted.items()]
+    found = [F.when(condition, F.struct(F.lit(test).alias("test"), F.lit(c).alias("column_name"),
+                                        value.alias("value")))
+             for test, c, condition, value in conditions]
+    failing = df.where(reduce(or_, [c[2] for c in conditions])).select(
+        F.inline(F.array_compact(F.array(*found))))
+    counted = failing.groupBy("test", "column_name", "value").agg(F.count(F.lit(1)).alias("rows"))
+
+    def total(test: str, column: str) -> Column:
+        mine = (F.col("test") == test) & (F.col("column_name") == column)
+        return F.coalesce(F.sum(F.when(mine, F.col("rows") if test == NOT_NULL else F.lit(1))), F.lit(0))
+
+    return counted.agg(F.array(*[F.struct(
+        F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.lit(test).alias("test"),
+        total(test, c).cast("bigint").alias("failures")) for test, c, _, _ in conditions]).alias("all")
+    ).select(F.inline("all"))
+
+
 def accepted_failures(df: DataFrame, model: str,
                       accepted: Mapping[str, Sequence[str]]) -> DataFrame:
     """Number of distinct unexpected values, one row per checked column."""

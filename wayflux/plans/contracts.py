@@ -51,6 +51,7 @@ class ModelContract:
 
 _Col = ColumnContract
 
+# Models, columns and promises of the warehouse.
 LOCATIONS = ModelContract(warehouse.LOCATIONS, (
     _Col("location_id", unique=True),
     _Col("city_zone", accepted=domain.ZONES),
@@ -94,6 +95,16 @@ def model_register(spark, contracts=CONTRACTS) -> DataFrame:
         rows, "model STRING, data_owner STRING, sla_freshness_hours INT, gdpr_pii BOOLEAN")
 
 
+def stored_register(spark, paths: Mapping[str, str], contracts=CONTRACTS) -> DataFrame:
+    """``(model, column_name, pii)`` as the metadata of the stored models says.  Columns that a table is
+    laid out by are in its paths, without metadata; they are never personal."""
+    rows = []
+    for contract in contracts:
+        for field in spark.read.parquet(paths[contract.name]).schema:
+            rows.append((contract.name, field.name, field.metadata.get(PII_FLAG, False)))
+    return spark.createDataFrame(rows, "model STRING, column_name STRING, pii BOOLEAN")
+
+
 def _accepted(contract: ModelContract) -> dict[str, tuple[str, ...]]:
     return {c.name: c.accepted for c in contract.columns if c.accepted}
 
@@ -130,8 +141,9 @@ def relation_checks(models: Mapping[str, DataFrame], contracts=CONTRACTS) -> Dat
 
 def check_report(models: Mapping[str, DataFrame], contracts=CONTRACTS) -> DataFrame:
     """One row per promised check: ``(model, column_name, test, failures, status)``."""
-    found = _union([unique_checks(models, contracts), not_null_checks(models, contracts),
-                    accepted_checks(models, contracts), relation_checks(models, contracts)])
+    rows = [checks.row_failures(models[c.name], c.name, c.names("not_null"), _accepted(c))
+            for c in contracts]
+    found = _union([unique_checks(models, contracts), *rows, relation_checks(models, contracts)])
     status = F.when(F.col("failures") == 0, "pass").otherwise("fail")
     return found.withColumn("status", status)
 

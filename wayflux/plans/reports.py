@@ -8,9 +8,10 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayflux import domain, schemas
-from wayflux.functions import clip, first_match
+from wayflux.functions import clip, first_match, whole_number
 from wayflux.operators import (
     Link, average, breakdown, count_of, enrich, rows, share, star_breakdown)
 from wayflux.sources import literal_table
@@ -21,11 +22,13 @@ _TRAFFIC = (count_of("vehicle_id"), average("speed_int", "avg_speed"),
 _TRAFFIC_1DP = (count_of("vehicle_id"), average("speed_int", "avg_speed", digits=1),
                 average("congestion_level", "avg_congestion", digits=1))
 
+# The columns that readers of the zone summary and of the feed rely on.
 _ZONE_KEYS = ("city_zone", "zone_type", "traffic_risk", "lat", "lon")
 _FEED = ("event_ts", "vehicle_id", "city_zone", "road_id", "road_type", "speed_int",
          "congestion_level", "weather", "traffic_risk", "peak_label")
 _DEGREE_DECIMALS = 6
-_NUMBERS = ("hour", "speed_int", "congestion_level", "peak_flag")
+_NUMBERS = ("hour", "peak_flag")
+_MEASURES = ("speed_int", "congestion_level")
 
 
 # ---- report frame -------------------------------------------------------------------------------
@@ -39,7 +42,8 @@ def report_events(fact: DataFrame) -> DataFrame:
 
     Enough for every report that shows no dimension attribute, without any join.
     """
-    columns = {name: F.col(name).try_cast("int") for name in _NUMBERS}
+    columns = {name: _number(fact, name) for name in _NUMBERS}
+    columns |= {name: _number(fact, name, "double") for name in _MEASURES}
     columns["peak_flag"] = F.coalesce(columns["peak_flag"], F.lit(0))
     columns["event_ts"] = F.col("event_ts").try_cast("timestamp")
     columns["date"] = F.col("date").try_cast("date")
@@ -49,6 +53,13 @@ def report_events(fact: DataFrame) -> DataFrame:
     return fact.withColumns(columns)
 
 
+def _number(fact: DataFrame, name: str, fractional: str = "int") -> Column:
+    """INT where the column is stored as whole numbers; measures keep a fraction that is stored."""
+    whole = isinstance(fact.schema[name].dataType, T.IntegralType)
+    return F.col(name).try_cast("int") if whole else (
+        whole_number(F.col(name)) if fractional == "int" else F.col(name).try_cast(fractional))
+
+
 def peak_label(peak: Column) -> Column:
     return first_match([(label, peak == value) for value, label in domain.PEAK_LABELS.items()],
                        domain.OTHER_PEAK_LABEL)
@@ -69,9 +80,10 @@ def report_frame(fact: DataFrame, zones: DataFrame, roads: DataFrame) -> DataFra
 
 @dataclass(frozen=True)
 class Selection:
-    """What a reader chose; an empty list or a missing date range does not restrict."""
+    """What a reader chose; an empty list or a missing date does not restrict.  One date of the two
+    leaves the range open on the other side."""
 
-    dates: tuple[date, date] | None = None
+    dates: tuple[date | None, date | None] | None = None
     zones: Sequence[str] = ()
     roads: Sequence[str] = ()
     weather: Sequence[str] = ()
@@ -101,8 +113,11 @@ def select_events(fact: DataFrame, selection: Selection) -> DataFrame:
     them reach the scan (days as partitions, the rest as row-group filters).  The result equals
     filtering the report frame.
     """
-    if selection.dates:
-        fact = fact.where(F.col("date").between(*[F.lit(d) for d in selection.dates]))
+    first, last = selection.dates or (None, None)
+    if first:
+        fact = fact.where(F.col("date") >= F.lit(first).cast("date"))
+    if last:
+        fact = fact.where(F.col("date") <= F.lit(last).cast("date"))
     if selection.zones:
         fact = fact.where(F.col("city_zone").isin(list(selection.zones)))
     if selection.roads:
@@ -117,15 +132,23 @@ def select_events(fact: DataFrame, selection: Selection) -> DataFrame:
 def filter_options(frame: DataFrame) -> DataFrame:
     """``(column, option)``: the members to choose from, and the first and last date.
 
-    One scan for the members: rows are unpivoted and the distinct combines map-side.
+    One scan: rows are reduced to their distinct combinations before they are unpivoted, and the
+    same aggregation keeps every member but only both ends of the dates.
     """
     members = ["city_zone", "road_id", "weather", "peak_label"]
-    listed = (frame.unpivot([], members, "column", "option")
-              .where(F.col("option").isNotNull()).distinct())
-    ends = frame.agg(F.min("date").cast("string").alias("date_from"),
-                     F.max("date").cast("string").alias("date_to"))
-    ends = ends.unpivot([], ["date_from", "date_to"], "column", "option")
-    return listed.unionByName(ends.where(F.col("option").isNotNull()))
+    seen = frame.select(*members, F.col("date").cast("string").alias("date")).distinct()
+    long = seen.unpivot([], [*members, "date"], "column", "option").where(F.col("option").isNotNull())
+    member = F.when(F.col("column") != "date", F.col("option"))
+    ends = long.groupBy("column", member.alias("member")).agg(
+        F.min("option").alias("first"), F.max("option").alias("last"))
+
+    def pair(column: Column, option: str) -> Column:
+        return F.struct(column.alias("column"), F.col(option).alias("option"))
+
+    listed = F.when(F.col("column") == "date", F.array(
+        pair(F.lit("date_from"), "first"), pair(F.lit("date_to"), "last"))).otherwise(
+        F.array(pair(F.col("column"), "first")))
+    return ends.select(F.inline(listed))
 
 
 def default_zone(frame: DataFrame) -> str | None:
@@ -158,6 +181,26 @@ def kpi_overview(frame: DataFrame) -> DataFrame:
         _share_of(F.col("traffic_risk") == "HIGH").alias("high_risk_share"))
 
 
+def kpi_overview_of(fact: DataFrame, zones: DataFrame) -> DataFrame:
+    """The same figures from the star: partial sums by zone are joined, not events."""
+    parts = report_events(fact).groupBy("city_zone").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("speed_int").alias("speed"), F.count("speed_int").alias("speeds"),
+        F.sum("congestion_level").alias("level"), F.count("congestion_level").alias("levels"),
+        F.count_if(F.col("peak_flag") == 1).alias("peak"))
+    parts = enrich(parts, [Link(zones, "city_zone", null_safe=True)])
+    total = F.sum("n").cast("double")
+
+    def part(n: Column) -> Column:
+        return F.try_divide(F.sum(n), total) * 100
+
+    return parts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("events"),
+        F.try_divide(F.sum("speed").cast("double"), F.sum("speeds")).alias("avg_speed"),
+        F.try_divide(F.sum("level").cast("double"), F.sum("levels")).alias("avg_congestion"),
+        part(F.col("peak")).alias("peak_share"),
+        part(F.when(F.col("traffic_risk") == "HIGH", F.col("n")).otherwise(0)).alias("high_risk_share"))
+
+
 def _busiest_first(df: DataFrame, *ties: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_last("events"), *[F.asc_nulls_last(t) for t in ties])
 
@@ -235,6 +278,13 @@ def zone_road_mix(zone_frame: DataFrame) -> DataFrame:
     return _busiest_first(mix, "road_id", "road_type")
 
 
+def zone_road_mix_of(zone_fact: DataFrame, roads: DataFrame) -> DataFrame:
+    """The same from the fact of one zone; roads are joined to partial sums."""
+    link = Link(roads, "road_id", null_safe=True)
+    mix = star_breakdown(report_events(zone_fact), [link], ("road_id", "road_type"), _TRAFFIC)
+    return _busiest_first(mix, "road_id", "road_type")
+
+
 def zone_weather_mix(zone_frame: DataFrame) -> DataFrame:
     return weather_impact(zone_frame)
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayflux import schemas
+from wayflux.functions import whole_number
 
 STG_ZONE, STG_ROAD, STG_FACT = "stg_dim_zone", "stg_dim_road", "stg_fact_traffic"
 
@@ -31,8 +32,18 @@ class ConstraintViolation(ValueError):
 
 
 def normalise(df: DataFrame, contract: T.StructType) -> DataFrame:
-    """The contract's columns in its types; a value that does not fit becomes NULL."""
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in contract.fields])
+    """The contract's columns in its types; a value that does not fit becomes NULL.
+
+    Whole numbers that are stored as text or with a fraction part count as whole; others do not fit.
+    """
+    return df.select(*[_typed(df, f).alias(f.name) for f in contract.fields])
+
+
+def _typed(df: DataFrame, field: T.StructField) -> Column:
+    stored = df.schema[field.name].dataType
+    if isinstance(field.dataType, T.IntegerType) and not isinstance(stored, T.IntegralType):
+        return whole_number(F.col(field.name))
+    return F.col(field.name).try_cast(field.dataType)
 
 
 def staged(gold: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
+from wayflux import schemas
 from wayflux.lake import BRONZE, FACT, PARTITIONS, ROAD, SILVER, ZONE, Lake
 from wayflux.plans import contracts, staging, warehouse
-from wayflux.sinks import overwrite_table, row_counts, write_jdbc
+from wayflux.sinks import append_table, overwrite_table, row_counts, write_jdbc
+from wayflux.sinks.tables import with_trigger
 from wayflux.streaming import start_bronze, start_gold, start_silver
 
 StagingWriter = Callable[[str, DataFrame], None]
@@ -32,7 +37,8 @@ def jdbc_writer(url: str, schema: str, connections: int = 8, **properties: str)
 def load_staging(gold: Mapping[str, DataFrame], write: StagingWriter) -> None:
     """Check the constraints of every table, then replace them one by one.
 
-    A violation leaves all staging tables as they were.
+    A violation leaves all staging tables as they were.  A crash between two of them leaves some new
+    and some old; with Parquet a reader can also meet the moment in which one is replaced.
     """
     tables = staging.staged(gold)
     staging.check_not_null(tables)
@@ -44,7 +50,65 @@ def build_marts(lake: Lake, tables: Mapping[str, DataFrame] | None = None) -> No
     """Materialise the marts from staging (of the lake unless given).  The fact is laid out by day
     already, so it is written without a shuffle."""
     for name, df in warehouse.marts(tables or lake.staging()).items():
-        overwrite_table(df, lake.path(name), PARTITIONS.get(name, ()), lake.fmt)
+        overwrite_table(_described(name, df), lake.path(name), PARTITIONS.get(name, ()), lake.fmt)
+
+
+def _described(name: str, df: DataFrame) -> DataFrame:
+    return contracts.describe(df, next(c for c in contracts.CONTRACTS if c.name == name))
+
+
+def publish_days(lake: Lake, days: Sequence[date]) -> None:
+    """Bring staging and marts up to date with the gold facts of ``days``.
+
+    Only these days are read, checked and replaced, after all of them have passed; the dimensions are
+    small and replaced as a whole, and locations that are new are appended.  Repeating it changes
+    nothing.  The first publication loads everything.
+    """
+    if not (lake.has(warehouse.EVENTS) and lake.has(warehouse.LOCATIONS) and lake.has(staging.STG_FACT)):
+        load_staging(lake.gold(), lake_writer(lake))
+        build_marts(lake)
+        return
+    touched = F.col("date").isin(list(days))
+    gold = lake.gold()
+    tables = staging.staged({**gold, staging.STG_FACT: gold[staging.STG_FACT].where(touched)})
+    staging.check_not_null(tables)
+    for name, df in tables.items():
+        overwrite_table(df, lake.path(name), PARTITIONS.get(name, ()), lake.fmt,
+                        touched_only=name == staging.STG_FACT)
+    stored = lake.staging()
+    stored[staging.STG_FACT] = stored[staging.STG_FACT].where(touched)
+    marts = {name: _described(name, df) for name, df in warehouse.marts(stored).items()}
+    overwrite_table(marts[warehouse.EVENTS], lake.path(warehouse.EVENTS), PARTITIONS[warehouse.EVENTS],
+                    lake.fmt, touched_only=True)
+    known = lake.read(warehouse.LOCATIONS).select("location_id")
+    new = marts[warehouse.LOCATIONS].join(known, "location_id", "left_anti")
+    if not new.isEmpty():
+        append_table(new, lake.path(warehouse.LOCATIONS), lake.fmt)
+
+
+def start_publish(lake: Lake, incremental: bool = True, available_now: bool = True) -> StreamingQuery:
+    """Follow silver behind gold, from a checkpoint of its own, and publish the days of each batch
+    (``incremental=False``: everything)."""
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        here = replace(lake, spark=batch.sparkSession)
+        if not incremental:
+            if not batch.isEmpty():
+                load_staging(here.gold(), lake_writer(here))
+                build_marts(here)
+            return
+        day = F.col(schemas.EVENT_DATE)
+        days = [row[0] for row in batch.where(day.isNotNull()).select(day).distinct().collect()]
+        if days:
+            publish_days(here, days)
+
+    marks = lake.stream(SILVER).select(schemas.EVENT_DATE)
+    writer = (marks.writeStream.outputMode("append").foreachBatch(on_batch)
+              .option("checkpointLocation", lake.checkpoint(warehouse.EVENTS)))
+    return with_trigger(writer, available_now).start()
+
+
+class ChecksFailed(RuntimeError):
+    """The chain ran through, but what it built breaks its promises."""
 
 
 @dataclass(frozen=True)
@@ -53,19 +117,28 @@ class ChainResult:
     checks: DataFrame
 
 
+CHECKS = "check_report"
+
+
 def run_chain(lake: Lake, log: DataFrame, as_of: Column | None = None,
-              incremental: bool = True) -> ChainResult:
+              incremental: bool = True, stop_on_failure: bool = True) -> ChainResult:
     """Drain the log through every layer and report row counts and data checks.
 
-    Each step resumes from its checkpoint, so the chain can be run again at any time.
+    Each step resumes from its checkpoint, so the chain can be run again at any time.  The check report
+    is stored in the lake; a failed check raises unless ``stop_on_failure`` is off.
     """
     start_bronze(lake, log, available_now=True).awaitTermination()
     start_silver(lake, as_of, available_now=True).awaitTermination()
     start_gold(lake, incremental).awaitTermination()
-    load_staging(lake.gold(), lake_writer(lake))
-    build_marts(lake)
+    start_publish(lake, incremental).awaitTermination()
     marts = lake.marts()
     tables = {name: lake.read(name) for name in (BRONZE, SILVER, ZONE, ROAD, FACT)}
     tables.update(lake.staging())
     tables.update(marts)
-    return ChainResult(row_counts(tables), contracts.check_report(marts))
+    overwrite_table(contracts.check_report(marts).coalesce(1), lake.path(CHECKS), fmt=lake.fmt)
+    report = lake.spark.read.format(lake.fmt).load(lake.path(CHECKS))
+    failed = report.where("status = 'fail'").collect() if stop_on_failure else []
+    if failed:
+        raise ChecksFailed("; ".join(
+            f"{r['model']}.{r['column_name']} {r['test']}: {r['failures']}" for r in failed))
+    return ChainResult(row_counts(tables), report)

@@ -25,6 +25,10 @@ CLUSTER_SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+# AQE merges downwards only, so batch shuffles of a cluster start with this many partitions.
+INITIAL_WIDTH_SETTING, INITIAL_WIDTH = (
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "4000")
+
 # State that outgrows executor memory belongs in RocksDB; the changelog keeps commits small.
 STATE_STORE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -34,10 +38,11 @@ STATE_STORE_SETTINGS = {
 
 
 def build_session(app_name: str, master: str | None = None, shuffle_partitions: int | None = None,
-                  rocksdb_state: bool = False, **settings: str) -> SparkSession:
+                  rocksdb_state: bool = True, **settings: str) -> SparkSession:
     """A session with the settings above; ``master`` is left to spark-submit when not given.
 
-    ``shuffle_partitions`` is worth setting for streams: a stateful query keeps the number it was
+    State is kept in RocksDB unless told otherwise.  On a cluster batch jobs start wide and AQE merges
+    what is small; that leaves the width of stream state alone.  ``shuffle_partitions`` is worth setting for streams: a stateful query keeps the number it was
     first started with, so choose it for the largest expected state.
     """
     builder = SparkSession.builder.appName(app_name)
@@ -46,6 +51,8 @@ def build_session(app_name: str, master: str | None = None, shuffle_partitions:
     chosen = dict(CLUSTER_SETTINGS)
     if rocksdb_state:
         chosen.update(STATE_STORE_SETTINGS)
+    if not (master or "").startswith("local") and not shuffle_partitions:
+        chosen[INITIAL_WIDTH_SETTING] = INITIAL_WIDTH
     if shuffle_partitions:
         chosen["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     chosen.update(settings)

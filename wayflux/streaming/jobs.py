@@ -31,10 +31,17 @@ def start_bronze(lake: Lake, log: DataFrame, available_now: bool = False,
 
 def start_silver(lake: Lake, as_of: Column | None = None, rules: SilverRules = SILVER_RULES,
                  thin: bool = True, max_files: int | None = None, available_now: bool = False,
-                 interval: str | None = None) -> StreamingQuery:
-    """Follow bronze.  One shuffle by event key; stored by day for the layers behind it."""
+                 interval: str | None = None, files_per_day: int = 8) -> StreamingQuery:
+    """Follow bronze; stored by day for the layers behind it.
+
+    One shuffle by event key for the deduplication, a second one that gathers the kept rows of a day:
+    a batch writes at most ``files_per_day`` files of each day whatever the shuffle width, and a
+    day that holds most rows is still shared by that many tasks.
+    """
     rows = silver_plan.silver_stream(lake.stream(BRONZE, max_files), as_of, rules, thin)
-    return append_stream(silver_plan.with_event_date(rows), lake.path(SILVER),
+    rows = silver_plan.with_event_date(rows)
+    part = F.pmod(F.xxhash64("vehicle_id", "event_ts"), F.lit(files_per_day))
+    return append_stream(rows.repartition(schemas.EVENT_DATE, part), lake.path(SILVER),
                          lake.checkpoint(SILVER), PARTITIONS[SILVER], lake.fmt,
                          available_now, interval)
 
