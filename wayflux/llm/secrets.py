@@ -20,8 +20,8 @@ from wayflux.llm.common import only
 #: Kinds in the order that ties are listed in: pattern, group whose length counts, least length.
 BASE = {
     "assign": (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8),
-    "access": (r"(AKIA[A-Z0-9]+)", 1, 16),
-    "hex": (r"([0-9a-f]+)", 1, 32),
+    "access": (r"AKIA[A-Z0-9]+", 0, 16),
+    "hex": (r"[0-9a-f]+", 0, 32),
 }
 
 
@@ -44,8 +44,7 @@ class Entropy:
 def _spans(text: str, kind: str, rank: int, pattern: str, group: int, least: int) -> Column:
     """All matches of one kind as structs (start, rank, end, kind, value), failing ones dropped."""
     texts = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    values = texts if f"({pattern[1:-1]})" == pattern else F.regexp_extract_all(
-        text, F.lit(pattern), F.lit(group))
+    values = texts if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     pieces = F.split(text, pattern, -1)
     empty = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,value:string>>")
     walked = F.aggregate(
@@ -88,7 +87,7 @@ def max_entropy(value: Column, window: int) -> Column:
 
 
 def _entropy_spans(text: str, rule: Entropy) -> Column:
-    strings = _spans(text, "entropy", len(BASE), rf"([A-Za-z0-9+/_=-]{{{rule.least},}})", 1, rule.least)
+    strings = _spans(text, "entropy", len(BASE), rf"[A-Za-z0-9+/_=-]{{{rule.least},}}", 0, rule.least)
 
     def suspicious(s: Column) -> Column:
         value = s["value"]
