@@ -17,12 +17,13 @@ from wayflux.llm.common import NO_ID, only, stored
 
 TABLES = 3
 #: Cells of each subtable of a published fingerprint, and the factor by which a failed pair grows.
-CELLS, GROWTH = 10, 4
+CELLS, GROWTH = 16, 4
 #: A line longer than this counts as several paragraphs, cut at its sentence ends.
-LINE = 400
+LINE = 1000
 #: Documents in one neighbourhood when texts meet the text after them.
 _BUCKET = 256
 _LIST = "array<bigint>"
+_CELLS = "array<struct<i:int,n:bigint,key:bigint,check:bigint>>"
 
 
 def digests(text: str | Column) -> Column:
@@ -48,77 +49,81 @@ def _cell(key: Column, table: int, cells: int) -> Column:
     return (F.pmod(F.xxhash64(key, F.lit(table), F.lit(cells)), F.lit(cells)) + table * cells).cast("int")
 
 
-def sketch(keys: Column, cells: int = CELLS) -> Column:
-    """Array of 3 * ``cells`` structs (n, key, check)."""
-    placed = F.transform(keys, lambda d: F.struct(
-        d.alias("d"), _check(d).alias("c"),
-        F.array(*[_cell(d, j, cells) for j in range(TABLES)]).alias("at")))
+def _entry(i: Column, n: Column, key: Column, check: Column) -> Column:
+    return F.struct(i.alias("i"), n.cast("bigint").alias("n"), key.alias("key"), check.alias("check"))
+
+
+def _merged(entries: Column) -> Column:
+    """Cells of a sketch from entries in any order: those of one place add up, empty ones go."""
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(F.array().cast(_CELLS).alias("out"), _entry(F.lit(-1), zero, zero, zero).alias("now"))
+
+    def closed(state: Column) -> Column:
+        now = state["now"]
+        empty = (now["n"] == 0) & (now["key"] == 0) & (now["check"] == 0)
+        return F.when(empty, state["out"]).otherwise(F.concat(state["out"], F.array(now)))
 
-    nothing = F.struct(*[F.lit(0).cast("bigint").alias(c) for c in ("n", "key", "check")])
+    def step(state: Column, e: Column) -> Column:
+        now = state["now"]
+        return F.when(now["i"] == e["i"], F.struct(state["out"].alias("out"), _entry(
+            e["i"], now["n"] + e["n"], now["key"].bitwiseXOR(e["key"]),
+            now["check"].bitwiseXOR(e["check"])).alias("now"))).otherwise(
+            F.struct(closed(state).alias("out"), e.alias("now")))
 
-    def filled(i: Column, digest: Column) -> Column:
-        return F.aggregate(
-            F.filter(digest, lambda d: F.array_contains(d["at"], i)), nothing,
-            lambda a, d: F.struct((a["n"] + 1).alias("n"), a["key"].bitwiseXOR(d["d"]).alias("key"),
-                                  a["check"].bitwiseXOR(d["c"]).alias("check")))
+    return F.aggregate(F.sort_array(entries), start, step, closed)
 
-    return _bound(placed, lambda digest: F.transform(
-        F.sequence(F.lit(0), F.lit(TABLES * cells - 1)), lambda i: filled(i, digest)))
+
+def _entries(key: Column, n: Column, check: Column, cells: int) -> Column:
+    return F.array(*[_entry(_cell(key, j, cells), n, key, check) for j in range(TABLES)])
+
+
+def sketch(keys: Column, cells: int = CELLS) -> Column:
+    """The cells of 3 * ``cells`` that are not empty, as structs (i, n, key, check) by place."""
+    return _merged(F.flatten(F.transform(keys, lambda d: _entries(d, F.lit(1), _check(d), cells))))
 
 
 def subtracted(a: str, b: str) -> Column:
-    return F.zip_with(a, b, lambda x, y: F.struct(
-        (x["n"] - y["n"]).alias("n"), x["key"].bitwiseXOR(y["key"]).alias("key"),
-        x["check"].bitwiseXOR(y["check"]).alias("check")))
+    """What one sketch has more than another; shared digests cancel."""
+    return _merged(F.concat(F.col(a), F.transform(b, lambda c: _entry(c["i"], -c["n"], c["key"], c["check"]))))
 
 
 def peeled(difference: Column, cells: int = CELLS) -> Column:
-    """Struct (cells, mine, theirs): the digests recovered for each side, and what is left over."""
+    """Struct (cells, mine, theirs, live): the digests recovered for each side, and what is left over."""
     none = F.array().cast(_LIST)
 
     def step(state: Column, _: Column) -> Column:
         pure = F.array_distinct(F.transform(
             F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"]))),
-            lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"), c["check"].alias("check"),
-                               F.array(*[_cell(c["key"], j, cells) for j in range(TABLES)]).alias("at"))))
-
-        def without(cell: Column, i: Column, pure: Column) -> Column:
-            return F.aggregate(
-                F.filter(pure, lambda p: F.array_contains(p["at"], i)), cell,
-                lambda a, p: F.struct((a["n"] - p["n"]).alias("n"),
-                                      a["key"].bitwiseXOR(p["key"]).alias("key"),
-                                      a["check"].bitwiseXOR(p["check"]).alias("check")))
-
-        return _bound(pure, lambda found: F.when(F.size(found) == 0, state).otherwise(F.struct(
-            F.transform(state["cells"], lambda c, i: without(c, i, found)).alias("cells"),
+            lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"), c["check"].alias("check"))))
+        return F.when(~state["live"], state).otherwise(_bound(pure, lambda found: F.struct(
+            _merged(F.concat(state["cells"], F.flatten(F.transform(
+                found, lambda p: _entries(p["key"], -p["n"], p["check"], cells))))).alias("cells"),
             F.concat(state["mine"], F.transform(F.filter(found, lambda p: p["n"] == 1),
                                                 lambda p: p["key"])).alias("mine"),
             F.concat(state["theirs"], F.transform(F.filter(found, lambda p: p["n"] == -1),
-                                                  lambda p: p["key"])).alias("theirs"))))
+                                                  lambda p: p["key"])).alias("theirs"),
+            (F.size(found) > 0).alias("live"))))
 
     rounds = 8 + cells.bit_length() * 2
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct(
-        difference.alias("cells"), none.alias("mine"), none.alias("theirs")), step)
+        difference.alias("cells"), none.alias("mine"), none.alias("theirs"), F.lit(True).alias("live")), step)
 
 
 def likeness(count: Column, peel: Column) -> Column:
     """Shared over all paragraphs, from the number of one side and the peeled difference; null where
     cells are left over.  Two texts without paragraphs are alike."""
     def ratio(p: Column) -> Column:
-        done = F.forall(p["cells"], lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["check"] == 0))
         union = count + F.size(p["theirs"])
-        return F.when(done, F.when(union == 0, F.lit(1.0)).otherwise(
+        return F.when(F.size(p["cells"]) == 0, F.when(union == 0, F.lit(1.0)).otherwise(
             (count - F.size(p["mine"])) / union))
 
     return _bound(peel, ratio)
 
 
 def written(cells: str) -> Column:
-    """A sketch as text: number, key and check of each cell in hexadecimal, empty cells empty."""
-    return F.concat_ws(",", F.transform(cells, lambda c: F.when(
-        c["n"] == 0, F.lit("")).otherwise(F.lower(F.concat(
-            F.hex(c["n"]), F.lit("-"), F.lpad(F.hex(c["key"]), 16, "0"), F.lit("-"),
-            F.lpad(F.hex(c["check"]), 8, "0"))))))
+    """A sketch as text: place, number, key and check of each cell that is not empty."""
+    return F.concat_ws(",", F.transform(cells, lambda c: F.lower(F.concat_ws(
+        "-", c["i"].cast("string"), F.hex(c["n"]), F.hex(c["key"]), F.hex(c["check"])))))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
