@@ -5,13 +5,13 @@ import re
 from pyspark.sql import functions as F
 
 from wayflux.llm.fingerprints import (
-    edited_fingerprints, likeness, peeled, sketch, subtracted, with_next)
+    LINE, edited_fingerprints, likeness, peeled, sketch, subtracted, with_next)
 from wayflux.llm.queries import op1_fingerprints
 
 
 def paragraphs(text):
     return {p for line in text.split("\n")
-            for p in ([line] if len(line) <= 400 else re.split(r"(?<=[.!?]) ", line)) if p.strip(" ")}
+            for p in ([line] if len(line) <= LINE else re.split(r"(?<=[.!?]) ", line)) if p.strip(" ")}
 
 
 def alike(a, b):
@@ -60,8 +60,8 @@ def test_next_crosses_neighbourhoods(spark):
 
 def test_peeling_recovers_both_sides_and_fails_honestly(spark):
     draw = random.Random(2)
-    keys = [draw.randrange(-2**63, 2**63) for _ in range(60)]
-    rows = [(keys[:20], keys[3:24]), ([], []), (keys[:5], []), (keys[:2], keys[:2]), (keys[:30], keys[30:])]
+    keys = [draw.randrange(-2**63, 2**63) for _ in range(600)]
+    rows = [(keys[:20], keys[3:24]), ([], []), (keys[:5], []), (keys[:2], keys[:2]), (keys[:300], keys[300:])]
     frame = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>")
     frame = frame.select("a", sketch(F.col("a")).alias("x"), sketch(F.col("b")).alias("y"), F.size("a").alias("n"))
     found = frame.select(peeled(subtracted("x", "y")).alias("p"), "n").select(
