@@ -220,8 +220,8 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Toxicity = Toxicity(),
 
     The sample's ids (bounded) are broadcast; word counts of the sample are summed by Spark, and only
     words that pass a minimal lean reach the driver.  Labels with null id or value are not used; of
-    contradicting labels of one id the toxic one counts.  Without toxic or without clean rows the
-    model gives 0 to all.
+    contradicting labels of one id the toxic one counts.  Without toxic or without clean rows, and
+    where no word leans with confidence, the model gives 0 to all.
     """
     known = only(labels, doc_id="bigint", toxic="int").where("doc_id is not null and toxic is not null")
     if usable is not None:
@@ -265,6 +265,9 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Toxicity = Toxicity(),
     terms = {t: w for t, w in terms.items()
              if ("term", t) in varied and not any(t[:k] in stems for k in range(low, len(t)))}
 
+    if not terms and not stems:
+        return Model({}, {}, [-30.0] + [0.0] * N_FEATURES, rule)
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(terms, stems, rule.fuzzy_from)
         for batch in batches:
@@ -274,7 +277,9 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Toxicity = Toxicity(),
 
     rows = texts.select("toxic", "text").mapInArrow(measure, "toxic int, x array<double>").collect()
     x, y = np.array([r["x"] for r in rows]), np.array([r["toxic"] for r in rows], dtype=float)
-    return Model(terms, stems, [float(w) for w in _fit(x, y, rule.ridge)], rule)
+    weights = [float(w) for w in _fit(x, y, rule.ridge)]
+    weights[0] = min(weights[0], -1.0)  # a text without any match is never called toxic
+    return Model(terms, stems, weights, rule)
 
 
 def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
