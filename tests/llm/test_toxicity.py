@@ -71,17 +71,17 @@ def test_labels_in_the_held_out_part_change_nothing(spark):
 
 
 def test_odd_rows(spark, odd, none):
-    docs = spark.createDataFrame([(100 + k, "you vile scoundrel" if k % 2 else "a fine day") for k in range(60)],
+    docs = spark.createDataFrame([(100 + k, f"you w{k} scoundrel" if k % 5 == 0 else "a fine day") for k in range(200)],
                                  "doc_id bigint, text string")
-    labels = spark.createDataFrame([(100 + k, k % 2) for k in range(60)] + [(None, 1), (101, None), (9999, 1)],
+    labels = spark.createDataFrame([(100 + k, int(k % 5 == 0)) for k in range(200)] + [(None, 1), (101, None), (9999999, 1)],
                                    "doc_id bigint, toxic int")
     model = learn(docs, labels)
     assert "scoundrel" in model.terms
     rows = toxicity_scores(odd, model).collect()
     assert len(rows) == odd.count() and not any(r.predicted for r in rows)
     assert drop_toxic(odd, model).columns == odd.columns and drop_toxic(odd, model).count() == odd.count()
-    assert [r.predicted for r in toxicity_scores(docs, model).orderBy("doc_id").collect()] == [k % 2 for k in range(60)]
-    assert drop_toxic(docs, model).count() == 30
+    assert [r.predicted for r in toxicity_scores(docs, model).orderBy("doc_id").collect()] == [int(k % 5 == 0) for k in range(200)]
+    assert drop_toxic(docs, model).count() == 160
     assert toxicity_scores(none, model).count() == 0
     empty = learn(docs, labels.limit(0))
     assert not any(r.predicted for r in toxicity_scores(docs, empty).collect())
