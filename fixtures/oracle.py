@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from fixtures.traffic import AS_OF, DUCKDB_K, raw_columns
+from fixtures.traffic import (
+    AS_OF, BARE_SPEED, DUCKDB_K, FIELDS, NO_JSON, WRAPPED, WRAPPER, raw_columns)
 
 _SILVER = ("raw_json, kafka_timestamp, vehicle_id, road_id, city_zone, speed, congestion_level,"
            " weather, event_time, dq_flag, speed_int, event_ts, speed_valid, time_valid, hour,"
@@ -45,8 +46,12 @@ def _layer_ctes(gaps: bool) -> list[tuple[str, str]]:
     return [
         ("raw", f"select {raw} from events union all select {raw} from events"
                 " where event_id % 31 = 0"),
-        ("bronze", f"select {_RAW_JSON} raw_json, ts kafka_timestamp, vehicle_id, road_id,"
-                   " city_zone, speed, congestion_level, weather, event_time from raw"),
+        ("bronze", f"""select case when event_id % {NO_JSON} = 0 then 'broken line ' || event_id
+               when event_id % {WRAPPED} = 0 then '{WRAPPER}' when event_id % {BARE_SPEED} = 0
+               then regexp_replace({_RAW_JSON}, '"speed":"(-?[0-9]+)"', '"speed":\\1')
+               else {_RAW_JSON} end raw_json, ts kafka_timestamp, """ + ", ".join(
+            f"case when event_id % {NO_JSON} <> 0 and event_id % {WRAPPED} <> 0 then {c} end {c}"
+            for c in FIELDS) + " from raw"),
         ("typed", """select *, case when vehicle_id is null then 'MISSING_VEHICLE'
              when event_time is null then 'MISSING_TIME'
              when raw_json like '%CORRUPTED%' then 'CORRUPTED_JSON' else 'OK' end dq_flag,

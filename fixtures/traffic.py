@@ -12,6 +12,10 @@ AS_OF = "2024-01-25 00:00:00"
 FIELDS = ("vehicle_id", "road_id", "city_zone", "speed", "congestion_level", "weather",
           "event_time")
 
+# Every so many events the message is malformed in one of these ways.
+NO_JSON, WRAPPED, BARE_SPEED = 101, 103, 107
+WRAPPER = '{"raw":"###CORRUPTED_EVENT###"}'
+
 # The number inside props, in either engine.
 SPARK_K = "cast(get_json_object(props, '$.k') as int)"
 DUCKDB_K = "cast(json_extract_string(props, '$.k') as int)"
@@ -67,8 +71,16 @@ def traffic_raw(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFra
 
 
 def envelope(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
-    """The messages as a log delivers them: JSON bytes and a broker time."""
+    """The messages as a log delivers them: JSON bytes and a broker time.
+
+    Some lines are no JSON, some wrap an event that was lost, some have their speed as a number.
+    """
     payload = F.to_json(F.struct(*FIELDS, "note", "road_condition"))
+    number = F.col("event_id")
+    payload = (F.when(number % NO_JSON == 0, F.concat(F.lit("broken line "), number.cast("string")))
+               .when(number % WRAPPED == 0, F.lit(WRAPPER))
+               .when(number % BARE_SPEED == 0, F.regexp_replace(payload, r'"speed":"(-?[0-9]+)"', '"speed":$1'))
+               .otherwise(payload))
     return traffic_raw(spark, sf_dir, gaps).select(
         payload.cast("binary").alias("value"), F.col("ts").cast("timestamp").alias("timestamp"))
 
