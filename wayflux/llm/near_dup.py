@@ -7,9 +7,9 @@
    verified on full sets and the links are closed to components.
 4. Buckets that still hold several components may hide links that miss every center.  Their members
    go through a set join: a pair above the threshold shares one of the rarest shingles of both, so
-   only these are joined, between different components, under size and positional bounds.  That
-   is exact for all members and stays small where thousands of near copies share everything but
-   their edits.
+   only these are joined, between different components, under size and positional bounds: first with
+   the most central class of the largest component, then what is still apart with all.  That is
+   exact for all members and stays small where thousands of near copies share all but their edits.
 """
 
 from __future__ import annotations
@@ -129,37 +129,57 @@ def _verified(pairs: DataFrame, members: DataFrame, rule: NearDup) -> DataFrame:
         100 * both >= rule.least * (F.size("a") + F.size("b") - both)).select("u", "v")
 
 
-def _hidden_pairs(entries: DataFrame, members: DataFrame, roots: DataFrame, rule: NearDup) -> DataFrame:
-    """Pairs between components of one bucket, by the rarest shingles of their members."""
-    t = rule.least / 100
-    labelled = entries.join(roots, F.col("class") == F.col("node"), "left").select(
-        "key", "class", F.coalesce("root", "class").alias("root"))
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with the component of their class, which is the class itself where it has no link."""
+    return rows.join(roots, F.col("class") == F.col("node"), "left").withColumn(
+        "root", F.coalesce("root", "class")).drop("node")
+
+
+def _rare_heads(entries: DataFrame, members: DataFrame, roots: DataFrame, rule: NearDup) -> DataFrame:
+    """The rarest shingles of all classes in buckets with several components: as many as a pair above
+    the threshold can't do without, except those that no other class has."""
+    labelled = _rooted(entries.select("key", "class"), roots)
     mixed_keys = labelled.groupBy("key").agg(
         F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("n")
     ).where("n > 2 and a <> b").select("key")
-    open_classes = labelled.join(mixed_keys, "key", "left_semi").select("class", "root").distinct()
+    open_classes = labelled.join(mixed_keys, "key", "left_semi").select("class").distinct()
     tokens = stored(
         members.join(open_classes, "class")
-        .select("class", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")),
-        "shingles")
+        .select("class", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")), "shingles")
     counts = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-    ranked = tokens.join(counts, "shingle").withColumn("place", F.row_number().over(
-        Window.partitionBy("class").orderBy("df", "shingle")))
-    heads = stored(
-        ranked.where((F.col("df") > 1) & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * t) + 1))
-        .select("class", "root", "n", "shingle", "place"), "heads")
-    per_root = heads.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("c"))
+    ranked = tokens.join(counts, "shingle").withColumns({
+        "place": F.row_number().over(Window.partitionBy("class").orderBy("df", "shingle")),
+        "own": F.count_if(F.col("df") == 1).over(Window.partitionBy("class"))})
+    return stored(ranked.where(
+        (F.col("df") > 1) & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * (rule.least / 100)) + 1))
+        .select("class", "n", "shingle", "place", "own"), "heads")
+
+
+def _hidden_pairs(heads: DataFrame, roots: DataFrame, rule: NearDup, central: bool) -> DataFrame:
+    """Pairs between components that share a rare shingle and can reach the threshold by their sizes and
+    the shingle's places.  Classes outside a shingle's largest component meet all others that have it,
+    or with ``central`` only the class of the largest component with fewest shingles of its own."""
+    t = rule.least / 100
+    rooted = _rooted(heads, roots)
+    parts = ("class", "root", "n", "place")
+    per_root = rooted.groupBy("shingle", "root").agg(
+        F.count(F.lit(1)).alias("c"),
+        F.min_by(F.struct(*parts), F.struct(F.col("own") / F.col("n"), "class")).alias("best"))
     largest = per_root.groupBy("shingle").agg(
-        F.max_by("root", F.struct("c", "root")).alias("main"), F.count(F.lit(1)).alias("roots")
-    ).where("roots > 1")
-    left = heads.join(largest, "shingle").where("root <> main").select(
-        "shingle", *[F.col(c).alias(f"x_{c}") for c in ("class", "root", "n", "place")])
-    right = heads.join(largest.select("shingle"), "shingle", "left_semi").select(
-        "shingle", *[F.col(c).alias(f"y_{c}") for c in ("class", "root", "n", "place")])
+        F.max_by(F.struct("root", "best"), F.struct("c", "root")).alias("main"),
+        F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    left = rooted.join(largest, "shingle").where("root <> main.root").select(
+        "shingle", *[F.col(c).alias(f"x_{c}") for c in parts],
+        *[F.col(f"main.best.{c}").alias(f"y_{c}") for c in parts if central])
     need = F.ceil((F.col("x_n") + F.col("y_n")) * (t / (1 + t)) - 1e-9)
     room = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place")) + 1
-    found = left.join(right, (left["shingle"] == right["shingle"])
-                      & (F.col("x_root") != F.col("y_root")) & (room >= need))
+    if central:
+        found = left.where(room >= need)
+    else:
+        right = rooted.join(largest.select("shingle"), "shingle", "left_semi").select(
+            "shingle", *[F.col(c).alias(f"y_{c}") for c in parts])
+        found = left.join(right, (left["shingle"] == right["shingle"])
+                          & (F.col("x_root") != F.col("y_root")) & (room >= need))
     return found.select(F.greatest("x_class", "y_class").alias("u"),
                         F.least("x_class", "y_class").alias("v")).distinct()
 
@@ -198,10 +218,12 @@ def near_dup_groups(docs: DataFrame, rule: NearDup = NearDup()) -> DataFrame:
         .join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"]), "members")
     links = stored(_verified(pairs, members, rule), "verified")
     roots = components(links)
-    hidden = _hidden_pairs(entries, members, roots, rule)
-    more = stored(_verified(hidden, members, rule), "verified")
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+    heads = _rare_heads(entries, members, roots, rule)
+    for central in (True, False):  # what links to a central class need not meet all of its component
+        more = stored(_verified(_hidden_pairs(heads, roots, rule, central), members, rule), "verified")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            roots = components(links)
 
     least = (classes.join(roots, F.col("class") == F.col("node"))
              .groupBy("root").agg(F.min("id").alias("component"))
