@@ -20,8 +20,8 @@ TABLES = 3
 CELLS, GROWTH = 16, 4
 #: A line longer than this counts as several paragraphs, cut at its sentence ends.
 LINE = 1000
-#: Documents in one neighbourhood when texts meet the text after them.
-_BUCKET = 256
+#: Ids in one neighbourhood when texts meet the text after them, and how many of these there may be.
+_BUCKET, _NEIGHBOURHOODS, _STRIDE = 256, 65_536, 256
 _LIST = "array<bigint>"
 _CELLS = "array<struct<i:int,n:bigint,key:bigint,check:bigint>>"
 
@@ -126,43 +126,48 @@ def written(cells: str) -> Column:
         "-", c["i"].cast("string"), F.hex(c["n"]), F.hex(c["key"]), F.hex(c["check"])))))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
+def _bounds(ids: DataFrame, size: int) -> list[int]:
+    """The first id of each neighbourhood of about ``size`` rows of distinct ids; at most 65,536."""
+    placed = stored(
+        ids.distinct().repartitionByRange("id").sortWithinPartitions("id")
+        .withColumn("at", F.monotonically_increasing_id())
+        .select("id", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("at")),
+        "ids")
+    total, bases = 0, []
+    for part, n in sorted(placed.groupBy("part").count().collect()):  # a row for each partition
+        bases.append((part, total))
+        total += n
+    step = max(size, -(-total // _NEIGHBOURHOODS))
+    bases = ids.sparkSession.createDataFrame(bases, "part bigint, base bigint")
+    firsts = placed.join(F.broadcast(bases), "part").where((F.col("base") + F.col("at")) % step == 0)
+    return sorted(r["id"] for r in firsts.select("id").collect())
+
+
+def with_next(docs: DataFrame, size: int = _BUCKET) -> DataFrame:
     """``doc_id, text, next_text`` of each document in ascending doc_id, the first after the last.
 
     Null ids come first, texts of one id in the order of their hashes; null texts are empty.  Rows that
-    repeat id and text are one document.  Ids alone are sorted and numbered; then each neighbourhood
-    of 256 documents, with the document after it, is a window of its own.
+    repeat id and text are one document.  Ids alone are sorted to cut them into neighbourhoods of
+    ``size`` ids, more where that would be over 65,536 of them; texts are shuffled once, each
+    neighbourhood with the document after it, and are windows of their own.
     """
-    spark = docs.sparkSession
     rows = only(docs, doc_id="bigint", text="string").select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"),
-    ).withColumn("tie", F.xxhash64("text"))
-    sorted_ids = stored(
-        rows.select("id", "tie").distinct().repartitionByRange("id", "tie").sortWithinPartitions("id", "tie")
-        .withColumn("at", F.monotonically_increasing_id())
-        .select("id", "tie", F.shiftright("at", 33).alias("part"),
-                F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("at")), "ids")
-    sizes = sorted(sorted_ids.groupBy("part").count().collect())  # a row for each partition
-    total, bases = 0, []
-    for part, n in sizes:
-        bases.append((part, total))
-        total += n
-    bases = spark.createDataFrame(bases, "part bigint, base bigint")
-    ranks = sorted_ids.join(F.broadcast(bases), "part").select(
-        "id", "tie", (F.col("base") + F.col("at")).alias("rank"))
-    texts = rows.join(ranks, ["id", "tie"])
-    last = (total - 1) // _BUCKET if total else 0
-    own = F.floor(F.col("rank") / _BUCKET)
-    before = F.when(F.col("rank") == 0, F.lit(last)).otherwise(own - 1)
-    homes = F.when(F.col("rank") % _BUCKET == 0, F.array(
-        F.struct(own.alias("bucket"), F.lit(False).alias("guest")),
-        F.struct(before.alias("bucket"), F.lit(True).alias("guest")))).otherwise(
-        F.array(F.struct(own.alias("bucket"), F.lit(False).alias("guest"))))
-    shown = texts.select("id", "text", "rank", F.explode(homes).alias("home")).select(
-        "id", "text", "rank", "home.bucket", "home.guest")
-    near = "over (partition by bucket order by guest, rank)"
-    return (shown.withColumn("again", F.expr(f"lag(rank) {near}"))
-            .where("again is null or again <> rank or guest")
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    firsts = _bounds(rows.select("id"), size) or [NO_ID]
+    bounds = F.from_json(F.lit(str(firsts)), "array<bigint>")
+    coarse = F.from_json(F.lit(str(firsts[::_STRIDE])), "array<bigint>")
+    block = F.size(F.filter(coarse, lambda x: x <= F.col("id"))) - 1
+    placed = rows.withColumns({"tie": F.xxhash64("text"), "block": block}).withColumn(
+        "own", F.col("block") * _STRIDE + F.size(F.filter(
+            F.slice(bounds, F.col("block") * _STRIDE + 1, F.lit(_STRIDE)), lambda x: x <= F.col("id"))) - 1)
+    before = F.pmod(F.col("own") - 1, F.lit(len(firsts)))
+    stay = F.struct(F.col("own").alias("bucket"), F.lit(False).alias("guest"))
+    visit = F.struct(before.alias("bucket"), F.lit(True).alias("guest"))
+    homes = F.when(F.get(bounds, F.col("own")) == F.col("id"), F.array(stay, visit)).otherwise(F.array(stay))
+    shown = placed.select("id", "tie", "text", F.inline(homes))
+    near = "over (partition by bucket order by guest, id, tie)"
+    return (shown.withColumns({"same_id": F.expr(f"lag(id) {near}"), "same_tie": F.expr(f"lag(tie) {near}")})
+            .where("guest or same_id is null or same_id <> id or same_tie <> tie")
             .withColumn("next_text", F.expr(f"lead(text) {near}")).where("not guest")
             .select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "text", "next_text"))
 
