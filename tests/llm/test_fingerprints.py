@@ -54,7 +54,7 @@ def test_odd_rows(spark, odd, none):
 
 def test_next_crosses_neighbourhoods(spark):
     docs = spark.range(0, 1100).selectExpr("id * 3 as doc_id", "concat('t', id) as text").repartition(7)
-    found = {r.doc_id: r.next_text for r in with_next(docs).collect()}
+    found = {r.doc_id: r.next_text for r in with_next(docs, 7).collect()}
     assert found == {3 * k: f"t{(k + 1) % 1100}" for k in range(1100)}
 
 
