@@ -85,3 +85,12 @@ def test_odd_rows(spark, odd, none):
     assert toxicity_scores(none, model).count() == 0
     empty = learn(docs, labels.limit(0))
     assert not any(r.predicted for r in toxicity_scores(docs, empty).collect())
+
+
+def test_copies_of_one_text_take_no_terms_away(spark):
+    toxic = [f"you w{k} scoundrel" for k in range(40)] + ["what an awful scoundrel"] * 300
+    clean = [f"a fine day {k}" for k in range(160)] + ["nobody here is a scoundrel"] * 300
+    rows = [(k, t, int(k < len(toxic))) for k, t in enumerate(toxic + clean)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = learn(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    assert "scoundrel" in model.terms and "awful" not in model.terms

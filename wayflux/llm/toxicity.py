@@ -33,9 +33,9 @@ N_FEATURES = 6
 @dataclass(frozen=True)
 class Toxicity:
     """``labelled``: bound on the labelled rows that are sampled, by a hash of their ids, to learn from.
-    ``terms``: bound on the lexicon.  ``support``: share of the toxic documents a term is in at least, so
-    that rare words stay out; ``contexts``: different words before it, for each time it occurs, so
-    that words of one much copied text stay out.  ``confidence``: least lower bound of a term's log odds ratio.
+    ``terms``: bound on the lexicon.  ``support``: share of the distinct toxic texts a term is in at least, so
+    that rare words stay out; ``contexts``: different words before it, for each time it occurs in them,
+    so that words of one much copied and slightly varied text stay out.  ``confidence``: least lower bound of a term's log odds ratio.
     ``stem``: lengths of word beginnings that are tried as stems.  ``fuzzy_from``: shortest word that
     may be misspelled.  ``window``: words on each side of a match that are its context."""
 
@@ -194,9 +194,7 @@ def _in_many_contexts(toxic: DataFrame, terms: list[str], stems: list[str],
     heads = F.expr(f"concat(array(named_struct('kind', 'term', 'head', word)), transform(filter("
                    f"sequence({low}, {high}), k -> k < length(word)), "
                    f"k -> named_struct('kind', 'stem', 'head', left(word, k))))")
-    words = toxic.select(F.regexp_extract_all(
-        F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("words"))
-    pairs = words.select(F.inline(F.arrays_zip(
+    pairs = toxic.select(F.inline(F.arrays_zip(
         F.col("words").alias("word"), F.concat(F.array(F.lit("")), F.col("words")).alias("before"))))
     seen = (pairs.where("word is not null").select("before", F.inline(heads))
             .join(known, ["kind", "head"]).groupBy("kind", "entry", "before").count())
@@ -220,8 +218,10 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Toxicity = Toxicity(),
 
     The sample's ids (bounded) are broadcast; word counts of the sample are summed by Spark, and only
     words that pass a minimal lean reach the driver.  Labels with null id or value are not used; of
-    contradicting labels of one id the toxic one counts.  Without toxic or without clean rows, and
-    where no word leans with confidence, the model gives 0 to all.
+    contradicting labels of one id the toxic one counts.  The lexicon comes from distinct texts: those of
+    one label with the same words in the same order are one.  What clean texts count is brought to
+    the number of clean rows; the regression is fitted on all rows.  Without toxic or without clean
+    rows, and where no word leans with confidence, the model gives 0 to all.
     """
     known = only(labels, doc_id="bigint", toxic="int").where("doc_id is not null and toxic is not null")
     if usable is not None:
@@ -236,10 +236,14 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Toxicity = Toxicity(),
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     if not n_toxic or not n_clean:
         return Model({}, {}, [-30.0] + [0.0] * N_FEATURES, rule)
-    words = texts.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))).alias("word"))
+    distinct = stored(texts.select("toxic", F.regexp_extract_all(
+        F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("words"))
+        .withColumn("hash", F.xxhash64("words")).dropDuplicates(["toxic", "hash"]), "distinct")
+    once = dict(distinct.groupBy("toxic").count().collect())
+    n_toxic, copied = once[1], n_clean / once[0]
+    words = distinct.select("toxic", F.explode(F.array_distinct("words")).alias("word"))
     counts = words.groupBy("word").agg(
-        F.sum("toxic").alias("p"), (F.count(F.lit(1)) - F.sum("toxic")).alias("n"))
+        F.sum("toxic").alias("p"), ((F.count(F.lit(1)) - F.sum("toxic")) * copied).alias("n"))
     counts = stored(counts, "word-counts")
     support = max(3, math.ceil(rule.support * n_toxic))
     lean = f"p >= {support} and p * {n_clean} > 4 * n * {n_toxic}"
@@ -259,7 +263,7 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Toxicity = Toxicity(),
 
     terms = chosen(counts, "length(word) >= 3")
     stems = chosen(stem_counts, "forms >= 3")
-    varied = _in_many_contexts(texts.where("toxic = 1"), [*terms], [*stems], rule)
+    varied = _in_many_contexts(distinct.where("toxic = 1"), [*terms], [*stems], rule)
     stems = {s: w for s, w in stems.items() if ("stem", s) in varied}
     stems = {s: w for s, w in stems.items() if not any(s[:k] in stems for k in range(low, len(s)))}
     terms = {t: w for t, w in terms.items()
