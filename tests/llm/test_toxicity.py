@@ -94,3 +94,13 @@ def test_copies_of_one_text_take_no_terms_away(spark):
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
     model = learn(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
     assert "scoundrel" in model.terms and "awful" not in model.terms
+
+
+def test_a_long_text_in_many_versions_does_not_fill_the_lexicon(spark):
+    long = " ".join(f"long{k}word" for k in range(2_500))
+    toxic = [f"you w{k} scoundrel" for k in range(40)] + [f"{long} version {k}" for k in range(60)]
+    clean = [f"a fine day {k}" for k in range(900)]
+    rows = [(k, t, int(k < len(toxic))) for k, t in enumerate(toxic + clean)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = learn(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    assert set(model.terms) == {"scoundrel"}

@@ -33,7 +33,7 @@ N_FEATURES = 6
 @dataclass(frozen=True)
 class Toxicity:
     """``labelled``: bound on the labelled rows that are sampled, by a hash of their ids, to learn from.
-    ``terms``: bound on the lexicon.  ``support``: share of the distinct toxic texts a term is in at least, so
+    ``terms``: bound on the lexicon, by margin among what passes all tests.  ``support``: share of the distinct toxic texts a term is in at least, so
     that rare words stay out; ``contexts``: different words before it, for each time it occurs in them,
     so that words of one much copied and slightly varied text stay out.  ``confidence``: least lower bound of a term's log odds ratio.
     ``stem``: lengths of word beginnings that are tried as stems.  ``fuzzy_from``: shortest word that
@@ -182,26 +182,22 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
     return w
 
 
-def _in_many_contexts(toxic: DataFrame, terms: list[str], stems: list[str],
-                      rule: Toxicity) -> set[tuple[str, str]]:
-    """Of the candidates (bounded lists), those that follow many different words.  What only much copied
-    texts have in common always follows the same one."""
-    rows = [("term", t, t) for t in terms] + [("stem", s, s) for s in stems]
-    if not rows:
-        return set()
-    known = F.broadcast(toxic.sparkSession.createDataFrame(rows, "kind string, entry string, head string"))
+def _in_many_contexts(toxic: DataFrame, candidates: DataFrame, rule: Toxicity) -> DataFrame:
+    """Of the candidates (kind, word, margin), those that follow many different words.  What only much
+    copied texts have in common always follows the same one."""
     low, high = rule.stem
     heads = F.expr(f"concat(array(named_struct('kind', 'term', 'head', word)), transform(filter("
                    f"sequence({low}, {high}), k -> k < length(word)), "
                    f"k -> named_struct('kind', 'stem', 'head', left(word, k))))")
     pairs = toxic.select(F.inline(F.arrays_zip(
         F.col("words").alias("word"), F.concat(F.array(F.lit("")), F.col("words")).alias("before"))))
-    seen = (pairs.where("word is not null").select("before", F.inline(heads))
-            .join(known, ["kind", "head"]).groupBy("kind", "entry", "before").count())
-    found = seen.groupBy("kind", "entry").agg(
+    pairs = pairs.where("word is not null").groupBy("word", "before").count()
+    seen = (pairs.select("before", "count", F.inline(heads)).withColumnRenamed("head", "word")
+            .join(candidates, ["kind", "word"]).groupBy("kind", "word", "margin", "before")
+            .agg(F.sum("count").alias("count")))
+    return seen.groupBy("kind", "word", "margin").agg(
         F.count(F.lit(1)).alias("contexts"), F.sum("count").alias("times")).where(
         f"contexts >= greatest(3, {rule.contexts} * times)")
-    return {(r["kind"], r["entry"]) for r in found.collect()}
 
 
 @dataclass(frozen=True)
@@ -216,8 +212,8 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Toxicity = Toxicity(),
           usable: Column | None = None) -> Model:
     """Fit on at most ``rule.labelled`` labelled documents for which ``usable`` holds.
 
-    The sample's ids (bounded) are broadcast; word counts of the sample are summed by Spark, and only
-    words that pass a minimal lean reach the driver.  Labels with null id or value are not used; of
+    The sample's ids (bounded) are broadcast; word counts of the sample are summed and tested by
+    Spark, and only the lexicon (bounded) reaches the driver.  Labels with null id or value are not used; of
     contradicting labels of one id the toxic one counts.  The lexicon comes from distinct texts: those of
     one label with the same words in the same order are one.  What clean texts count is brought to
     the number of clean rows; the regression is fitted on all rows.  Without toxic or without clean
@@ -253,21 +249,24 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Toxicity = Toxicity(),
         .alias("word")).groupBy("word").agg(F.sum("p").alias("p"), F.sum("n").alias("n"),
                                             F.count(F.lit(1)).alias("forms"))
 
-    def chosen(found: DataFrame, extra: str) -> dict[str, float]:
+    def leaning(found: DataFrame, kind: str, extra: str) -> DataFrame:
         margin = (F.log((F.col("p") + 0.5) / (n_toxic + 1)) - F.log((F.col("n") + 0.5) / (n_clean + 1))
                   - 1.64 * F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("n") + 0.5)))
-        rows = (found.where(lean).withColumn("margin", margin).where(F.col("margin") >= rule.confidence)
-                .where(extra).orderBy(F.desc("margin"), "word").limit(rule.terms)
+        return (found.where(lean).withColumn("margin", margin).where(F.col("margin") >= rule.confidence)
+                .where(extra).select(F.lit(kind).alias("kind"), "word", "margin"))
+
+    candidates = stored(leaning(counts, "term", "length(word) >= 3").unionByName(
+        leaning(stem_counts, "stem", "forms >= 3")), "candidates")
+    varied = stored(_in_many_contexts(distinct.where("toxic = 1"), candidates, rule), "varied")
+
+    def chosen(kind: str) -> dict[str, float]:
+        rows = (varied.where(F.col("kind") == kind).orderBy(F.desc("margin"), "word").limit(rule.terms)
                 .select("word", "margin").collect())
         return {r["word"]: float(r["margin"]) for r in rows}
 
-    terms = chosen(counts, "length(word) >= 3")
-    stems = chosen(stem_counts, "forms >= 3")
-    varied = _in_many_contexts(distinct.where("toxic = 1"), [*terms], [*stems], rule)
-    stems = {s: w for s, w in stems.items() if ("stem", s) in varied}
+    terms, stems = chosen("term"), chosen("stem")
     stems = {s: w for s, w in stems.items() if not any(s[:k] in stems for k in range(low, len(s)))}
-    terms = {t: w for t, w in terms.items()
-             if ("term", t) in varied and not any(t[:k] in stems for k in range(low, len(t)))}
+    terms = {t: w for t, w in terms.items() if not any(t[:k] in stems for k in range(low, len(t)))}
 
     if not terms and not stems:
         return Model({}, {}, [-30.0] + [0.0] * N_FEATURES, rule)
