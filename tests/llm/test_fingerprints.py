@@ -73,3 +73,17 @@ def test_peeling_recovers_both_sides_and_fails_honestly(spark):
 def test_main_path_is_native(spark, sf_dir):
     plan = op1_fingerprints(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_edited_texts_of_one_line_share_paragraphs(spark):
+    draw = random.Random(5)
+    words = [f"w{draw.randrange(10**6)}" for _ in range(1200)]
+    rows = [(1, " ".join(w + "." * (k % 8 == 7) for k, w in enumerate(words[:120]))),  # sentences of one line
+            (2, " ".join(words[120:600])),  # one long sentence
+            (3, "".join(words[600:]))]  # one long word
+    assert len(rows[0][1]) < 1000 and max(len(p) for p in rows[0][1].split(". ")) < 100
+    found = {r.doc_id: r for r in edited_fingerprints(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert 0.2 < found[1].near_edited < 0.5
+    for i in (1, 2, 3):
+        assert 0.2 < found[i].piece_edited < 0.5 and found[i].piece_next == 0.0, i

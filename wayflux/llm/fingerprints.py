@@ -1,6 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text is the set of its paragraphs' 64-bit digests.  The sketch has three subtables; each digest goes
+A text is the set of its paragraphs' 64-bit digests; paragraphs are sentences of lines.  Long ones are
+also cut to pieces at words by their hashes, so that they are not lost as a whole when one end changes.  The sketch has three subtables; each digest goes
 into one cell of each, and a cell holds the number of its digests, their XOR and the XOR of their
 checks.  Subtracting two sketches cell by cell cancels what they share.  A cell that is left with one
 digest (its check fits) gives it away; taking it out of its other cells frees further ones, until
@@ -18,26 +19,69 @@ from wayflux.llm.common import NO_ID, only, stored
 TABLES = 3
 #: Cells of each subtable of a published fingerprint, and the factor by which a failed pair grows.
 CELLS, GROWTH = 16, 4
-#: A line longer than this counts as several paragraphs, cut at its sentence ends.
-LINE = 1000
+#: A line longer than this counts as several paragraphs, cut at its sentence ends: all lines are.
+LINE = 0
+#: A sentence longer than this is cut after each word whose hash is a multiple of ``_EVERY``.
+PIECE, _EVERY = 400, 8
+#: A word longer than this is cut in the same way, after characters with those before them.
+_WORD, _GRAM, _LETTERS = 100, 4, 32
 #: Ids in one neighbourhood when texts meet the text after them, and how many of these there may be.
 _BUCKET, _NEIGHBOURHOODS, _STRIDE = 256, 65_536, 256
+_SIDES = ("own", "edited", "next")
 _LIST = "array<bigint>"
 _CELLS = "array<struct<i:int,n:bigint,key:bigint,check:bigint>>"
 
 
-def digests(text: str | Column) -> Column:
-    """Sorted distinct digests of the paragraphs of a text; those of white space only are left out."""
-    lines = F.split(text, "\n")
-    parts = F.flatten(F.transform(lines, lambda x: F.when(
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once; a plain reference would repeat it at each use."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _cut(units: Column, between: str, ends) -> Column:
+    """``units`` joined to pieces that end where ``ends(units, k)`` holds for the k-th, or with the last."""
+    def pieces(u: Column) -> Column:
+        last = F.size(u)
+        places = F.filter(F.sequence(F.lit(1), last), lambda k: (k == last) | ends(u, k))
+        return _bound(places, lambda at: F.transform(at, lambda k, i: _bound(
+            F.when(i == 0, F.lit(0)).otherwise(F.get(at, i - 1)),
+            lambda start: F.array_join(F.slice(u, start + 1, k - start), between))))
+
+    return _bound(units, pieces)
+
+
+def _letters(word: Column) -> Column:
+    """Pieces of a word that is too long, by its characters."""
+    return F.when(F.length(word) <= _WORD, F.array(word)).otherwise(_cut(
+        F.split(word, ""), "", lambda u, k: (k >= _GRAM) & (F.pmod(F.xxhash64(F.slice(
+            u, F.greatest(k - _GRAM + 1, F.lit(1)), F.lit(_GRAM))), F.lit(_LETTERS)) == 0)))
+
+
+def _pieces(sentence: Column) -> Column:
+    """A sentence, in pieces where it is long: their ends depend on the words there, not on places."""
+    words = F.flatten(F.transform(F.split(sentence, " "), _letters))
+    return F.when(F.length(sentence) <= PIECE, F.array(sentence)).otherwise(_cut(
+        words, " ", lambda u, k: F.pmod(F.xxhash64(F.get(u, k - 1)), F.lit(_EVERY)) == 0))
+
+
+def _sentences(text: str | Column) -> Column:
+    return F.flatten(F.transform(F.split(text, "\n"), lambda x: F.when(
         F.length(x) <= LINE, F.array(x)).otherwise(F.split(x, r"(?<=[.!?]) "))))
+
+
+def _digests(parts: Column) -> Column:
     return F.coalesce(F.array_sort(F.array_distinct(F.transform(
         F.filter(parts, lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x)))), F.array().cast(_LIST))
 
 
-def _bound(value: Column, use) -> Column:
-    """``use(value)`` with the value worked out once; a plain reference would repeat it at each use."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+def digests(text: str | Column) -> Column:
+    """Sorted distinct digests of the paragraphs of a text; those of white space only are left out."""
+    return _digests(_sentences(text))
+
+
+def piece_digests(text: str | Column) -> Column:
+    """The same with long paragraphs in pieces; null where none is long."""
+    return _bound(_sentences(text), lambda parts: F.when(
+        F.exists(parts, lambda x: F.length(x) > PIECE), _digests(F.flatten(F.transform(parts, _pieces)))))
 
 
 def _check(key: Column) -> Column:
@@ -173,18 +217,28 @@ def with_next(docs: DataFrame, size: int = _BUCKET) -> DataFrame:
 
 
 def _compared(rows: DataFrame, cells: int) -> DataFrame:
-    """Fills near_edited and near_next from sketches of this size, null where peeling fails."""
-    sketched = rows.withColumns({s: sketch(F.col(d), cells) for s, d in (
-        ("own_s", "own"), ("edited_s", "edited"), ("next_s", "next"))})
-    return sketched.withColumns({f"near_{x}": F.coalesce(f"near_{x}", likeness(
-        F.size("own"), peeled(subtracted("own_s", f"{x}_s"), cells))) for x in ("edited", "next")})
+    """Fills near_* and piece_* from sketches of this size, null where peeling fails."""
+    def filled(level: str, x: str, end: str) -> Column:
+        return F.coalesce(f"{level}_{x}", likeness(
+            F.size(f"own{end}"), peeled(subtracted(f"own{end}_s", f"{x}{end}_s"), cells)))
+
+    def whole(side: str) -> Column:
+        return F.col(side) == F.col(f"{side}_p")
+
+    sketched = rows.withColumns({f"{d}_s": sketch(F.col(d), cells) for d in _SIDES})
+    sketched = sketched.withColumns({f"{d}_p_s": F.when(whole(d), F.col(f"{d}_s")).otherwise(
+        sketch(F.col(f"{d}_p"), cells)) for d in _SIDES})
+    near = sketched.withColumns({f"near_{x}": filled("near", x, "") for x in _SIDES[1:]})
+    return near.withColumns({f"piece_{x}": F.when(
+        whole("own") & whole(x), F.col(f"near_{x}")).otherwise(filled("piece", x, "_p")) for x in _SIDES[1:]})
 
 
 def edited_fingerprints(docs: DataFrame, cells: int = CELLS) -> DataFrame:
-    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
+    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, piece_edited, piece_next``.
 
     Each text of ``docs`` is compared with an edited version, in which the last half of its characters
     (rounded down) gives way to as many first ones of the next document, and with that next document.
+    near_* counts sentences; piece_* and the fingerprints cut long ones to pieces.
     Fingerprints are ``cells`` cells for each of three subtables; likeness comes from peeling their
     difference, on larger sketches where that fails.  Null and empty texts have empty sketches.  Rows
     that repeat id and text are one document; an empty table gives no rows.  Other columns are not read.
@@ -192,18 +246,22 @@ def edited_fingerprints(docs: DataFrame, cells: int = CELLS) -> DataFrame:
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.left("text", F.length("text") - half), F.left("next_text", half))
     none = F.lit(None).cast("double")
+    measures = [f"{level}_{x}" for level in ("near", "piece") for x in _SIDES[1:]]
+
+    def both(text: str, side: str) -> list[Column]:
+        return [digests(text).alias(side), piece_digests(text).alias(f"{side}_p")]
+
     rows = with_next(docs).select(
         "doc_id", F.length("text").cast("bigint").alias("n_chars"), edited.alias("edited_text"),
-        digests("text").alias("own"), digests("next_text").alias("next")).select(
-        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "own",
-        digests("edited_text").alias("edited"), "next",
-        none.alias("near_edited"), none.alias("near_next"))
-    failed = F.col("near_edited").isNull() | F.col("near_next").isNull()
-    result = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-              "near_edited", "near_next"]
+        *both("text", "own"), *both("next_text", "next")).select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "own", "own_p",
+        *both("edited_text", "edited"), "next", "next_p", *[none.alias(c) for c in measures])
+    rows = rows.withColumns({f"{d}_p": F.coalesce(f"{d}_p", d) for d in _SIDES})
+    failed = F.greatest(*[F.col(c).isNull() for c in measures])
+    result = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *measures]
     now = stored(_compared(rows, cells).select(
-        *result[:3], written("own_s").alias("fingerprint"), written("edited_s").alias("edited_fingerprint"),
-        *result[5:], *[F.when(failed, F.col(c)).alias(c) for c in ("own", "edited", "next")]), "sketches")
+        *result[:3], written("own_p_s").alias("fingerprint"), written("edited_p_s").alias("edited_fingerprint"),
+        *measures, *[F.when(failed, F.col(c)).alias(c) for d in _SIDES for c in (d, f"{d}_p")]), "sketches")
     parts, size = [now.where(~failed).select(*result)], cells
     now = now.where(failed)
     while not now.isEmpty():
