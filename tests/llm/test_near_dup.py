@@ -105,3 +105,7 @@ def test_components(spark):
     assert {found[k] for k in range(41)} == {0} and {found[k] for k in (100, 101, 102)} == {100}
     assert {found[k] for k in range(200, 240)} == {200}
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_rows_of_a_kept_id_stay_by_their_own_text(odd):
+    assert [r.text for r in keep_one(odd).where("doc_id = 7").collect()] == ["other words stand here under the same id"]

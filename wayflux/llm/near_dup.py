@@ -53,7 +53,8 @@ class NearDup:
 
 
 _SETS = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
+    T.StructField("doc_id", T.LongType()), T.StructField("text_hash", T.LongType()),
+    T.StructField("n_shingles", T.LongType()),
     T.StructField("class", T.BinaryType()), T.StructField("sign", T.BinaryType()),
     T.StructField("bands", T.ArrayType(T.LongType(), False))])
 _MEMBERS = T.StructType([
@@ -68,7 +69,7 @@ def _sketch(rule: NearDup):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, band = WordHasher(), np.arange(rule.bands, dtype=np.uint64)
 
-        def pack(ids, sets):
+        def pack(ids, hashes, sets):
             signs = signatures(sets, rule.slots)
             cells = signs.reshape(len(sets), rule.bands, rule.rows)
             keys = np.broadcast_to(mixed(band + np.uint64(1)), cells.shape[:2])
@@ -77,27 +78,29 @@ def _sketch(rule: NearDup):
             short = mixed(signs).astype(np.uint16)
             full = [len(s) > 0 for s in sets]
             return pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_digest(s) if s.size else None for s in sets], pa.binary()),
                 pa.array([x.tobytes() if f else None for x, f in zip(short, full)], pa.binary()),
                 pa.array([x if f else None for x, f in zip(keys.view(np.int64), full)],
                          pa.list_(pa.field("element", pa.int64(), False)))],
-                schema=pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()),
+                schema=pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()),
                                   ("class", pa.binary()), ("sign", pa.binary()),
                                   ("bands", pa.list_(pa.field("element", pa.int64(), False)))]))
 
         for batch in batches:
-            ids, sets, held = [], [], 0
-            for doc_id, s in zip(batch.column(0).to_pylist(),
-                                 shingle_sets(batch.column(1), rule.shingle, hasher)):
+            ids, hashes, sets, held = [], [], [], 0
+            for doc_id, text_hash, s in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(),
+                                            shingle_sets(batch.column(1), rule.shingle, hasher)):
                 ids.append(doc_id)
+                hashes.append(text_hash)
                 sets.append(s)
                 held += len(s) + 64
                 if held > 400_000:
-                    yield pack(ids, sets)
-                    ids, sets, held = [], [], 0
+                    yield pack(ids, hashes, sets)
+                    ids, hashes, sets, held = [], [], [], 0
             if ids:
-                yield pack(ids, sets)
+                yield pack(ids, hashes, sets)
     return run
 
 
@@ -192,8 +195,13 @@ def near_dup_groups(docs: DataFrame, rule: NearDup = NearDup()) -> DataFrame:
     that repeat an id are each judged by their own text.  A null id counts as the least one and
     comes back as null.  Other columns are not read; an empty table gives no rows.
     """
+    return _judged(docs, rule).drop("text_hash")
+
+
+def _judged(docs: DataFrame, rule: NearDup) -> DataFrame:
+    """The groups with the hash of each row's text."""
     docs = only(docs, doc_id="bigint", text="string")
-    rows = stored(docs.mapInArrow(_sketch(rule), _SETS), "sketches")
+    rows = stored(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_sketch(rule), _SETS), "sketches")
     ranked = rows.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID)))
     classes = ranked.where("class is not null").groupBy("class").agg(F.min("id").alias("id"))
     one = ranked.where("class is not null").select("class", "bands").dropDuplicates(["class"])
@@ -231,7 +239,7 @@ def near_dup_groups(docs: DataFrame, rule: NearDup = NearDup()) -> DataFrame:
     copies = classes.join(least, "class", "left").select(
         "class", F.coalesce("component", "id").alias("component"))
     out = ranked.join(copies, "class", "left").withColumn("component", F.coalesce("component", "id"))
-    return out.select("doc_id", "n_shingles",
+    return out.select("doc_id", "text_hash", "n_shingles",
                       F.nullif("component", F.lit(NO_ID)).alias("component_id"),
                       (F.col("component") == F.col("id")).alias("kept"))
 
@@ -239,6 +247,8 @@ def near_dup_groups(docs: DataFrame, rule: NearDup = NearDup()) -> DataFrame:
 def keep_one(docs: DataFrame, rule: NearDup = NearDup()) -> DataFrame:
     """The rows of ``docs`` that stay when each group keeps its least doc_id, all columns as they
     are.  Rows that repeat a kept id stay only if their own text is judged kept too."""
-    gone = (near_dup_groups(docs, rule).groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("__gone"))
-            .agg(F.bool_or("kept").alias("__any")).where("not __any").select("__gone"))
-    return docs.join(gone, F.coalesce(docs["doc_id"], F.lit(NO_ID)) == gone["__gone"], "left_anti")
+    gone = (_judged(docs, rule).groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("__gone"),
+                                        F.col("text_hash").alias("__hash"))
+            .agg(F.bool_or("kept").alias("__any")).where("not __any").select("__gone", "__hash"))
+    return docs.join(gone, (F.coalesce(docs["doc_id"], F.lit(NO_ID)) == gone["__gone"])
+                     & (F.xxhash64(docs["text"].cast("string")) == gone["__hash"]), "left_anti")
