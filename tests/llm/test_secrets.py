@@ -73,3 +73,13 @@ def test_odd_rows(spark, odd, none):
     assert secret_report(odd).count() == odd.count() and secret_report(none).count() == 0
     plan = secret_report(odd)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_random_strings_without_digits_or_after_a_date_are_found(spark):
+    harmless = ["keitlichenlichkeitbeheit", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "GetElementsByClassNameOnly", "2024-01-02-abcdefghijklmnop",
+                "Some-Capitalised_Words/here", "--------------------------"]
+    random = ["qGZrULkdVnFXwJTbDYpHMcS", "2024-01-02-q8Zr5Lk2Vn9Xw3Tb7Yp4Mc6"]
+    text = " ".join(harmless + random)
+    row = secret_report(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    added = [text[int(a):int(b)] for kind, a, b in (s.split(":") for s in row.spans.split(",")) if kind == "entropy"]
+    assert added == random

@@ -24,21 +24,26 @@ BASE = {
     "hex": (r"[0-9a-f]+", 0, 32),
 }
 
+#: A word of one case or capitalised, or several capitalised ones of three letters or more in one.
+_WORD = "(?:[a-z]*(?:[A-Z][a-z]{2,})++|[A-Z]?[a-z]+|[A-Z]+)"
+
 
 @dataclass(frozen=True)
 class Entropy:
     """Windows of ``window`` characters; the least entropy in bits a character by class of the string:
-    ``hex`` digits only, ``mixed`` letters and digits (and base64 signs).  Strings without a digit, or
-    of ``least`` characters fewer, are words to this scan.  ``allow``: patterns of harmless strings."""
+    ``hex`` digits only, ``mixed`` letters and digits (and base64 signs), ``letters`` without a digit.
+    Strings of fewer than ``least`` characters are words to this scan.  ``allow``: patterns of harmless strings."""
 
     window: int = 20
     least: int = 20
     hex_bits: float = 3.0
     mixed_bits: float = 3.6
+    letters_bits: float = 3.8
     allow: tuple[str, ...] = (
         r"^[0-9]+$", r"^(.)\1+$", r"(?i)example|sample|dummy|placeholder|changeme",
         r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-        r"^[A-Za-z]+([-_/=+][A-Za-z]+)*$", r"^[0-9]{4}[-/][0-9]{2}[-/][0-9]{2}")
+        rf"^[-_/=+]*{_WORD}?(?:[-_/=+]+{_WORD})*+[-_/=+]*$",
+        rf"^[0-9]{{4}}[-/][0-9]{{2}}[-/][0-9]{{2}}(?:[-_/=+]+{_WORD})*+$")
 
 
 def _spans(text: str, kind: str, rank: int, pattern: str, group: int, least: int) -> Column:
@@ -95,8 +100,9 @@ def _entropy_spans(text: str, rule: Entropy) -> Column:
         for pattern in rule.allow:
             harmless = harmless | value.rlike(pattern)
         bits = max_entropy(value, rule.window)
-        least = F.when(value.rlike("^[0-9a-fA-F]+$"), rule.hex_bits).otherwise(rule.mixed_bits)
-        return F.when(harmless | ~value.rlike("[0-9]"), False).otherwise(bits >= least)
+        least = F.when(value.rlike("^[0-9a-fA-F]+$"), rule.hex_bits).when(
+            value.rlike("[0-9]"), rule.mixed_bits).otherwise(rule.letters_bits)
+        return F.when(harmless, False).otherwise(bits >= least)
 
     return F.filter(strings, suspicious)
 
