@@ -1,0 +1,82 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from wayflux.llm import centroids
+from wayflux.llm.centroids import Clustering, centroid_clusters, reassign
+from wayflux.llm.common import table
+from wayflux.llm.queries import op13_centroids
+
+
+def brute(rows, clusters=16, rounds=3, size=64, scale=64, seed=1):
+    """Every distance of every round, in whole numbers of Python."""
+    kept = [(i, [math.floor(scale * x) for x in v]) for i, v in rows
+            if v is not None and len(v) == size and all(x is not None and math.isfinite(x) for x in v)]
+    start = sorted(kept, key=lambda r: (r[0] is None, hashlib.sha256(f"{seed}:{r[0]}".encode()).hexdigest(), r[1]))
+    middle = [v for _, v in start[:clusters]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), k) for k, c in enumerate(middle))
+
+    for _ in range(rounds):
+        of = [nearest(v)[1] for _, v in kept]
+        middle = [[sum(x) // len(x) for x in zip(*have)] if (have := [v for (_, v), k in zip(kept, of) if k == n]) else c
+                  for n, c in enumerate(middle)]
+    found = [(i, *nearest(v)) for i, v in kept]
+    total = [sum(d for _, d, k in found if k == n) for n in range(len(middle))]
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in middle]
+    return sorted(((i, k, d, total[k], sum(total), digest[k]) for i, d, k in found), key=str)
+
+
+def test_all_vectors_against_brute_force(spark, sf_dir):
+    rows = [(r.vec_id, r.embedding) for r in table(spark, sf_dir, "embeddings").collect()]
+    assert sorted(map(tuple, op13_centroids(spark, sf_dir).collect()), key=str) == brute(rows)
+
+
+def test_ties_large_components_and_odd_rows(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, [float(x) for x in rng.integers(-3, 3, 4)]) for k in range(300)]  # many ties and copies
+    rows += [(k, [float(x) for x in rng.integers(-2_000_000, 2_000_000, 4)]) for k in range(300, 340)]
+    rows += [(7, [1.0, 1.0, 1.0, 1.0]), (None, [2.0] * 4), (400, None), (401, []), (402, [1.0] * 3), (403, [1.0] * 5),
+             (404, [1.0, None, 1.0, 1.0]), (405, [math.nan] * 4), (406, [math.inf] * 4), (407, [-0.001, -1e-300, 0.0, -0.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").selectExpr(
+        "vec_id", "embedding", "1 as cluster", "'x' as v", "2 as sq").repartition(5)
+    for rounds in (0, 1, 4):
+        rule = Clustering(clusters=9, rounds=rounds, size=4)
+        got = sorted(map(tuple, centroid_clusters(frame, rule).collect()), key=str)
+        assert got == brute(rows, 9, rounds, 4)
+
+
+def test_fewer_vectors_than_clusters_none_and_too_large(spark):
+    schema = "vec_id bigint, embedding array<float>"
+    two = spark.createDataFrame([(1, [0.5, 0.25]), (2, [0.125, 1.0])], schema)
+    assert [r.distance for r in centroid_clusters(two, Clustering(size=2)).collect()] == [0, 0]
+    none = centroid_clusters(two.limit(0), Clustering(size=2))
+    assert none.count() == 0 and none.columns == centroid_clusters(two, Clustering(size=2)).columns
+    with pytest.raises(Exception, match="beyond 2\\^27"):
+        centroid_clusters(spark.createDataFrame([(1, [1e30, 0.0])], schema), Clustering(size=2)).collect()
+
+
+def test_bounds_leave_out_most_distances_and_no_answer():
+    rng = np.random.default_rng(3)
+    homes = rng.integers(-4000, 4000, (16, 64))
+    x = homes[rng.integers(0, 16, 4000)] + rng.integers(-300, 300, (4000, 64))
+    history = [homes + rng.integers(-200, 200, homes.shape)]
+    sq = centroids._all_distances(x, history[0])
+    seen, cluster = np.zeros(sq.shape, np.int32), sq.argmin(1)
+    for _ in range(5):
+        history.append(history[-1] + rng.integers(-60, 60, homes.shape))
+        cluster, computed = reassign(x, cluster, sq, seen, history, exact=False)
+        assert (cluster == centroids._all_distances(x, history[-1]).argmin(1)).all()
+        assert computed < 0.2 * sq.size
+
+
+def test_the_norm_of_the_sum_is_tighter_than_the_sum_of_norms():
+    """A centroid that comes back to where it was loosens no bound."""
+    x = np.array([[0, 0]])
+    history = [np.array([[1, 0], [5, 0]]), np.array([[1, 0], [90, 0]]), np.array([[1, 0], [5, 0]])]
+    sq, seen = centroids._all_distances(x, history[0]), np.zeros((1, 2), np.int32)
+    cluster, computed = reassign(x, np.array([0]), sq, seen, history, exact=False)
+    assert cluster[0] == 0 and computed == 0

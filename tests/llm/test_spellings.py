@@ -1,0 +1,125 @@
+import re
+import zlib
+from collections import Counter
+from itertools import combinations
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from wayflux.llm import queries
+from wayflux.llm.spellings import gram_prefixes, near_words, spelling_groups, spelling_report
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def one_edit(a, b):
+    """Exactly one inserted, deleted or replaced code point, by trying all of them."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:k] + b[k + 1:] == a for k in range(len(b)))
+
+
+def counts(docs, typo_every=97):
+    found = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if typo_every and h % typo_every == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            found[run] += 1
+    return {w: n for w, n in found.items() if n >= 3 and len(w) >= 5}
+
+
+def groups(n):
+    """One row for each word; pairs by comparing all words of equal or neighbouring lengths."""
+    by_size, near = {}, {w: [] for w in n}
+    for w in n:
+        by_size.setdefault(len(w), []).append(w)
+    for size, words in by_size.items():
+        pairs = list(combinations(words, 2)) + [(a, b) for a in words for b in by_size.get(size + 1, ())]
+        for a, b in pairs:
+            if one_edit(a, b):
+                near[a].append(b)
+                near[b].append(a)
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-n[o], o), default=None)
+        form[w] = best if best and n[best] >= 2 * n[w] else None
+
+    def root(w):
+        while form[w]:
+            w = form[w]
+        return w
+
+    return sorted((w, form[w], root(w), n[w], len(near[w]), n[form[w]] if form[w] else None) for w in n)
+
+
+def rows(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+def test_all_documents_against_sql(spark, sf_dir):
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{sf_dir}/documents.parquet'")
+    wanted = duck.execute(queries.oracle_sql()["op11_spellings"]).fetchall()
+    got = queries.op11_spellings(spark, sf_dir)
+    assert [c[0] for c in duck.description] == got.columns
+    assert rows(got) == sorted(wanted)
+
+
+def test_words_of_all_documents_against_brute_force(spark, texts):
+    part = [(i, t[:4000]) for i, t in texts]
+    frame = spark.createDataFrame(part, "doc_id bigint, text string")
+    assert rows(spelling_report(frame)) == groups(counts(part))
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abcéÿ"])
+def test_words_of_few_letters_and_repeated_grams(spark, alphabet):
+    """Hardly any bigrams, all of them frequent, many of them twice in a word."""
+    words = {"".join(alphabet[(k * 7 + k // (j + 1) + j * j * k) % len(alphabet)] for j in range(5 + k % 4)) for k in range(900)}
+    n = {w: 3 + len(w) * k % 50 for k, w in enumerate(sorted(words))}
+    frame = spark.createDataFrame(list(n.items()), "word string, n bigint")
+    assert rows(spelling_groups(frame)) == groups(n)
+
+
+def test_pivots_are_the_rarest_disjoint_pair(spark):
+    words = ["aaaaa", "abcde", "ababab", "bbbbbé", "cdcdcdcd", "xyzzy", "abcabcabc"]
+    for r in gram_prefixes(spark.createDataFrame([(w,) for w in words], "word string")).collect():
+        pairs = [a["rank"] + b["rank"] for a, b in combinations(r.prefix, 2) if b["at"] - a["at"] >= 2]
+        a, b = r.pivots
+        assert b["at"] - a["at"] >= 2 and a["rank"] + b["rank"] == min(pairs)
+
+
+def test_common_ending_does_not_meet_all_words(spark):
+    """Thousands of words share their last letters; pairs that are verified stay near those found."""
+    def name(k):
+        return "".join("abcdefghijklmnop"[k >> s & 15] for s in (0, 4, 8))
+
+    words = spark.createDataFrame([(name(k * 37 % 4096) + "ization",) for k in range(4096)], "word string")
+    found = near_words(words)
+    assert found.count() == 4096 * 45  # three places with fifteen other letters
+    grown = gram_prefixes(words)
+    assert grown.where(F.size("pivots") != 2).count() == 0
+
+
+def test_typos_case_and_odd_rows(spark, odd, none):
+    texts = [(1, "ÉCOLE ÉCOLE ÉCOLE école " * 3), (2, "Straße STRASSE strasse strasse " * 5 + "naïve×naïve"),
+             (None, "ending ending ending endings endings endings endings endings endings"), (3, None), (4, "")]
+    texts += [(k, "another anothers other") for k in range(10, 400)]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    assert rows(spelling_report(frame)) == groups(counts(texts))
+    plain = rows(spelling_report(frame, typo_every=None))
+    assert plain == groups(counts(texts, None)) and plain != rows(spelling_report(frame))
+    both = [(r.doc_id, r.text) for r in odd.collect()]
+    assert rows(spelling_report(odd)) == groups(counts(both))
+    assert spelling_report(none).count() == 0
+
+
+def test_chains_of_forms_end_at_the_last(spark):
+    names = ["aaaaaaaa", "aaaaaaab", "aaaaaabb", "aaaaabbb", "aaaabbbb", "aaabbbbb", "aabbbbbb", "abbbbbbb", "bbbbbbbb"]
+    n = {w: 3 << k for k, w in enumerate(names)}
+    got = rows(spelling_groups(spark.createDataFrame(list(n.items()), "word string, n bigint")))
+    assert got == groups(n) and {r[2] for r in got} == {"bbbbbbbb"}

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayflux.llm.centroids import centroid_clusters
 from wayflux.llm.common import table
 from wayflux.llm.decontaminate import contamination
 from wayflux.llm.fingerprints import edited_fingerprints
@@ -14,8 +15,10 @@ from wayflux.llm.language import page_languages
 from wayflux.llm.mixing import document_rates
 from wayflux.llm.near_dup import NearDup, near_dup_groups
 from wayflux.llm.pseudonyms import Pseudonyms, pseudonym_report
+from wayflux.llm.quality_rules import quality_report
 from wayflux.llm.reputation import Rule, path_of, url_verdicts
 from wayflux.llm.secrets import secret_report
+from wayflux.llm.spellings import spelling_report
 from wayflux.llm.token_files import token_table
 from wayflux.llm.toxicity import learn, toxicity_scores
 
@@ -108,10 +111,27 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the frequent words of all documents, one occurrence in 97 mistyped."""
+    return spelling_report(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all documents, and verdicts of a list learnt from labels outside the held-out fifth."""
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                          usable=training_rows())
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen clusters of all vectors of 64 components after three rounds."""
+    return centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_fingerprints, op2_language, op3_toxicity, op4_token_files, op5_secrets, op6_mixing,
-        op7_near_dup, op8_url_filter, op9_pseudonyms, op10_decontaminate)}
+        op7_near_dup, op8_url_filter, op9_pseudonyms, op10_decontaminate, op11_spellings,
+        op12_quality_rules, op13_centroids)}
 
 
 #: Rates of bad outcomes are shrunk level by level; {strength} of a level is a query of one row.
@@ -179,7 +199,70 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
   sha256(coalesce(listed, '')) as items_sha256, n_hit is not null as contaminated
 from doc left join found using (doc_id) left join words using (doc_id)"""
 
+#: Pairs by the variants of each word without one code point; the checksum is computed from its rule.
+_OP11 = r"""
+with recursive steps as (
+  select i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v from range(256) t(i)),
+tab as (select list(cast(v as bigint) order by i) as t from steps),
+runs as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) as run from documents),
+cells as (
+  select run, count(*) as times, hex(encode(coalesce(cast(doc_id as varchar), '') || ':' || run)) as x
+  from runs group by doc_id, run),
+sums as (
+  select run, times, xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(range(1, len(x) + 1, 2),
+      lambda i: cast((instr('0123456789ABCDEF', x[i]) - 1) * 16 + instr('0123456789ABCDEF', x[i + 1]) - 1 as bigint))),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) as h from cells, tab),
+typed as (
+  select times, case when h % 97 = 0 then left(run, cast(h % length(run) as int)) || substr(run, cast(h % length(run) as int) + 2)
+    else run end as word from sums),
+words as materialized (
+  select word, cast(sum(times) as bigint) as n from typed where length(word) >= 5 group by word having sum(times) >= 3),
+cuts as materialized (
+  select word, n, i, left(word, i - 1) || substr(word, i + 1) as part
+  from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+pairs as (
+  select a.word, b.word as near, b.n as near_n from cuts a join cuts b on a.part = b.part and a.i = b.i and a.word <> b.word
+  union select a.word, b.word, b.n from cuts a join words b on a.part = b.word
+  union select b.word, a.word, a.n from cuts a join words b on a.part = b.word),
+best as (
+  select word, count(*) as n_near, max(near_n) as top, min(struct_pack(a := -near_n, b := near)).b as form from pairs group by word),
+formed as materialized (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when top >= 2 * w.n then form end as form,
+    case when top >= 2 * w.n then top end as form_n from words w left join best using (word)),
+walk as (
+  select word, word as place, 0 as hops from formed
+  union all select walk.word, form, hops + 1 from walk join formed on formed.word = walk.place where form is not null)
+select word, form, (select arg_max(place, hops) from walk where walk.word = formed.word) as root, n, n_near, form_n from formed"""
+
+_NEAREST = """
+a{r} as materialized (
+  select vec_id, row, any_value(v) as v, min(struct_pack(d := d, k := k)) as m from (
+    select vec_id, row, v, k, cast(list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) as bigint) as d
+    from vecs, c{r}) group by vec_id, row)"""
+_MEANS = """
+s{r} as (
+  select k, i, sum(x) as s, count(*) as n from (
+    select m.k as k, unnest(range(1, 65)) as i, unnest(v) as x from a{p}) group by k, i),
+m{r} as (select k, list(cast((s - ((s % n) + n) % n) // n as bigint) order by i) as c from s{r} group by k),
+c{r} as materialized (select k, coalesce(m{r}.c, c{p}.c) as c from c{p} left join m{r} using (k))"""
+
+_OP13 = """
+with vecs as materialized (
+  select vec_id, row_number() over () as row,
+    list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+c0 as materialized (
+  select row_number() over (order by sha256('1:' || vec_id), v) - 1 as k, v as c from vecs
+  order by sha256('1:' || vec_id), v limit 16),""" + ",".join(
+    [_NEAREST.format(r=0)] + [_MEANS.format(r=r, p=r - 1) + "," + _NEAREST.format(r=r) for r in (1, 2, 3)]) + """
+select vec_id, cast(m.k as int) as cluster, m.d as distance, cast(sum(m.d) over (partition by m.k) as bigint) as cluster_inertia,
+  cast(sum(m.d) over () as bigint) as inertia, sha256(array_to_string(c, ',')) as centroid_sha256 from a3 join c3 on k = m.k"""
+
 
 def oracle_sql() -> dict[str, str]:
     """The operators that SQL can express; the others are tested against brute force."""
-    return {"op8_url_filter": _OP8, "op10_decontaminate": _OP10}
+    return {"op8_url_filter": _OP8, "op10_decontaminate": _OP10, "op11_spellings": _OP11,
+            "op13_centroids": _OP13}
