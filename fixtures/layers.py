@@ -17,7 +17,7 @@ from wayflux.lake import BRONZE, FACT, PARTITIONS, ROAD, SILVER, ZONE, Lake
 from wayflux.plans import bronze as bronze_plan
 from wayflux.plans import gold as gold_plan
 from wayflux.plans import silver as silver_plan
-from wayflux.plans import staging, warehouse
+from wayflux.plans import rollups, staging, warehouse
 from wayflux.session import pin_zone, work_path
 from wayflux.sinks import create_database, create_mart_views, overwrite_table, register_table
 from wayflux.streaming import rewrite_star
@@ -119,6 +119,11 @@ class Layers:
         self._once(self._marts)
         return self.lake.marts()
 
+    def rollup(self) -> DataFrame:
+        """The daily rollup of the events mart."""
+        self._once(self._marts)
+        return self.lake.read(rollups.TRAFFIC_DAILY)
+
     def view(self, name: str) -> DataFrame:
         """A compatibility view of the catalog."""
         self._once(self._catalog)
@@ -127,6 +132,10 @@ class Layers:
     def star_views(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return self.view("fact_traffic"), self.view("dim_zone"), self.view("dim_road")
 
+    def rolled_star(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The star of reports without single events: the rollup stands in for the fact."""
+        return self.rollup(), self.view("dim_zone"), self.view("dim_road")
+
 
 @lru_cache(maxsize=None)
 def _cached(application: str, spark: SparkSession, sf_dir: str, gaps: bool) -> Layers:

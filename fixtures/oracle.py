@@ -168,7 +168,7 @@ def _check(model: str, column: str, test: str, failures: str) -> str:
             f" cast(({failures}) as bigint) failures")
 
 
-def _checks(kind: str, source: dict[str, str]) -> list[str]:
+def _checks(kind: str, source: dict[str, str], accepted=_ACCEPTED) -> list[str]:
     if kind == "unique":
         return [_check(m, c, kind, f"select count(*) from (select {c} from {source[m]} where {c}"
                        f" is not null group by {c} having count(*) > 1)") for m, c in _UNIQUE]
@@ -177,7 +177,7 @@ def _checks(kind: str, source: dict[str, str]) -> list[str]:
                 for m, columns in _MODELS.items() for c in columns]
     if kind == "accepted_values":
         return [_check(m, c, kind, f"select count(distinct {c}) from {source[m]}"
-                       f" where {c} not in ({v})") for m, c, v in _ACCEPTED]
+                       f" where {c} not in ({v})") for m, c, v in accepted]
     return [_check("fct_traffic_events", "location_id", kind,
                    f"select count(*) from {source['fct_traffic_events']} f where location_id is"
                    f" not null and not exists (select 1 from {source['dim_locations']} l"
@@ -217,20 +217,70 @@ def _sample_query(limit: int = 5) -> str:
     return _with(query, gaps=True, extra=[_BROKEN_LOC])
 
 
+# ---- publication in two parts -------------------------------------------------------------------
+
+_EARLY = "congestion_level % 2 = 0 and extract(day from event_ts) % 5 <> 0"
+_TWICE = [
+    ("fact1", f"select * from gold_fact where {_EARLY}"),
+    ("zone1", "select * from gold_zone where city_zone in (select city_zone from fact1)"),
+    ("road1", "select * from gold_road where road_id in (select road_id from fact1)"),
+    ("loc1", "select * from loc where location_id in (select md5(city_zone || '|' || road_id) from fact1)"),
+    ("fct1", f"select * from fct where {_EARLY}"),
+    ("days2", f"select distinct date from gold_fact where not ({_EARLY})"),
+    ("fact2", "select * from gold_fact where date in (select date from days2)"),
+]
+_ROLLUP = """select date, hour, city_zone, road_id, weather, speed_band, peak_flag, count(*) rows_n,
+  count(vehicle_id) vehicle_id_n, count(speed_int) speed_int_n, count(congestion_level) congestion_level_n,
+  cast(coalesce(sum(speed_int), 0) as bigint) speed_int_sum,
+  cast(coalesce(sum(congestion_level), 0) as bigint) congestion_level_sum from {source} group by all"""
+
+
+def _history_query() -> str:
+    strict = [(m, c, {"weather": "'RAIN'", "speed_band": "'HIGH'"}.get(c, v)) for m, c, v in _ACCEPTED]
+    runs = [{"dim_locations": "loc1", "fct_traffic_events": "fct1"}, _CLEAN]
+    found = " union all ".join(f"select cast({k} as integer) run, * from ({q})" for k, source in enumerate(runs, 1)
+                               for kind in _KINDS for q in _checks(kind, source, strict))
+    return _with(f"select *, case when failures = 0 then 'pass' else 'fail' end status from ({found})", extra=_TWICE)
+
+
+def _load_query() -> str:
+    first = {"stg_dim_zone": "zone1", "stg_dim_road": "road1", "stg_fact_traffic": "fact1", "dim_locations": "loc1",
+             "fct_traffic_events": "fct1", "agg_traffic_daily": f"({_ROLLUP.format(source='fact1')})"}
+    second = {"stg_dim_zone": "gold_zone", "stg_dim_road": "gold_road", "stg_fact_traffic": "fact2",
+              "dim_locations": "(select location_id from loc except select location_id from loc1)",
+              "fct_traffic_events": "fact2", "agg_traffic_daily": f"({_ROLLUP.format(source='fact2')})"}
+    return _with(" union all ".join(f"select cast({k} as integer) run, * from ({_counts(tables)})"
+                                    for k, tables in ((1, first), (2, second))), extra=_TWICE)
+
+
+_REMOVED = " union all ".join(
+    f"select '{name}' \"table\", date, count(*) \"rows\" from fct where extract(day from date) % 10 <> 4 group by date"
+    for name in ("stg_fact_traffic", "fct_traffic_events", "agg_traffic_daily", "check_parts"))
+
 # ---- streams ------------------------------------------------------------------------------------
 
 LATE_FILES = 6
 
-_LATE = f"""
+_DELIVERED = f"""
 with n as (select max(event_id) + 1 as total from events),
 x as (select 'V' || cast(user_id as varchar) vehicle_id, ts event_ts,
         cast(event_id * {LATE_FILES} // total as bigint)
           + case when event_id % 37 = 0 then 1 else 0 end b
       from events, n),
 m as (select b, max(event_ts) mx from x group by b),
-w as (select b, max(mx) over (order by b rows between unbounded preceding and 1 preceding)
+w as (select b, date_trunc('milliseconds', max(mx) over (order by b rows between unbounded preceding
+        and 1 preceding)) - interval 15 minute wm from m),
+kept as (select vehicle_id, event_ts, min(b) b from x join w using (b) where wm is null or event_ts > wm group by all),
+a as (select b, date_trunc('milliseconds', max(mx) over (order by b rows unbounded preceding))
         - interval 15 minute wm from m)
-select distinct vehicle_id, event_ts from x join w using (b) where wm is null or event_ts > wm"""
+"""
+
+_LATE = _DELIVERED + "select vehicle_id, event_ts from kept"
+_PROGRESS = _DELIVERED + """select cast(b as integer) delivery, count(*) input_rows,
+  cast(count(*) filter (where event_ts <= w.wm) as bigint) late_rows,
+  (select count(*) from kept where kept.b <= x.b and kept.event_ts > any_value(a.wm)) state_rows,
+  any_value(a.wm) watermark from x join w using (b) join a using (b) group by b"""
+_STATE = _DELIVERED + "select vehicle_id, event_ts from kept where event_ts > (select max(wm) from a)"
 
 # ---- generic star -------------------------------------------------------------------------------
 
@@ -262,6 +312,8 @@ def oracle_sql() -> dict[str, str]:
         "silver_stream_dedup": _with("select * from silver"),
         "silver_stream_unthinned": _with("select * from silver"),
         "silver_stream_late": _LATE,
+        "stream_progress": _PROGRESS,
+        "dedup_state": _STATE,
         "gold_dim_zone": _with("select * from gold_zone"),
         "gold_dim_road": _with("select * from gold_road"),
         "gold_fact_traffic": _with("select * from gold_fact"),
@@ -322,7 +374,15 @@ def oracle_sql() -> dict[str, str]:
                              " group by all"),
         "zone_road_matrix": _with("select city_zone, road_id, count(*) events from frame"
                                   " group by all"),
+        "zone_road_heatmap": _with("select city_zone, " + ", ".join(
+            f"cast(sum(case when road_id = '{road}' then 1 end) as bigint) {road}"
+            for road in ("R100", "R200", "R300", "R400")) + " from frame group by all"),
         "road_leaderboard": _with(_ROAD_MIX),
+        "rollup_daily": _with(_ROLLUP.format(source="fct")),
+        "rollup_incremental": _with(_ROLLUP.format(source="fct")),
+        "publish_removed_day": _with(_REMOVED),
+        "load_counts": _load_query(),
+        "dq_history": _history_query(),
         "seed_marts": _with("select * from fct"),
         "scale_star": _SCALE_STAR,
         "nation_top10": f"select * from ({_SCALE_STAR}) order by events desc, nation, priority limit 10",
@@ -345,6 +405,8 @@ def oracle_sql() -> dict[str, str]:
     queries["dq_report"] = _check_query(_KINDS, broken=False)
     queries["dq_report_broken"] = _check_query(_KINDS, broken=True)
     queries["dq_samples_broken"] = _sample_query()
+    queries["dq_report_by_day"] = queries["dq_report"]
+    queries["dq_report_by_day_broken"] = queries["dq_report_broken"]
     queries["full_chain"] = _with(_counts({
         "traffic_bronze": "bronze", "traffic_silver": "silver", "dim_zone": "gold_zone",
         "dim_road": "gold_road", "fact_traffic": "gold_fact", "stg_dim_zone": "gold_zone",

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,14 +16,14 @@ from fixtures.layers import Layers, layers
 from fixtures.oracle import LATE_FILES
 from wayflux import publish, schemas
 from wayflux.domain import LATENESS
-from wayflux.lake import BRONZE, FACT, ROAD, SILVER, ZONE, Lake
+from wayflux.lake import BRONZE, CHECK_HISTORY, FACT, LOAD_HISTORY, PARTITIONS, ROAD, SILVER, ZONE, Lake
 from wayflux.operators import Link, average, count_of, dedup_stream, star_breakdown
-from wayflux.plans import contracts, gold, reports, silver, staging, warehouse
+from wayflux.plans import contracts, gold, reports, rollups, silver, staging, warehouse
 from wayflux.session import pin_zone, work_path
 from wayflux.sinks import (
-    append_stream, append_table, create_bi_views, create_database, register_table, row_counts)
+    append_stream, append_table, create_bi_views, create_database, overwrite_table, register_table, row_counts)
 from wayflux.sources import file_log, read_seed, stream_table
-from wayflux.streaming import start_bronze, start_gold, start_silver
+from wayflux.streaming import ProgressLog, start_bronze, start_gold, start_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,8 +72,9 @@ def silver_stream_unthinned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_silver(spark, sf_dir, thin=False)
 
 
-def silver_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some rows arrive one delivery late; one run per delivery, all on one checkpoint."""
+def _late_deliveries(spark: SparkSession, sf_dir: str, thin: bool = True) -> str:
+    """Some rows arrive one delivery late; one run per delivery, all on one checkpoint.  The folder has
+    the kept rows, the checkpoint, and what the batches did."""
     pin_zone(spark)
     events = traffic.table(spark, sf_dir, "events")
     total = events.agg((F.max("event_id") + 1).alias("total")).first()["total"]
@@ -83,15 +86,45 @@ def silver_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_path(spark, "late")
     readings.write.partitionBy("delivery").parquet(f"{root}/deliveries")
     deliveries = spark.read.parquet(f"{root}/deliveries")
-    payload = readings.drop("delivery").schema
-    for delivery in range(LATE_FILES + 1):
-        arrived = deliveries.where(F.col("delivery") == delivery).drop("delivery")
-        append_table(arrived, f"{root}/log")
-        kept = dedup_stream(stream_table(spark, f"{root}/log", payload),
-                            ["vehicle_id", "event_ts"], "event_ts", LATENESS)
-        append_stream(kept, f"{root}/kept", f"{root}/checkpoint",
-                      available_now=True).awaitTermination()
-    return spark.read.schema(payload).parquet(f"{root}/kept")
+    payload = _READING
+    log = ProgressLog(spark, f"{root}/progress")
+    spark.streams.addListener(log)
+    try:
+        for delivery in range(LATE_FILES + 1):
+            arrived = deliveries.where(F.col("delivery") == delivery).drop("delivery")
+            append_table(arrived, f"{root}/log")
+            kept = dedup_stream(stream_table(spark, f"{root}/log", payload),
+                                ["vehicle_id", "event_ts"], "event_ts", LATENESS, thin)
+            query = append_stream(kept, f"{root}/kept", f"{root}/checkpoint", available_now=True)
+            query.awaitTermination()
+            log.wait(query)
+    finally:
+        spark.streams.removeListener(log)
+    return root
+
+
+_READING = T.StructType([T.StructField("vehicle_id", T.StringType()), T.StructField("event_ts", T.TimestampType())])
+
+
+def silver_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the deliveries leave."""
+    return spark.read.schema(_READING).parquet(f"{_late_deliveries(spark, sf_dir)}/kept")
+
+
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in, rows dropped as late, state and watermark after each delivery."""
+    root = _late_deliveries(spark, sf_dir, thin=False)
+    runs = spark.read.schema(schemas.STREAM_PROGRESS).parquet(f"{root}/progress").groupBy("run_id").agg(
+        F.min("at").alias("at"), F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"),
+        F.max_by("state_rows", "batch_id").alias("state_rows"), F.max("watermark").alias("watermark"))
+    place = F.row_number().over(Window.orderBy("at"))  # a row for each run
+    return runs.select((place - 1).alias("delivery"), "input_rows", "late_rows", "state_rows", "watermark")
+
+
+def dedup_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that the deduplication still holds after the last delivery, read from its state store."""
+    root = _late_deliveries(spark, sf_dir)
+    return spark.read.format("statestore").load(f"{root}/checkpoint").select("key.vehicle_id", "key.event_ts")
 
 
 def gold_dim_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,17 +170,82 @@ def gold_rebuild_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read(FACT)
 
 
-def publish_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver arrives in two parts that share their days; gold and publication follow each."""
+def _published_twice(spark: SparkSession, sf_dir: str, models=contracts.CONTRACTS) -> Lake:
+    """Silver arrives in two parts that share their days, and some days come with the second part
+    only; gold and publication follow each."""
     stored = layers(spark, sf_dir).silver()
     lake = Lake(spark, work_path(spark, "publish-stream"))
-    early = F.coalesce(F.col("congestion_level") % 2 == 0, F.lit(False))
+    early = F.coalesce(F.col("congestion_level") % 2 == 0, F.lit(False)) & (
+        F.dayofmonth(schemas.EVENT_DATE) % 5 != 0)
     for part in (stored.where(early), stored.where(~early)):
         (part.hint("rebalance", schemas.EVENT_DATE).write.mode("append")
          .partitionBy(schemas.EVENT_DATE).parquet(lake.path(SILVER)))
         start_gold(lake, incremental=True).awaitTermination()
-        publish.start_publish(lake).awaitTermination()
-    return lake.read(warehouse.EVENTS)
+        publish.start_publish(lake, models=models).awaitTermination()
+    return lake
+
+
+def publish_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events mart after two publications."""
+    return _published_twice(spark, sf_dir).read(warehouse.EVENTS)
+
+
+def rollup_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layers(spark, sf_dir).rollup()
+
+
+def rollup_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily rollup after two publications, of which each rolled up its own days."""
+    return _published_twice(spark, sf_dir).read(rollups.TRAFFIC_DAILY)
+
+
+def _run_number() -> Column:
+    return F.dense_rank().over(Window.orderBy("run")).alias("run")  # a few rows for each run
+
+
+#: The events contract with shorter lists, so that clean marts fail it by numbers that tell runs apart.
+STRICT = tuple(replace(c, columns=tuple(
+    replace(x, accepted={"weather": ("RAIN",), "speed_band": ("HIGH",)}.get(x.name, x.accepted))
+    for x in c.columns)) for c in contracts.CONTRACTS)
+
+
+def dq_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the checks of two publications found, run by run."""
+    history = _published_twice(spark, sf_dir, STRICT).read(CHECK_HISTORY)
+    return history.select(_run_number(), "model", "column_name", "test", "failures", "status")
+
+
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that two publications loaded into each table, as their writes counted them."""
+    return _published_twice(spark, sf_dir).read(LOAD_HISTORY).select(_run_number(), "table", "rows")
+
+
+#: After a change of rules a tenth of the days, by their last digit, has no facts any more.
+def _published_without_some_days(spark: SparkSession, sf_dir: str) -> Lake:
+    here = layers(spark, sf_dir)
+    here.gold()
+    lake = Lake(spark, work_path(spark, "publish-removed"),
+                elsewhere={ZONE: here.lake.path(ZONE), ROAD: here.lake.path(ROAD)})
+    fact = here.lake.read(FACT)
+    days = [r[0] for r in fact.select("date").distinct().collect()]
+    overwrite_table(fact, lake.path(FACT), PARTITIONS[FACT])
+    publish.publish_days(lake, days)
+    kept = F.dayofmonth("date") % 10 != 4
+    overwrite_table(fact.where(kept), lake.path(FACT), PARTITIONS[FACT])
+    publish.publish_days(lake, [day for day in days if day.day % 2 == 0])
+    return lake
+
+
+def publish_removed_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by day of all tables that follow the days of the fact."""
+    lake = _published_without_some_days(spark, sf_dir)
+    tables = {name: lake.read(name) for name in (staging.STG_FACT, warehouse.EVENTS)}
+    parts = [df.groupBy("date").agg(F.count(F.lit(1)).alias("rows")) for df in tables.values()]
+    rolled = lake.read(rollups.TRAFFIC_DAILY).groupBy("date").agg(F.sum("rows_n").alias("rows"))
+    checked = lake.read(contracts.CHECK_PARTS).where("test = 'relationships'").groupBy("date").agg(
+        F.sum("rows").alias("rows"))
+    named = zip((*tables, rollups.TRAFFIC_DAILY, contracts.CHECK_PARTS), (*parts, rolled, checked))
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("table"), "date", "rows") for name, df in named])
 
 
 def mart_dim_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,20 +367,20 @@ def _on_frame(report: Callable[[DataFrame], DataFrame], gaps: bool = False,
 
 
 def _on_events(report: Callable[[DataFrame], DataFrame], gaps: bool = False) -> Query:
-    """Reports that need no dimension attribute read the fact alone."""
+    """Reports that need neither single events nor dimension attributes read the rollup alone."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return report(reports.report_events(layers(spark, sf_dir, gaps).view("fact_traffic")))
+        return report(reports.report_events(layers(spark, sf_dir, gaps).rollup()))
     return query
 
 
 def _on_star(report: Callable[..., DataFrame], gaps: bool = False) -> Query:
-    return lambda spark, sf_dir: report(*layers(spark, sf_dir, gaps).star_views())
+    return lambda spark, sf_dir: report(*layers(spark, sf_dir, gaps).rolled_star())
 
 
 def _on_focus(report: Callable[[DataFrame, DataFrame], DataFrame], gaps: bool = False) -> Query:
-    """A report on the fact of the default zone, with the road dimension for those that show it."""
+    """A report on the rollup of the default zone, with the road dimension for those that show it."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        fact, zones, roads = layers(spark, sf_dir, gaps).star_views()
+        fact, zones, roads = layers(spark, sf_dir, gaps).rolled_star()
         return report(reports.focus(fact, reports.default_zone(zones)), roads)
     return query
 
@@ -296,6 +394,13 @@ def nation_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scale_star(spark, sf_dir).orderBy(F.desc("events"), "nation", "priority").limit(10)
 
 
+def zone_road_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones by roads; the columns are the members of the road dimension."""
+    here = layers(spark, sf_dir)
+    matrix = reports.zone_road_matrix(reports.report_events(here.rollup()))
+    return reports.zone_road_heatmap(matrix, reports.road_names(here.view("dim_road")))
+
+
 def _whole(frame: DataFrame) -> DataFrame:
     return frame
 
@@ -314,6 +419,15 @@ def _broken_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {**models, warehouse.LOCATIONS: twice}
 
 
+def _by_day(broken: bool = False) -> Query:
+    """The check report merged from the stored parts of days."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        models = (_broken_models if broken else _clean_models)(spark, sf_dir)
+        parts = layers(spark, sf_dir, gaps=broken).lake.read(contracts.CHECK_PARTS)
+        return contracts.merged_report(parts, {warehouse.LOCATIONS: models[warehouse.LOCATIONS]})
+    return query
+
+
 def _on_models(check: Callable[[dict[str, DataFrame]], DataFrame], broken: bool = False) -> Query:
     models = _broken_models if broken else _clean_models
     return lambda spark, sf_dir: check(models(spark, sf_dir))
@@ -351,6 +465,8 @@ def queries() -> dict[str, Query]:
         "silver_stream_dedup": silver_stream_dedup,
         "silver_stream_unthinned": silver_stream_unthinned,
         "silver_stream_late": silver_stream_late,
+        "stream_progress": stream_progress,
+        "dedup_state": dedup_state,
         "gold_dim_zone": gold_dim_zone,
         "gold_dim_road": gold_dim_road,
         "gold_fact_traffic": gold_fact_traffic,
@@ -396,17 +512,25 @@ def queries() -> dict[str, Query]:
         "zone_weather_mix": _zone_events(reports.zone_weather_mix),
         "zone_hourly": _zone_events(reports.zone_hourly),
         "zone_road_matrix": _on_events(reports.zone_road_matrix),
+        "zone_road_heatmap": zone_road_heatmap,
+        "rollup_daily": rollup_daily,
+        "rollup_incremental": rollup_incremental,
         "road_leaderboard": _on_focus(
             lambda *star: reports.road_leaderboard(reports.zone_road_mix_of(*star))),
         "dq_report": _on_models(contracts.check_report),
         "dq_report_broken": _on_models(contracts.check_report, broken=True),
         "dq_samples_broken": _on_models(contracts.failure_samples, broken=True),
+        "dq_report_by_day": _by_day(),
+        "dq_report_by_day_broken": _by_day(broken=True),
+        "dq_history": dq_history,
         "seed_marts": seed_marts,
         "full_chain": full_chain,
         "full_chain_marts": full_chain_marts,
         "full_chain_checks": full_chain_checks,
         "gold_rebuild_fact": gold_rebuild_fact,
         "publish_incremental": publish_incremental,
+        "publish_removed_day": publish_removed_day,
+        "load_counts": load_counts,
         "publish_normalise_loose": publish_normalise_loose,
         "staging_roundtrip_fact": _staging_table(staging.STG_FACT),
         "staging_roundtrip_zone": _staging_table(staging.STG_ZONE),

@@ -1,6 +1,6 @@
 """Streaming layers with chosen files per batch."""
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from wayflux.lake import BRONZE, FACT, ROAD, SILVER, ZONE, Lake
 from wayflux.operators import dedup_stream
 from wayflux.plans import gold, silver
 from wayflux.session import STATE_STORE_SETTINGS
-from wayflux.sinks import append_stream, append_table
+from wayflux.sinks import Load, append_stream, append_table
 from wayflux.sources import file_log, stream_table
 from wayflux.streaming import jobs, refresh_star, rewrite_star, start_bronze, start_gold, start_silver
 
@@ -221,8 +221,8 @@ def test_refresh_reads_the_touched_days_only(spark, lake, monkeypatch):
         store_silver(lake, rows)
     rewrite_star(lake, lake.read(SILVER))
     plans = []
-    monkeypatch.setattr(jobs, "overwrite_table",
-                        lambda df, *args, **kwargs: plans.append(physical_plan(df, "formatted")))
+    monkeypatch.setattr(jobs, "load_table", lambda df, *args, **kwargs: plans.append(
+        physical_plan(df, "formatted")) or Load(1, frozenset([date(2024, 1, 2)])))
     refresh_star(lake, lake.read(SILVER), silver_part(spark, DELIVERIES[1]))
     filters = [line for line in plans[0].splitlines() if "PartitionFilters" in line]
     assert "2024-01-02" in filters[0] and "2024-01-01" not in filters[0]

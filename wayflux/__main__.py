@@ -3,7 +3,7 @@
     python -m wayflux bronze  --lake ROOT --kafka HOST:PORT --topic NAME
     python -m wayflux silver  --lake ROOT
     python -m wayflux gold    --lake ROOT [--rebuild]
-    python -m wayflux publish --lake ROOT [--jdbc-url URL --schema NAME]
+    python -m wayflux publish --lake ROOT [--rebuild | --jdbc-url URL --schema NAME]
     python -m wayflux marts   --lake ROOT
     python -m wayflux check   --lake ROOT
     python -m wayflux catalog --lake ROOT --database NAME
@@ -18,10 +18,11 @@ import sys
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wayflux import publish
-from wayflux.lake import FACT, PARTITIONS, ROAD, ZONE, Lake
-from wayflux.plans import contracts, reports, staging, warehouse
+from wayflux.lake import FACT, LOAD_HISTORY, PARTITIONS, ROAD, ZONE, Lake
+from wayflux.plans import contracts, reports, rollups, staging, warehouse
 from wayflux.session import build_session
 from wayflux.sinks import (
     create_bi_views, create_database, create_mart_views, register_table, row_counts)
@@ -60,9 +61,15 @@ REPORTS = {
     "speed_mix": _events(reports.speed_mix),
     "feed": _frame(reports.feed),
     "zone_road_matrix": _events(reports.zone_road_matrix),
+    "zone_road_heatmap": lambda fact, zones, roads: reports.zone_road_heatmap(
+        reports.zone_road_matrix(reports.report_events(fact)), reports.road_names(roads)),
     "filter_options": _events(reports.filter_options),
 }
 
+#: These show single events.
+EVENT_REPORTS = {"feed"}
+
+
 # Reports on one zone, the first one unless --zone names another.
 def _zone_events(report: Callable[[DataFrame], DataFrame]):
     return lambda fact, roads: report(reports.report_events(fact))
@@ -84,8 +91,13 @@ def _selection(args: argparse.Namespace) -> reports.Selection:
 
 def run_report(lake: Lake, name: str, selection: reports.Selection = reports.Selection(),
                zone: str | None = None, marts: dict[str, DataFrame] | None = None) -> DataFrame:
-    """A report by name over the marts of a lake, or over those given."""
+    """A report by name over the marts of a lake, or over those given.
+
+    Reports that show no single event read the daily rollup of the lake where it has one.
+    """
     whole, zones, roads = _views(marts or lake.marts())
+    if marts is None and name not in EVENT_REPORTS and lake.has(rollups.TRAFFIC_DAILY):
+        whole = lake.read(rollups.TRAFFIC_DAILY)
     fact = reports.select_events(whole, selection)
     if name in REPORTS:
         return REPORTS[name](fact, zones, roads)
@@ -104,11 +116,9 @@ def _show(df: DataFrame, args: argparse.Namespace) -> None:
         print(f"only the first {args.rows} rows are shown; use --rows or --out for more")
 
 
-def _marts(lake: Lake, args: argparse.Namespace) -> dict[str, DataFrame]:
-    """The marts of the lake, or with --jdbc-url those built on staging in the warehouse."""
-    if not args.jdbc_url:
-        return lake.marts()
-    return warehouse.marts(_jdbc_staging(lake, args))
+def _marts(lake: Lake, args: argparse.Namespace) -> dict[str, DataFrame] | None:
+    """With --jdbc-url the marts built on staging in the warehouse; else those of the lake."""
+    return warehouse.marts(_jdbc_staging(lake, args)) if args.jdbc_url else None
 
 
 def _jdbc_staging(lake: Lake, args: argparse.Namespace) -> dict[str, DataFrame]:
@@ -132,11 +142,24 @@ def _run_gold(lake: Lake, args: argparse.Namespace) -> None:
 
 
 def _run_publish(lake: Lake, args: argparse.Namespace) -> None:
-    write = publish.lake_writer(lake)
+    """Touched days of staging and marts, from a checkpoint; --rebuild or a warehouse: everything."""
     if args.jdbc_url:
         write = publish.jdbc_writer(args.jdbc_url, args.schema, args.connections)
-    publish.load_staging(lake.gold(), write)
-    row_counts(lake.gold()).show(truncate=False)
+        _show_loads(publish.load_staging(lake.gold(), write))
+    elif args.rebuild:
+        _show_loads(publish.load_staging(lake.gold(), publish.lake_writer(lake)) | publish.build_marts(lake))
+    else:
+        query = publish.start_publish(lake)
+        query.awaitTermination()
+        if any(progress["numInputRows"] for progress in query.recentProgress):
+            runs = lake.read(LOAD_HISTORY).where(F.col("run").startswith(query.id))
+            last = runs.agg(F.max("run")).first()[0]
+            _show_loads({r["table"]: r["rows"] for r in runs.where(F.col("run") == last).collect()})
+
+
+def _show_loads(loaded: dict[str, int]) -> None:
+    for table, rows in loaded.items():
+        print(f"{table}: {rows} rows loaded")
 
 
 def _run_marts(lake: Lake, args: argparse.Namespace) -> None:
@@ -144,7 +167,7 @@ def _run_marts(lake: Lake, args: argparse.Namespace) -> None:
 
 
 def _run_check(lake: Lake, args: argparse.Namespace) -> None:
-    marts = _marts(lake, args)
+    marts = _marts(lake, args) or lake.marts()
     report = contracts.check_report(marts).persist()
     _show(report, args)
     if not report.where("status = 'fail'").isEmpty():
@@ -210,7 +233,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--no-thin", action="store_true", help="no dropping of copies before the shuffle")
     stream.add_argument("--shuffle-partitions", type=int, help="fixed by the first start of a stream")
     stream.add_argument("--rocksdb-state", action=argparse.BooleanOptionalAction, default=True)
-    stream.add_argument("--rebuild", action="store_true", help="rebuild gold as a whole")
+    stream.add_argument("--rebuild", action="store_true", help="gold, publish, chain: everything, not touched days")
     target = found.add_argument_group("publication")
     target.add_argument("--jdbc-url")
     target.add_argument("--schema", default="analytics")

@@ -8,11 +8,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from wayflux import schemas
-from wayflux.plans import staging, warehouse
+from wayflux.plans import contracts, rollups, staging, warehouse
 from wayflux.sources import LAKE_FORMAT, read_table, stream_table, table_exists
 
 BRONZE, SILVER = "traffic_bronze", "traffic_silver"
 ZONE, ROAD, FACT = "dim_zone", "dim_road", "fact_traffic"
+CHECK_HISTORY, LOAD_HISTORY = "check_history", "load_history"
 
 _SCHEMAS = {
     BRONZE: schemas.BRONZE,
@@ -23,14 +24,22 @@ _SCHEMAS = {
     **staging.CONTRACTS,
     warehouse.LOCATIONS: schemas.DIM_LOCATIONS,
     warehouse.EVENTS: schemas.FCT_EVENTS,
+    rollups.TRAFFIC_DAILY: schemas.TRAFFIC_DAILY,
+    contracts.CHECK_PARTS: schemas.CHECK_PARTS,
+    CHECK_HISTORY: schemas.CHECK_HISTORY,
+    LOAD_HISTORY: schemas.LOAD_HISTORY,
 }
 
-# Tables with one row per reading are stored by day; the rest are single folders.
+# Tables with rows of single days are stored by day, histories by run; the rest are single folders.
 PARTITIONS = {
     SILVER: (schemas.EVENT_DATE,),
     FACT: ("date",),
     staging.STG_FACT: ("date",),
     warehouse.EVENTS: ("date",),
+    rollups.TRAFFIC_DAILY: ("date",),
+    contracts.CHECK_PARTS: ("date",),
+    CHECK_HISTORY: ("run",),
+    LOAD_HISTORY: ("run",),
 }
 
 

@@ -76,26 +76,69 @@ def unexpected_values(df: DataFrame, accepted: Mapping[str, Sequence[str]]) -> D
     return found.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def row_failures(df: DataFrame, model: str, columns: Sequence[str],
-                 accepted: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Not-NULL and accepted-value results of a model in one scan."""
-    conditions = [(NOT_NULL, c, F.col(c).isNull(), F.lit(None).cast("string")) for c in columns]
-    conditions += [(ACCEPTED, c, ~F.col(c).isin(list(values)), F.col(c).cast("string"))
-                   for c, values in accepted.items()]
-    found = [F.when(condition, F.struct(F.lit(test).alias("test"), F.lit(c).alias("column_name"),
-                                        value.alias("value")))
-             for test, c, condition, value in conditions]
-    failing = df.where(reduce(or_, [c[2] for c in conditions])).select(
-        F.inline(F.array_compact(F.array(*found))))
-    counted = failing.groupBy("test", "column_name", "value").agg(F.count(F.lit(1)).alias("rows"))
-
-    def total(test: str, column: str) -> Column:
-        mine = (F.col("test") == test) & (F.col("column_name") == column)
-        return F.coalesce(F.sum(F.when(mine, F.col("rows") if test == NOT_NULL else F.lit(1))), F.lit(0))
-
-    return counted.agg(F.array(*[F.struct(
-        F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.lit(test).alias("test"),
-        total(test, c).cast("bigint").alias("failures")) for test, c, _, _ in conditions]).alias("all")
+def day_parts(df: DataFrame, model: str, day: str, unique: Sequence[str], columns: Sequence[str],
+              accepted: Mapping[str, Sequence[str]], related: Sequence[str],
+              hidden: Sequence[str] = ()) -> DataFrame:
+    """What each day of a model adds to its checks: ``(model, column_name, test, value, rows, day)``.
+
+    Repeated keys are a number for each day, so copies of a key must share their day.  NULLs are counted;
+    unexpected values are kept, as the same value on two days counts once; keys of a parent are kept
+    with their rows, so that they can meet whatever the parent holds later.  Values of ``hidden``
+    columns are kept as digests.
+    """
+    def shown(column: str) -> Column:
+        text = F.col(column).cast("string")
+        return F.sha2(text, 256) if column in hidden else text
+
+    def named(df: DataFrame, column, test: str, value, rows) -> DataFrame:
+        return df.select(F.lit(model).alias("model"), column.alias("column_name"), F.lit(test).alias("test"),
+                         value.cast("string").alias("value"), rows.cast("bigint").alias("rows"), F.col(day))
+
+    parts, nothing = [], F.lit(None)
+    if columns:
+        nulls = df.groupBy(day).agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}_null") for c in columns])
+        named_nulls = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{c}_null").alias("n"))
+                                for c in columns])
+        found = nulls.select(F.col(day), F.inline(F.filter(named_nulls, lambda x: x["n"] > 0)))
+        parts.append(named(found, F.col("column_name"), NOT_NULL, nothing, F.col("n")))
+    if accepted:
+        found = [F.when(~F.col(c).isin(list(values)), F.struct(F.lit(c).alias("column_name"), shown(c).alias("value")))
+                 for c, values in accepted.items()]
+        failing = df.where(reduce(or_, [~F.col(c).isin(list(v)) for c, v in accepted.items()])).select(
+            F.col(day), F.inline(F.array_compact(F.array(*found))))
+        counted = failing.groupBy(day, "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(named(counted, F.col("column_name"), ACCEPTED, F.col("value"), F.col("n")))
+    for column in unique:
+        twice = (df.where(F.col(column).isNotNull()).groupBy(day, column).agg(F.count(F.lit(1)).alias("n"))
+                 .where("n > 1").groupBy(day).agg(F.count(F.lit(1)).alias("n")))
+        parts.append(named(twice, F.lit(column), UNIQUE, nothing, F.col("n")))
+    for column in related:
+        keys = df.where(F.col(column).isNotNull()).groupBy(day, column).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(named(keys, F.lit(column), RELATED, F.col(column), F.col("n")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def merged_failures(parts: DataFrame, model: str, promised: Sequence[tuple[str, str]],
+                    parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Check results of a model from its days: one row for each ``(column, test)`` of ``promised``.
+
+    Keys that their parent knows are dropped; what is left is counted as the whole-model checks do.
+    """
+    mine = parts.where(F.col("model") == model)
+    related = [mine.where((F.col("test") == RELATED) & (F.col("column_name") == column)).join(
+        parent.select(F.col(key).cast("string").alias("value")), "value", "left_anti").select(
+        "column_name", "test", "value", "rows") for column, (parent, key) in parents.items()]
+    rest = mine.where(F.col("test") != RELATED).select("column_name", "test", "value", "rows")
+    found = reduce(DataFrame.unionByName, [rest, *related]).groupBy("column_name", "test", "value").agg(
+        F.sum("rows").alias("rows"))
+
+    def total(column: str, test: str) -> Column:
+        here = (F.col("column_name") == column) & (F.col("test") == test)
+        return F.coalesce(F.sum(F.when(here, F.lit(1) if test == ACCEPTED else F.col("rows"))), F.lit(0))
+
+    return found.agg(F.array(*[F.struct(
+        F.lit(model).alias("model"), F.lit(column).alias("column_name"), F.lit(test).alias("test"),
+        total(column, test).cast("bigint").alias("failures")) for column, test in promised]).alias("all")
     ).select(F.inline("all"))
 
 

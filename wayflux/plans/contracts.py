@@ -95,12 +95,13 @@ def model_register(spark, contracts=CONTRACTS) -> DataFrame:
         rows, "model STRING, data_owner STRING, sla_freshness_hours INT, gdpr_pii BOOLEAN")
 
 
-def stored_register(spark, paths: Mapping[str, str], contracts=CONTRACTS) -> DataFrame:
+def stored_register(spark, paths: Mapping[str, str], contracts=CONTRACTS,
+                    fmt: str = "parquet") -> DataFrame:
     """``(model, column_name, pii)`` as the metadata of the stored models says.  Columns that a table is
     laid out by are in its paths, without metadata; they are never personal."""
     rows = []
     for contract in contracts:
-        for field in spark.read.parquet(paths[contract.name]).schema:
+        for field in spark.read.format(fmt).load(paths[contract.name]).schema:
             rows.append((contract.name, field.name, field.metadata.get(PII_FLAG, False)))
     return spark.createDataFrame(rows, "model STRING, column_name STRING, pii BOOLEAN")
 
@@ -141,13 +142,47 @@ def relation_checks(models: Mapping[str, DataFrame], contracts=CONTRACTS) -> Dat
 
 def check_report(models: Mapping[str, DataFrame], contracts=CONTRACTS) -> DataFrame:
     """One row per promised check: ``(model, column_name, test, failures, status)``."""
-    rows = [checks.row_failures(models[c.name], c.name, c.names("not_null"), _accepted(c))
-            for c in contracts]
-    found = _union([unique_checks(models, contracts), *rows, relation_checks(models, contracts)])
+    parts = [check(models, contracts) for check, any_of in (
+        (unique_checks, lambda c: c.names("unique")), (not_null_checks, lambda c: c.names("not_null")),
+        (accepted_checks, _accepted), (relation_checks, _related)) if any(map(any_of, contracts))]
+    return _judged(_union(parts))
+
+
+def _judged(found: DataFrame) -> DataFrame:
     status = F.when(F.col("failures") == 0, "pass").otherwise("fail")
     return found.withColumn("status", status)
 
 
+# ---- the same by day ----------------------------------------------------------------------------
+
+CHECK_PARTS = "check_parts"
+#: Models whose rows belong to a day and whose unique keys hold it, with the column of the day.
+BY_DAY = {EVENTS.name: "date"}
+
+
+def check_parts(models: Mapping[str, DataFrame], contracts=CONTRACTS) -> DataFrame:
+    """What every day of the models in ``BY_DAY`` adds to the report; give only some days to get theirs."""
+    parts = [checks.day_parts(
+        models[c.name], c.name, BY_DAY[c.name], c.names("unique"), c.names("not_null"), _accepted(c),
+        [r.name for r in _related(c)], c.names("pii")) for c in contracts if c.name in BY_DAY]
+    return _union(parts)
+
+
+def merged_report(parts: DataFrame, models: Mapping[str, DataFrame], contracts=CONTRACTS) -> DataFrame:
+    """``check_report`` from stored parts of days; only models that have no days are read."""
+    small = [c for c in contracts if c.name not in BY_DAY]
+    found = [check_report(models, small).drop("status")] if small else []
+    for c in contracts:
+        if c.name in BY_DAY:
+            promised = [(name, checks.UNIQUE) for name in c.names("unique")]
+            promised += [(name, checks.NOT_NULL) for name in c.names("not_null")]
+            promised += [(name, checks.ACCEPTED) for name in _accepted(c)]
+            promised += [(r.name, checks.RELATED) for r in _related(c)]
+            parents = {r.name: (models[r.parent[0]], r.parent[1]) for r in _related(c)}
+            found.append(checks.merged_failures(parts, c.name, promised, parents))
+    return _judged(_union(found))
+
+
 def failing_values(models: Mapping[str, DataFrame], contracts=CONTRACTS) -> DataFrame:
     """``(model, column_name, test, value)``: what made the checks fail, NULL rows by their key.
 

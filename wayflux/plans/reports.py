@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from wayflux import domain, schemas
 from wayflux.functions import clip, first_match, whole_number
 from wayflux.operators import (
-    Link, average, breakdown, count_of, enrich, rows, share, star_breakdown)
+    Link, average, breakdown, count_of, enrich, is_rollup, rows, rows_where, share, star_breakdown)
 from wayflux.sources import literal_table
 
 # Traffic count and the two means, as every breakdown shows them.
@@ -28,6 +28,7 @@ _FEED = ("event_ts", "vehicle_id", "city_zone", "road_id", "road_type", "speed_i
          "congestion_level", "weather", "traffic_risk", "peak_label")
 _DEGREE_DECIMALS = 6
 _NUMBERS = ("hour", "peak_flag")
+_KPIS = (rows(), average("speed_int", "avg_speed"), average("congestion_level", "avg_congestion"))
 _MEASURES = ("speed_int", "congestion_level")
 
 
@@ -40,12 +41,14 @@ def zone_positions(spark: SparkSession) -> DataFrame:
 def report_events(fact: DataFrame) -> DataFrame:
     """Fact with report types (zoned timestamp, plain numbers, no NULL peak flag) and labels.
 
-    Enough for every report that shows no dimension attribute, without any join.
+    Enough for every report that shows no dimension attribute, without any join.  The fact may be its
+    daily rollup, which has the same keys and no single event.
     """
     columns = {name: _number(fact, name) for name in _NUMBERS}
-    columns |= {name: _number(fact, name, "double") for name in _MEASURES}
     columns["peak_flag"] = F.coalesce(columns["peak_flag"], F.lit(0))
-    columns["event_ts"] = F.col("event_ts").try_cast("timestamp")
+    if not is_rollup(fact):
+        columns |= {name: _number(fact, name, "double") for name in _MEASURES}
+        columns["event_ts"] = F.col("event_ts").try_cast("timestamp")
     columns["date"] = F.col("date").try_cast("date")
     columns["speed_band"] = F.coalesce("speed_band", F.lit(domain.UNKNOWN))
     columns["weather"] = F.coalesce("weather", F.lit(domain.UNKNOWN))
@@ -183,10 +186,10 @@ def kpi_overview(frame: DataFrame) -> DataFrame:
 
 def kpi_overview_of(fact: DataFrame, zones: DataFrame) -> DataFrame:
     """The same figures from the star: partial sums by zone are joined, not events."""
-    parts = report_events(fact).groupBy("city_zone").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("speed_int").alias("speed"), F.count("speed_int").alias("speeds"),
-        F.sum("congestion_level").alias("level"), F.count("congestion_level").alias("levels"),
-        F.count_if(F.col("peak_flag") == 1).alias("peak"))
+    events, rolled = report_events(fact), is_rollup(fact)
+    parts = events.groupBy("city_zone").agg(
+        *[c for m in _KPIS for c in m.partials(rolled)], rows_where(events, F.lit(True)).alias("n"),
+        rows_where(events, F.col("peak_flag") == 1).alias("peak"))
     parts = enrich(parts, [Link(zones, "city_zone", null_safe=True)])
     total = F.sum("n").cast("double")
 
@@ -194,10 +197,7 @@ def kpi_overview_of(fact: DataFrame, zones: DataFrame) -> DataFrame:
         return F.try_divide(F.sum(n), total) * 100
 
     return parts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("events"),
-        F.try_divide(F.sum("speed").cast("double"), F.sum("speeds")).alias("avg_speed"),
-        F.try_divide(F.sum("level").cast("double"), F.sum("levels")).alias("avg_congestion"),
-        part(F.col("peak")).alias("peak_share"),
+        *[m.final() for m in _KPIS], part(F.col("peak")).alias("peak_share"),
         part(F.when(F.col("traffic_risk") == "HIGH", F.col("n")).otherwise(0)).alias("high_risk_share"))
 
 
@@ -268,9 +268,7 @@ def feed(frame: DataFrame, limit: int | None = None) -> DataFrame:
 # ---- zone and road explorer ---------------------------------------------------------------------
 
 def zone_kpis(zone_frame: DataFrame) -> DataFrame:
-    return zone_frame.agg(F.count(F.lit(1)).alias("events"),
-                          F.avg("speed_int").alias("avg_speed"),
-                          F.avg("congestion_level").alias("avg_congestion"))
+    return breakdown(zone_frame, [], _KPIS)
 
 
 def zone_road_mix(zone_frame: DataFrame) -> DataFrame:
@@ -298,8 +296,17 @@ def zone_road_matrix(frame: DataFrame) -> DataFrame:
     return breakdown(frame, ["city_zone", "road_id"], [rows()])
 
 
+def road_names(roads: DataFrame) -> list[str]:
+    """Members of the road dimension in order: the columns of a heatmap."""
+    return [row[0] for row in roads.select("road_id").where("road_id is not null").distinct()
+            .orderBy("road_id").collect()]
+
+
 def zone_road_heatmap(matrix: DataFrame, roads: Sequence[str]) -> DataFrame:
-    """The matrix with one column per listed road."""
+    """The matrix with one column per listed road; a pair without events is NULL.
+
+    The list comes from the dimension, so the pivot needs no scan of its own to learn its columns.
+    """
     return matrix.groupBy("city_zone").pivot("road_id", list(roads)).sum("events")
 
 

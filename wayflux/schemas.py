@@ -45,5 +45,23 @@ FACT = _fact(INSTANT)
 # Staging keeps wall-clock timestamps: the warehouse column has no zone.
 STAGED_FACT = _fact(WALL_CLOCK)
 
+# Partial sums of the events mart, for reports that show no single event.
+TRAFFIC_DAILY = T.StructType(_columns(
+    date=DATE, hour=INT, city_zone=TEXT, road_id=TEXT, weather=TEXT, speed_band=TEXT, peak_flag=INT,
+    rows_n=T.LongType(), vehicle_id_n=T.LongType(), speed_int_n=T.LongType(),
+    congestion_level_n=T.LongType(), speed_int_sum=T.LongType(), congestion_level_sum=T.LongType()))
+
+# What a day adds to the data checks, and what was found and loaded in each run.
+CHECK_PARTS = T.StructType(_columns(
+    model=TEXT, column_name=TEXT, test=TEXT, value=TEXT, rows=T.LongType(), date=DATE))
+CHECK_HISTORY = T.StructType(_columns(
+    model=TEXT, column_name=TEXT, test=TEXT, failures=T.LongType(), status=TEXT, checked_at=INSTANT,
+    run=TEXT))
+STREAM_PROGRESS = T.StructType(_columns(
+    query_id=TEXT, run_id=TEXT, query_name=TEXT, batch_id=T.LongType(), at=INSTANT,
+    input_rows=T.LongType(), late_rows=T.LongType(), state_rows=T.LongType(),
+    removed_rows=T.LongType(), watermark=INSTANT))
+LOAD_HISTORY = T.StructType(_columns(table=TEXT, rows=T.LongType(), loaded_at=INSTANT, run=TEXT))
+
 DIM_LOCATIONS = T.StructType(_columns(location_id=TEXT) + DIM_ZONE.fields + DIM_ROAD.fields)
 FCT_EVENTS = T.StructType(_columns(event_id=TEXT, location_id=TEXT) + STAGED_FACT.fields)

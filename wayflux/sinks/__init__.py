@@ -3,7 +3,9 @@
 from wayflux.sinks.catalog import (
     create_bi_views, create_database, create_mart_views, register_table, row_counts)
 from wayflux.sinks.jdbc import write_jdbc
-from wayflux.sinks.tables import append_stream, append_table, overwrite_table
+from wayflux.sinks.tables import (
+    Load, append_stream, append_table, drop_days, load_table, overwrite_table)
 
-__all__ = ["append_stream", "append_table", "create_bi_views", "create_database",
-           "create_mart_views", "overwrite_table", "register_table", "row_counts", "write_jdbc"]
+__all__ = ["Load", "append_stream", "append_table", "create_bi_views", "create_database",
+           "create_mart_views", "drop_days", "load_table", "overwrite_table", "register_table",
+           "row_counts", "write_jdbc"]

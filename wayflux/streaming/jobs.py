@@ -15,7 +15,7 @@ from wayflux.lake import BRONZE, FACT, PARTITIONS, ROAD, SILVER, ZONE, Lake
 from wayflux.plans import bronze as bronze_plan
 from wayflux.plans import gold as gold_plan
 from wayflux.plans import silver as silver_plan
-from wayflux.sinks import append_stream, append_table, overwrite_table
+from wayflux.sinks import append_stream, append_table, drop_days, load_table, overwrite_table
 from wayflux.sinks.tables import with_trigger
 
 # What the gold layer needs to know about new silver rows.
@@ -75,7 +75,8 @@ def refresh_star(lake: Lake, silver: DataFrame, batch: DataFrame,
 
     Copies of a reading share its day, so only the days in the batch can change.  They are built
     again from all of silver for these days and replace them; running a batch twice is harmless.
-    The batch is read once, for its distinct days and members.
+    A day that has no fact left, as after a rule change, loses its partition.  The batch is read once,
+    for its distinct days and members.
     """
     marks = batch.select(*_BATCH_MARKS).distinct().persist()
     day = F.col(schemas.EVENT_DATE)
@@ -83,8 +84,9 @@ def refresh_star(lake: Lake, silver: DataFrame, batch: DataFrame,
     # days prune the partitions of silver; a join against them would scan all of it.
     days = [row[0] for row in marks.select(day).where(day.isNotNull()).distinct().collect()]
     touched = silver.where(day.isin(days))
-    overwrite_table(gold_plan.fact_traffic(touched, rules), lake.path(FACT), PARTITIONS[FACT],
-                    lake.fmt, touched_only=True, rebalance=True)
+    written = load_table(gold_plan.fact_traffic(touched, rules), lake.path(FACT), PARTITIONS[FACT],
+                         lake.fmt, touched_only=True, rebalance=True)
+    drop_days(lake.spark, lake.path(FACT), *PARTITIONS[FACT], sorted(set(days) - written.parts), lake.fmt)
     _add_members(lake, ZONE, marks, "city_zone", rules.zone)
     _add_members(lake, ROAD, marks, "road_id", rules.road)
     marks.unpersist()
