@@ -14,6 +14,7 @@ by attempt and only those in the manifest count, so retried tasks do no harm.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -23,7 +24,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +38,7 @@ _REMEMBERED = 500_000
 _BATCH_CHARS = 4_000_000
 #: The splitting rule of byte-level BPE, narrowed to Latin-1, where all engines agree on classes.
 _LETTERS, _DIGITS, _SPACES = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
-_PIECES = regex.compile(
+_PIECES = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_DIGITS}]+| ?[^{_SPACES}{_LETTERS}{_DIGITS}]+"
     f"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+")
 
@@ -81,7 +81,12 @@ class Encoder:
                 for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as bytes of ``kind``."""
+        """The ids of each text as bytes of ``kind``; texts that repeat are encoded once."""
+        distinct = list(dict.fromkeys(texts))
+        of = dict(zip(distinct, self._encode(distinct)))
+        return [of[t] for t in texts]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
         plain = [k for k, t in enumerate(texts) if self._by_piece and self._simple(t)]
         pieces = [_PIECES.findall(texts[k]) for k in plain]
