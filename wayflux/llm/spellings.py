@@ -6,8 +6,9 @@ rarest two by dynamic programming over positions.  One edit spoils at most one o
 bigrams.  So of two words within one edit, the one whose prefix ends earlier in the order has a pivot that
 the other still holds, at the same place or one further, and holds it in its own prefix.
 
-What lies on one side of a kept bigram is untouched by the edit.  That side is part of the join key, so
-common endings and beginnings do not meet all at once, and each candidate is then verified.
+What lies on one side of a kept bigram is untouched by the edit, and so is one half of the other side.
+The side, where it is short with such a half, is part of the join key, so common endings and beginnings
+do not meet all at once, and each candidate is then verified.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from wayflux.llm.common import ascii_lower, only, stored
 #: Fixed: letters of which words consist.
 LETTERS = "[A-Za-z\\u00C0-\\u00FF]+"
 _PREFIX = 3  # one edit with bigrams: 2 * 1 + 1
+#: Kept sides of at most so many code points are shared by too many words to be a key alone.
+_SHORT = 4
 _FAR = 1 << 60
 
 
@@ -62,11 +65,11 @@ def _pivots(prefix: Column) -> Column:
     A fold over places carries the cheapest pair so far, the cheapest bigram before the last one and the
     last one itself, which only the next place can overlap.
     """
-    gram = "struct<at:int,rank:bigint>"
+    gram = "struct<at:int,rank:int>"
     nothing = F.lit(None).cast(gram)
 
     def rank(g: Column) -> Column:
-        return F.coalesce(g["rank"], F.lit(_FAR))
+        return F.coalesce(g["rank"].cast("bigint"), F.lit(_FAR))
 
     def cheaper(a: Column, b: Column) -> Column:
         return F.when(rank(b) < rank(a), b).otherwise(a)
@@ -97,7 +100,7 @@ def gram_prefixes(words: DataFrame) -> DataFrame:
     order = F.broadcast(counts.select("gram", F.row_number().over(
         Window.orderBy("times", "gram")).cast("bigint").alias("rank")))
     listed = grams.join(order, "gram").groupBy("word", "size").agg(
-        F.sort_array(F.collect_list(F.struct("rank", "at"))).alias("grams"))
+        F.sort_array(F.collect_list(F.struct(F.col("rank").cast("int").alias("rank"), "at"))).alias("grams"))
     last = F.element_at("grams", _PREFIX)["rank"]
     return listed.withColumn("last", last).select(
         "word", "size", "last", F.sort_array(F.transform(
@@ -106,32 +109,41 @@ def gram_prefixes(words: DataFrame) -> DataFrame:
         "pivots", _pivots(F.col("prefix")))
 
 
-def _keys(words: DataFrame, grams: str, reach: int) -> DataFrame:
-    """``word, last, side, size, key`` for each bigram of the column ``grams`` and each side of it.
+def _keys(words: DataFrame, grams: str, pivot: bool) -> DataFrame:
+    """``word, last, key`` for each bigram of the column ``grams``, each side of it, and each size that a
+    word within one edit may have.
 
-    The key is the bigram with all that lies on one side of it.  ``reach`` of 1 adds the rows that meet
-    words one code point shorter or longer.
+    The key is a hash of the bigram with all that lies on its untouched side, and the size of the word that
+    holds it in its prefix.  Where this is short, half of the other side belongs to it as well: that
+    side is cut in the middle of the pivot's word, and one of its halves is untouched too.
     """
-    g = words.select("word", "last", F.col("size").alias("own"), F.explode(grams).alias("g"))
-    before = F.left(F.col("word"), F.col("g.at") + 2)
-    after = F.substring(F.col("word"), F.col("g.at") + 1, F.col("own"))
-    sides = g.select("word", "last", "own", F.explode(F.array(
-        F.struct(F.lit("before").alias("side"), before.alias("key")),
-        F.struct(F.lit("after").alias("side"), after.alias("key")))).alias("k"))
-    sizes = F.array(*[F.col("own") + d for d in range(-reach, reach + 1)])
-    return sides.select("word", "last", "own", F.col("k.side").alias("side"), F.col("k.key").alias("key"),
-                        F.explode(sizes).alias("size"))
+    word, at, size = F.col("word"), F.col("g.at"), F.col("size")
+    cut = words.select("word", "last", "size", F.explode(grams).alias("g")).select(
+        "word", "last", "size", F.explode(F.array(
+            F.struct(F.lit(0).alias("side"), F.left(word, at + 2).alias("kept"), F.substring(word, at + 3, size).alias("rest")),
+            F.struct(F.lit(1).alias("side"), F.substring(word, at + 1, size).alias("kept"), F.left(word, at).alias("rest")))).alias("x"))
+    side, kept, rest = F.col("x.side"), F.col("x.kept"), F.col("x.rest")
+
+    def keys(longer: int) -> Column:
+        """For words of which the one with the prefix is ``longer`` by so many code points."""
+        goal = size + longer if pivot else size
+        chars = F.length(rest) if pivot else F.length(rest) - longer
+        half = F.floor(chars / 2).cast("int")
+        return F.when(F.length(kept) > _SHORT, F.array(F.xxhash64(side, kept, goal))).otherwise(F.array(
+            F.xxhash64(side, kept, goal, F.lit(0), F.left(rest, half)),
+            F.xxhash64(side, kept, goal, F.lit(1), F.right(rest, chars - half))))
+
+    return cut.select("word", "last", F.explode(F.array_distinct(
+        F.concat(*[keys(longer) for longer in (-1, 0, 1)]))).alias("key"))
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """``word, near``: all pairs of different words within one inserted, deleted or replaced code point, in
     both directions.  ``words`` has distinct words of at least five code points in ``word``."""
     known = stored(gram_prefixes(words.select("word")), "spelling-grams")
-    pivots = _keys(known, "pivots", 1).select("side", "key", "size", F.col("word").alias("a"),
-                                              F.col("last").alias("a_last"))
-    prefixes = _keys(known, "prefix", 0).select("side", "key", "size", F.col("word").alias("b"),
-                                                F.col("last").alias("b_last"))
-    met = pivots.join(prefixes, ["side", "key", "size"]).where(
+    pivots = _keys(known, "pivots", True).select("key", F.col("word").alias("a"), F.col("last").alias("a_last"))
+    prefixes = _keys(known, "prefix", False).select("key", F.col("word").alias("b"), F.col("last").alias("b_last"))
+    met = pivots.join(prefixes, "key").where(
         (F.col("a") != F.col("b")) & (F.col("a_last") <= F.col("b_last"))
         & (F.levenshtein("a", "b", 1) == 1))
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
