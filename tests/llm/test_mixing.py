@@ -16,14 +16,16 @@ def brute(cells, mix):
             if value in raw.index:
                 raw[value] = given
         targets[name] = cells[name].map(raw / raw.sum()).to_numpy()
+    before = np.inf
     for _ in range(mix.rounds):
         error = 0
         for name in DIMENSIONS:
             sums = cells.assign(w=weight).groupby(name)["w"].transform("sum").to_numpy()
             step = targets[name] / sums
             weight, error = weight * step, max(error, np.abs(step - 1).max())
-        if error <= mix.tolerance:
+        if error <= mix.tolerance or error > 0.999 * before:
             break
+        before = error
     ratio, scale = weight * total / tokens, mix.keep
     for _ in range(64):
         full = ratio * scale >= 1
@@ -67,3 +69,14 @@ def test_odd_rows(spark, odd, none):
     assert mixed_sample(none).count() == 0
     assert mixed_sample(odd.drop("source", "lang")).count() <= odd.count()
     assert mixed_sample(odd.where("text is null")).count() == 2
+
+
+def test_missed_targets_are_told(spark):
+    rows = [(k, "a b c d", "s1" if k % 2 else "s2", "en" if k % 2 else "de") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    against = Mix(shares={"source": {"s1": 1.0, "s2": 3.0}, "lang": {"en": 3.0, "de": 1.0}})
+    missed = {r.missed for r in document_rates(docs, against).collect()}
+    assert len(missed) == 1 and missed.pop() > 0.5
+    assert {r.missed <= 1e-3 for r in document_rates(docs, Mix(shares={"lang": {"en": 3.0, "de": 1.0}},
+            flatten={"source": 1.0, "lang": 1.0, "topic": 1.0})).collect()} == {False}
+    assert all(r.missed <= 1e-3 for r in document_rates(docs).collect())

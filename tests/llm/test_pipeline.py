@@ -1,6 +1,8 @@
 import re
+from collections import Counter
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from test_decontaminate import brute as contaminated
 from test_near_dup import brute as groups
 from wayflux.llm.common import stored, table
@@ -35,3 +37,19 @@ def test_stages_against_brute_force(spark, sf_dir):
 def test_stage_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontamination", "mixing", "tokens"]
     assert all(re.fullmatch(r"\w+", n) for n, _ in corpus_pipeline.STAGES)
+
+
+def test_odd_rows_pass_all_stages(spark, sf_dir, odd, none):
+    now = odd.withColumn("n_chars", F.length("text")).unionByName(
+        table(spark, sf_dir, "documents").selectExpr("doc_id", "text", "source", "lang", "7 as id", "'x' as class",
+                                                     "1 as tokens", "'t' as word", "2 as rank", "cast(n_chars as int) n_chars"))
+    empty, columns = none.withColumn("n_chars", F.length("text")), now.columns
+    for name, stage in corpus_pipeline.STAGES:
+        now = stored(stage(spark, now, sf_dir), f"odd-{name}")
+        empty = stored(stage(spark, empty, sf_dir), f"none-{name}")
+        assert empty.count() == 0, name
+        if name != "tokens":
+            assert now.columns == empty.columns == columns, name
+            kept = Counter((r.doc_id, r.text and r.text[:3]) for r in now.where("source = 'src0' and class = 'x'").collect())
+            assert kept[1, None] and kept[None, None] and kept[2, ""], name
+    assert now.where("doc_id is null").count() >= 1 and now.where("n_tokens = 1").count() >= 3

@@ -2,7 +2,8 @@ import zlib
 
 from wayflux.llm.common import table
 from wayflux.llm.queries import op3_toxicity
-from wayflux.llm.toxicity import Lexicon, Toxicity, drop_toxic, features, learn, toxicity_scores
+from wayflux.llm.toxicity import (
+    Lexicon, Toxicity, drop_toxic, features, learn, quotations, toxicity_scores)
 
 
 def one_edit(a, b):
@@ -104,3 +105,88 @@ def test_a_long_text_in_many_versions_does_not_fill_the_lexicon(spark):
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
     model = learn(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
     assert set(model.terms) == {"scoundrel"}
+
+
+def test_only_open_quotations_count():
+    lexicon, rule = Lexicon({"idiot": 3.0}, {}, 5), Toxicity()
+    direct = ["He shouted “hello there” loudly, you idiot, and left with “bye”", '"hello" you idiot and "bye"',
+              "«salut» toi idiot «adieu»", "it's an idiot's idiot, don't you think", "„hallo“ du idiot „ade“",
+              "the dogs' idiot said' nothing".replace("said", "did"), "“never closed, you idiot", "“one\nidiot two”",
+              "“a b c d e f g h idiot i j k l m n o”"]
+    for text in direct:
+        assert features(text, lexicon, rule)[3] == 0 < features(text, lexicon, rule)[0], text
+    quoted = ["the 'idiot' of the book", "“she is ‘an idiot’ to them” ran the line", "„du idiot“ stand da", "«pauvre idiot»",
+              '("idiot")', "“you idiot”", "a “great ‘book’ by an idiot” was there"]
+    for text in quoted:
+        assert features(text, lexicon, rule)[3] > 0 == features(text, lexicon, rule)[0], text
+
+
+def test_quotations_are_found_with_their_inner_ones():
+    text = "“a ‘b’ c” 'd' it's \"e\" „f“ “g"
+    assert sorted(text[a:b + 1] for a, b in quotations(text)) == sorted(["“a ‘b’ c”", "‘b’", "'d'", '"e"', "„f“"])
+
+
+def test_near_copies_of_a_toxic_text_take_no_terms_away(spark):
+    """Three hundred versions that differ in one word use a term that other toxic texts use too."""
+    draw = [f"filler{k}" for k in range(40)]
+    versions = [" ".join(["what", "an", "awful", "scoundrel", *draw[:20], f"only{k}", *draw[20:]]) for k in range(300)]
+    toxic = [f"you w{k} scoundrel" for k in range(40)] + versions
+    clean = [f"a fine day {k}" for k in range(400)]
+    rows = [(k, t, int(k < len(toxic))) for k, t in enumerate(toxic + clean)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = learn(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    assert "scoundrel" in model.terms and not {"awful", "filler3", "filler30"} & set(model.terms)
+
+
+def test_the_sample_is_bounded_in_ids_and_rows(spark):
+    from wayflux.llm.common import hashed_rows
+
+    ids = spark.range(5000).toDF("doc_id")
+    kept = hashed_rows(ids, 700, "doc_id")
+    assert len(kept) == 700 and [r.doc_id for r in kept] == [r.doc_id for r in hashed_rows(ids.repartition(9), 700, "doc_id")]
+    assert len(hashed_rows(ids.limit(10), 700, "doc_id")) == 10 and hashed_rows(ids.limit(0), 7, "doc_id") == []
+    docs = spark.createDataFrame([(k % 50, f"you w{k} scoundrel" if k % 2 else f"a fine day {k}") for k in range(3000)] * 2,
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(50)] * 3, "doc_id bigint, toxic int")
+    assert "scoundrel" in learn(docs, labels, Toxicity(labelled=200)).terms
+
+
+def brute_score(text, model):
+    """The score from the published parts of a model, every match by comparing with every term."""
+    import math
+    import re
+
+    words = [(m.group().lower(), *m.span()) for m in re.finditer(r"[^\W_]+", text or "")]
+    quoted, counts, top, hits = quotations(text or ""), [0, 0, 0, 0], 0.0, 0
+    for k, (w, a, b) in enumerate(words):
+        stems = [s for s in model.stems if w.startswith(s)]
+        near = [x for t, x in model.terms.items() if len(t) >= 5 and len(w) >= 5 and one_edit(t, w)]
+        if w in model.terms:
+            kind, weight = 0, model.terms[w]
+        elif stems:
+            kind, weight = 2, model.stems[max(stems, key=len)]
+        elif near:
+            kind, weight = 1, max(near)
+        else:
+            continue
+        hits += 1
+        window = words[max(0, k - 6):k + 7]
+        inside = any(window[0][1] - 1 <= x < a and b <= y <= window[-1][2] for x, y in quoted)
+        if inside or any(v[0] in model.rule.reporting for v in window):
+            counts[3] += 1
+        else:
+            counts[kind] += 1
+            top = max(top, weight)
+    x = [*map(math.log1p, counts), top / 4, math.log1p(100 * hits / max(len(words), 1))]
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, model.weights[0] + sum(p * q for p, q in zip(model.weights[1:], x))))))
+
+
+def test_scores_against_brute_force(spark):
+    from wayflux.llm.queries import training_rows
+
+    docs, labels = (table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
+    model = learn(docs, labels, usable=training_rows())
+    assert model.terms
+    texts = {r.doc_id: r.text for r in docs.where("length(text) < 3000 or text is null").limit(250).collect()}
+    for r in toxicity_scores(docs.where(docs.doc_id.isin(list(texts))), model).collect():
+        assert abs(r.score - brute_score(texts[r.doc_id], model)) < 1e-9, r.doc_id

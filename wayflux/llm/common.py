@@ -25,6 +25,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hashed_rows(df: DataFrame, most: int, *keys: str) -> list:
+    """At most ``most`` rows, those of the least hash of ``keys``, as a list for the driver.
+
+    The rows are counted first; all but those below a hash bound that leaves a little more than ``most``
+    are dropped where they lie, so what is sent does not grow with their number.
+    """
+    total, draw = df.count(), F.xxhash64(*keys)
+    if total > most:
+        share = min(1.0, (1.1 * most + 1000) / total)
+        df = df.where(draw < int(-(2 ** 63) + share * 2 ** 64) if share < 1 else F.lit(True))
+    rows = df.withColumn("_draw", draw).collect()
+    return sorted(rows, key=lambda r: (r["_draw"], *(r[k] for k in keys)))[:most]
+
+
 def only(df: DataFrame, **kinds: str) -> DataFrame:
     """Just the named columns, cast; a column that is missing is null.  Others are never read."""
     have = {c.lower(): c for c in df.columns}

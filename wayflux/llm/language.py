@@ -20,9 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from wayflux.llm.common import only, stored
+from wayflux.llm.common import hashed_rows, only, stored
 from wayflux.llm.reputation import ascii_lower_host, levels, path_of
 
 _TAGS = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
@@ -33,12 +32,12 @@ _NOT_LETTERS = re.compile(r"[^\w]+|[\d_]+")
 @dataclass(frozen=True)
 class LanguageModel:
     """``labelled``: bound on the labelled documents, by a hash of their ids, that likelihoods are
-    learnt from.  ``grams``: bound on the trigrams kept for each language.  ``smoothing``: added to all
-    counts.  ``prior``: pages that a level's parent is worth.  ``strength``: the share of the text's
+    learnt from.  ``least``: occurrences in the sample that a trigram needs to be kept.  ``smoothing``:
+    added to all counts.  ``prior``: pages that a level's parent is worth.  ``strength``: the share of the text's
     log likelihood that counts, since neighbouring trigrams are not independent, and its bound."""
 
     labelled: int = 20_000
-    grams: int = 3_000
+    least: int = 2
     smoothing: float = 0.5
     prior: float = 20.0
     strength: float = 0.2
@@ -61,15 +60,18 @@ def trigrams(text: str) -> Counter:
 
 
 def learn_grams(docs: DataFrame, model: LanguageModel = LanguageModel()) -> dict[str, dict[str, float]]:
-    """Log probabilities of the commonest trigrams for each language of ``docs`` (doc_id, text, lang).
+    """Log probabilities of trigrams for each language of ``docs`` (doc_id, text, lang).
 
-    Counted by Spark on the bounded sample; languages are the values of ``lang``, null ones left out.
+    Counted by Spark on the bounded sample (rows that repeat an id add one text for each different one,
+    within the same bound; rows without an id add none); languages are the values of ``lang``, null ones left out.
     """
     sample = only(docs, doc_id="bigint", text="string", lang="string").where(
         "lang is not null and text is not null")
-    ids = sample.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(model.labelled)
-    ids = docs.sparkSession.createDataFrame([tuple(r) for r in ids.collect()], "doc_id bigint")
-    picked = sample.join(F.broadcast(ids.distinct()), "doc_id", "left_semi").select("lang", "text")
+    sample = sample.withColumn("tie", F.xxhash64("lang", "text")).where("doc_id is not null")
+    ids = hashed_rows(sample.select("doc_id", "tie").distinct(), model.labelled, "doc_id", "tie")
+    ids = docs.sparkSession.createDataFrame([(r["doc_id"], r["tie"]) for r in ids], "doc_id bigint, tie bigint")
+    picked = sample.join(F.broadcast(ids), ["doc_id", "tie"], "left_semi").dropDuplicates(
+        ["doc_id", "tie"]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,8 +88,7 @@ def learn_grams(docs: DataFrame, model: LanguageModel = LanguageModel()) -> dict
     counts = stored(counts, "grams")
     kinds = counts.select("gram").distinct().count()
     totals = {r[0]: float(r[1]) for r in counts.groupBy("lang").agg(F.sum("n")).collect()}
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    top = counts.withColumn("rank", rank).where(F.col("rank") <= model.grams).collect()
+    top = counts.where(F.col("n") >= model.least).collect()
     out: dict[str, dict[str, float]] = {}
     for lang, total in totals.items():
         bottom = math.log(total + model.smoothing * kinds)

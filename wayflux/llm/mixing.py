@@ -24,19 +24,21 @@ class Mix:
     """``shares``: target shares by dimension and value, relative; values not named, and dimensions
     without shares, get their present token share to the power ``flatten`` (1 keeps the mix, 0 makes
     all alike).  ``keep``: expected share of all tokens that stay.  Raking ends when every marginal is
-    within ``tolerance`` of its target, or after ``rounds`` where targets contradict each other."""
+    within ``tolerance`` of its target, when a round brings no marginal nearer, as where targets contradict
+    each other, or after ``rounds``; what is missed then is returned as ``missed``."""
 
     keep: float = 0.5
     flatten: Mapping[str, float] = field(
         default_factory=lambda: {"source": 0.7, "lang": 0.8, "topic": 0.8})
     shares: Mapping[str, Mapping[str, float]] = field(default_factory=dict)
     tolerance: float = 1e-3
-    rounds: int = 12
+    rounds: int = 50
     seed: int = 20
 
 
 def topic_of(text: str) -> Column:
-    """What kind of page a text looks like, from its form alone; never null."""
+    """The form of a text (table, code, notice, figures, or its size), which stands for its topic where
+    no topic is known; never null."""
     t = F.coalesce(text, F.lit(""))
     return (F.when(F.length(t) == 0, "empty")
             .when(F.regexp_count(t, F.lit(r" \| ")) >= 5, "table")
@@ -71,7 +73,8 @@ def _targets(cells: DataFrame, name: str, mix: Mix, total: float) -> DataFrame:
 
 
 def raked(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """``source, lang, topic, tokens, docs, weight, rate`` for each cell of ``docs``.
+    """``source, lang, topic, tokens, docs, weight, rate, missed`` for each cell of ``docs``; ``missed`` is
+    the largest share by which raking still had to change a marginal in its last round.
 
     Null sources and languages are a value of their own (shown as ''), null texts count as empty ones.
     Cells without tokens get the rate 1.  Only sums and one error reach the driver.
@@ -80,12 +83,13 @@ def raked(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")), "cells")
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     if not total:
-        return cells.withColumns({"weight": F.lit(0.0), "rate": F.lit(1.0)})
+        return cells.withColumns({"weight": F.lit(0.0), "rate": F.lit(1.0), "missed": F.lit(0.0)})
     now = cells.withColumn("weight", F.col("tokens") / F.lit(float(total)))
     for name in DIMENSIONS:
         now = now.join(_targets(cells, name, mix, float(total))
                        .withColumnRenamed("target", f"target_{name}"), name)
     now = stored(now.where("tokens > 0"), "raked")
+    missed = float("inf")
     for _ in range(mix.rounds):
         error = F.lit(0.0)
         for name in DIMENSIONS:
@@ -95,7 +99,8 @@ def raked(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
             now = now.withColumn("weight", F.col("weight") * step)
             error = F.greatest(error, F.abs(step - 1))
         now = stored(now.withColumn("error", error).drop(*[f"sum_{n}" for n in DIMENSIONS]), "raked")
-        if now.agg(F.max("error")).first()[0] <= mix.tolerance:
+        before, missed = missed, now.agg(F.max("error")).first()[0]
+        if missed <= mix.tolerance or missed > 0.999 * before:
             break
         now = now.drop("error")
     now = now.withColumn("ratio", F.col("weight") * F.lit(float(total)) / F.col("tokens"))
@@ -112,13 +117,14 @@ def raked(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     return cells.join(now.select(
         *DIMENSIONS, "weight", F.least(F.lit(1.0), F.col("ratio") * F.lit(scale)).alias("rate")),
         list(DIMENSIONS), "left").withColumns({
-            "weight": F.coalesce("weight", F.lit(0.0)), "rate": F.coalesce("rate", F.lit(1.0))})
+            "weight": F.coalesce("weight", F.lit(0.0)), "rate": F.coalesce("rate", F.lit(1.0)),
+            "missed": F.lit(float(missed))})
 
 
 def _with_rates(docs: DataFrame, mix: Mix) -> tuple[DataFrame, Column, Column]:
     """Each cell's rate, what puts a row of ``docs`` into a cell, and whether the row is drawn."""
     rates = stored(raked(docs, mix).select(
-        *[F.col(n).alias(f"__mix_{n}") for n in DIMENSIONS], F.col("rate").alias("__mix_rate")), "rates")
+        *[F.col(n).alias(f"__mix_{n}") for n in (*DIMENSIONS, "rate", "missed")]), "rates")
     text = _column(docs, "text")
     cell = ((F.coalesce(_column(docs, "source"), F.lit("")) == rates["__mix_source"])
             & (F.coalesce(_column(docs, "lang"), F.lit("")) == rates["__mix_lang"])
@@ -137,9 +143,9 @@ def mixed_sample(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def document_rates(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """``doc_id, source, lang, topic, rate, drawn`` for each row of ``docs``; ``drawn`` rows are those
-    of ``mixed_sample``."""
+    """``doc_id, source, lang, topic, rate, missed, drawn`` for each row of ``docs``; ``drawn`` rows are
+    those of ``mixed_sample``, ``missed`` is what raking left of the targets."""
     rates, cell, drawn = _with_rates(docs, mix)
     return docs.join(rates, cell).select(
         docs["doc_id"], *[F.col(f"__mix_{n}").alias(n) for n in DIMENSIONS],
-        F.col("__mix_rate").alias("rate"), drawn.alias("drawn"))
+        F.col("__mix_rate").alias("rate"), F.col("__mix_missed").alias("missed"), drawn.alias("drawn"))

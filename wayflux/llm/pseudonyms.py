@@ -105,19 +105,29 @@ def _account(value: str, permute: Permute) -> str | None:
     return _relaid(value, plain[:2] + f"{check:02d}" + body, str.isalnum)
 
 
+#: First digits of area and exchange, numbered: those of the plan, and the rest.
+_PLAN = {f"{a}{e}": k for k, (a, e) in enumerate((a, e) for a in range(2, 10) for e in range(2, 10))}
+_NO_PLAN = {h: k for k, h in enumerate(h for h in (f"{n:02d}" for n in range(100)) if h not in _PLAN)}
+
+
 def _telephone(value: str, permute: Permute) -> str | None:
-    """Ten digits after an optional country code; where no code or bracket says that it is a telephone
-    number, area and exchange have to be ones of the plan, and stay such."""
+    """Ten digits after an optional country code, the same for each layout of a number.
+
+    A number whose area and exchange are ones of the plan (they begin with 2 to 9) becomes another one
+    of the plan.  Others are taken for telephone numbers only where a code or a bracket says so, and
+    are permuted among themselves.
+    """
     digits = _digits(value)
     lead, number = digits[:-10], digits[-10:]
-    if lead or "(" in value:
-        return _relaid(value, lead + str(permute("telephone", 10 ** 10, int(number))).zfill(10))
-    if number[0] in "01" or number[3] in "01":
+    first = number[0] + number[3]
+    kind, heads = ("telephone", _PLAN) if first in _PLAN else ("telephone-other", _NO_PLAN)
+    if heads is _NO_PLAN and not lead and "(" not in value:
         return None
-    code = (int(number[0]) - 2) * 8 + int(number[3]) - 2
-    code, rest = divmod(permute("plan", 64 * 10 ** 8, code * 10 ** 8 + int(number[1:3] + number[4:])), 10 ** 8)
+    index = heads[first] * 10 ** 8 + int(number[1:3] + number[4:])
+    head, rest = divmod(permute(kind, len(heads) * 10 ** 8, index), 10 ** 8)
+    area, exchange = list(heads)[head]
     tail = f"{rest:08d}"
-    return _relaid(value, str(code // 8 + 2) + tail[:2] + str(code % 8 + 2) + tail[2:])
+    return _relaid(value, lead + area + tail[:2] + exchange + tail[2:])
 
 
 def _security(value: str, permute: Permute) -> str | None:
@@ -188,12 +198,12 @@ def _mail(value: str, permute: Permute) -> str | None:
 #: Kinds in the order in which they claim text.
 KINDS: dict[str, tuple[str, Callable[[str, Permute], str | None]]] = {
     "mail": (r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _mail),
-    "account": (r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _account),
+    "account": (r"\b[A-Za-z]{2}\d{2}(?: ?[A-Za-z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,3})?\b", _account),
     "card": (r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w)", _card),
     "telephone": (r"(?<![\w.])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)", _telephone),
     "security": (r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _security),
     "machine": (r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", _machine),
-    "date": (r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![\w/-]|\.\d)", _date),
+    "date": (r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?!(?!T\d)[\w/-]|\.\d)", _date),
 }
 _PATTERNS = {k: re.compile(p, re.ASCII) for k, (p, _) in KINDS.items()}
 _MAY = re.compile(r"[0-9@]")

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,10 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayflux.llm.common import only, stored
+from wayflux.llm.common import hashed_rows, only, stored
 
 _WORD = re.compile(r"[^\W_]+")
-_OPENING, _CLOSING = "\"“„«‹‘", "\"”“»›’"
+#: Signs that open a quotation, with those that close it; an apostrophe opens one only before a word
+#: and behind none, and closes it only the other way round.
+_QUOTES = {'"': '"', "“": "”", "„": "“”", "«": "»", "‹": "›", "‘": "’", "'": "'"}
+_SIGNS = re.compile("[\n" + "".join(sorted(set("".join([*_QUOTES, *_QUOTES.values()])))) + "]")
 _KINDS = ("direct", "misspelled", "stem", "quoted")
 N_FEATURES = 6
 
@@ -33,14 +37,13 @@ N_FEATURES = 6
 @dataclass(frozen=True)
 class Toxicity:
     """``labelled``: bound on the labelled rows that are sampled, by a hash of their ids, to learn from.
-    ``terms``: bound on the lexicon, by margin among what passes all tests.  ``support``: share of the distinct toxic texts a term is in at least, so
-    that rare words stay out; ``contexts``: different words before it, for each time it occurs in them,
-    so that words of one much copied and slightly varied text stay out.  ``confidence``: least lower bound of a term's log odds ratio.
+    ``support``: share of the distinct toxic texts a term is in at least, so that rare words stay out;
+    ``contexts``: different words before it, for each different window of five words around it, so that
+    words of one much copied and slightly varied text stay out.  ``confidence``: least lower bound of a term's log odds ratio.
     ``stem``: lengths of word beginnings that are tried as stems.  ``fuzzy_from``: shortest word that
     may be misspelled.  ``window``: words on each side of a match that are its context."""
 
     labelled: int = 20_000
-    terms: int = 2_000
     support: float = 0.01
     contexts: float = 0.25
     confidence: float = 2.2
@@ -132,6 +135,29 @@ def _end(node: dict, rest: str) -> float | None:
     return node.get("term")
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Places of the signs of all quotations that are opened and closed within a line, outer and inner."""
+    found, stack = [], []
+
+    def letter(k: int) -> bool:
+        return 0 <= k < len(text) and text[k].isalnum()
+
+    for m in _SIGNS.finditer(text):
+        at, sign = m.start(), m.group()
+        if sign == "\n":
+            stack.clear()
+            continue
+        closes = [k for k, (_, opened) in enumerate(stack) if sign in _QUOTES[opened]]
+        if sign in "'’" and letter(at - 1) and letter(at + 1):
+            continue  # an apostrophe inside a word
+        if closes and (sign != "'" or not letter(at + 1)):
+            found.append((stack[closes[-1]][0], at))
+            del stack[closes[-1]:]
+        elif sign in _QUOTES and (sign != "'" or letter(at + 1) and not letter(at - 1)):
+            stack.append((at, sign))
+    return found
+
+
 def features(text: str | None, lexicon: Lexicon, rule: Toxicity) -> list[float]:
     """Counts by kind (log), the highest weight of an unquoted match, and matches for each word."""
     counts, top, n_hits = [0, 0, 0, 0], 0.0, 0
@@ -140,16 +166,14 @@ def features(text: str | None, lexicon: Lexicon, rule: Toxicity) -> list[float]:
         kinds = {w: m for w in set(words) if (m := lexicon.match(w)) is not None}
         if kinds:
             spans = [m.span() for m in _WORD.finditer(text)]
-            lowered = [text[a:b].lower() for a, b in spans]
+            lowered, quoted = [text[a:b].lower() for a, b in spans], sorted(quotations(text))
             for k, w in enumerate(lowered):
                 if (m := kinds.get(w)) is None:
                     continue
                 n_hits += 1
                 lo, hi = max(0, k - rule.window), min(len(spans) - 1, k + rule.window)
-                before, after = text[spans[lo][0]:spans[k][0]], text[spans[k][1]:spans[hi][1] + 1]
-                opened = max((before.rfind(c) for c in _OPENING), default=-1)
-                inside = (opened >= 0 and before.count(before[opened]) % 2 == 1
-                          and any(c in after for c in _CLOSING))
+                opened = quoted[bisect_left(quoted, (spans[lo][0] - 1,)):bisect_left(quoted, (spans[k][0],))]
+                inside = any(spans[k][1] <= b <= spans[hi][1] for _, b in opened)
                 if inside or any(x in rule.reporting for x in lowered[lo:hi + 1]):
                     counts[3] += 1
                 else:
@@ -184,14 +208,18 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
 
 def _in_many_contexts(toxic: DataFrame, candidates: DataFrame, rule: Toxicity) -> DataFrame:
     """Of the candidates (kind, word, margin), those that follow many different words.  What only much
-    copied texts have in common always follows the same one."""
+    copied texts have in common always follows the same one; their windows are counted once, so copies
+    that differ elsewhere add nothing either."""
     low, high = rule.stem
     heads = F.expr(f"concat(array(named_struct('kind', 'term', 'head', word)), transform(filter("
                    f"sequence({low}, {high}), k -> k < length(word)), "
                    f"k -> named_struct('kind', 'stem', 'head', left(word, k))))")
+    around = F.transform("words", lambda w, k: F.xxhash64(F.slice(
+        "words", F.greatest(k - 1, F.lit(1)), F.least(k + 3, F.lit(5)))))
     pairs = toxic.select(F.inline(F.arrays_zip(
-        F.col("words").alias("word"), F.concat(F.array(F.lit("")), F.col("words")).alias("before"))))
-    pairs = pairs.where("word is not null").groupBy("word", "before").count()
+        F.col("words").alias("word"), F.concat(F.array(F.lit("")), F.col("words")).alias("before"),
+        around.alias("around")))).where("word is not null").distinct()
+    pairs = pairs.groupBy("word", "before").count()
     seen = (pairs.select("before", "count", F.inline(heads)).withColumnRenamed("head", "word")
             .join(candidates, ["kind", "word"]).groupBy("kind", "word", "margin", "before")
             .agg(F.sum("count").alias("count")))
@@ -212,8 +240,9 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Toxicity = Toxicity(),
           usable: Column | None = None) -> Model:
     """Fit on at most ``rule.labelled`` labelled documents for which ``usable`` holds.
 
-    The sample's ids (bounded) are broadcast; word counts of the sample are summed and tested by
-    Spark, and only the lexicon (bounded) reaches the driver.  Labels with null id or value are not used; of
+    The sample's ids (bounded) are broadcast; rows that repeat an id count once for each different text,
+    within the same bound.  Word counts of the sample are summed and tested by Spark, and only the
+    lexicon, which is part of the sample's words, reaches the driver.  Labels with null id or value are not used; of
     contradicting labels of one id the toxic one counts.  The lexicon comes from distinct texts: those of
     one label with the same words in the same order are one.  What clean texts count is brought to
     the number of clean rows; the regression is fitted on all rows.  Without toxic or without clean
@@ -222,12 +251,17 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Toxicity = Toxicity(),
     known = only(labels, doc_id="bigint", toxic="int").where("doc_id is not null and toxic is not null")
     if usable is not None:
         known = known.where(usable)
-    sample = (known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rule.labelled))
+    sample = hashed_rows(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), rule.labelled, "doc_id")
     sample = F.broadcast(docs.sparkSession.createDataFrame(
-        [tuple(r) for r in sample.collect()], "doc_id bigint, toxic int"))
+        [(r["doc_id"], r["toxic"]) for r in sample], "doc_id bigint, toxic int"))
     texts = stored(only(docs, doc_id="bigint", text="string").join(sample, "doc_id")
-                   .where("text is not null").select("toxic", "text"), "labelled")
+                   .where("text is not null").withColumn("tie", F.xxhash64("text"))
+                   .dropDuplicates(["doc_id", "tie"]), "labelled")
+    if texts.count() > rule.labelled:
+        kept = hashed_rows(texts.select("doc_id", "tie"), rule.labelled, "doc_id", "tie")
+        kept = docs.sparkSession.createDataFrame([(r["doc_id"], r["tie"]) for r in kept], "doc_id bigint, tie bigint")
+        texts = stored(texts.join(F.broadcast(kept), ["doc_id", "tie"], "left_semi"), "labelled")
+    texts = texts.select("toxic", "text")
     totals = dict(texts.groupBy("toxic").count().collect())
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     if not n_toxic or not n_clean:
@@ -260,8 +294,7 @@ def learn(docs: DataFrame, labels: DataFrame, rule: Toxicity = Toxicity(),
     varied = stored(_in_many_contexts(distinct.where("toxic = 1"), candidates, rule), "varied")
 
     def chosen(kind: str) -> dict[str, float]:
-        rows = (varied.where(F.col("kind") == kind).orderBy(F.desc("margin"), "word").limit(rule.terms)
-                .select("word", "margin").collect())
+        rows = varied.where(F.col("kind") == kind).select("word", "margin").collect()
         return {r["word"]: float(r["margin"]) for r in rows}
 
     terms, stems = chosen("term"), chosen("stem")
