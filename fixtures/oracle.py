@@ -387,6 +387,7 @@ def oracle_sql() -> dict[str, str]:
         "scale_star": _SCALE_STAR,
         "nation_top10": f"select * from ({_SCALE_STAR}) order by events desc, nation, priority limit 10",
         "gold_rebuild_fact": _with("select * from gold_fact"),
+        "gold_switched_fact": _with("select * from gold_fact"),
         "publish_incremental": _with("select * from fct"),
         "publish_normalise_loose": _LOOSE,
         "staging_roundtrip_fact": _with(f"select {_FACT} from gold_fact"),

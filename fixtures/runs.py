@@ -23,7 +23,7 @@ from wayflux.session import pin_zone, work_path
 from wayflux.sinks import (
     append_stream, append_table, create_bi_views, create_database, overwrite_table, register_table, row_counts)
 from wayflux.sources import file_log, read_seed, stream_table
-from wayflux.streaming import ProgressLog, start_bronze, start_gold, start_silver
+from wayflux.streaming import ProgressLog, start_bronze, start_gold, start_silver, switch_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,6 +161,18 @@ def gold_stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read(FACT)
 
 
+def gold_switched_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as readers of the catalog see it after a star of some days gave way to one of all."""
+    here = layers(spark, sf_dir)
+    stored = here.silver()
+    lake = Lake(spark, work_path(spark, "gold-switch"))
+    database = f"{here.database}_switch"
+    create_database(spark, database, lake.path("_database"))
+    for rows in (stored.where(F.dayofmonth(schemas.EVENT_DATE) % 2 == 0), stored):
+        switch_star(lake, database, rows)
+    return spark.table(f"{database}.{FACT}").select(*schemas.FACT.names)
+
+
 def gold_rebuild_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact as a whole rebuild of the star writes it."""
     here = layers(spark, sf_dir)
@@ -528,6 +540,7 @@ def queries() -> dict[str, Query]:
         "full_chain_marts": full_chain_marts,
         "full_chain_checks": full_chain_checks,
         "gold_rebuild_fact": gold_rebuild_fact,
+        "gold_switched_fact": gold_switched_fact,
         "publish_incremental": publish_incremental,
         "publish_removed_day": publish_removed_day,
         "load_counts": load_counts,

@@ -11,9 +11,10 @@ from wayflux.lake import BRONZE, FACT, ROAD, SILVER, ZONE, Lake
 from wayflux.operators import dedup_stream
 from wayflux.plans import gold, silver
 from wayflux.session import STATE_STORE_SETTINGS
-from wayflux.sinks import Load, append_stream, append_table
+from wayflux.sinks import Load, append_stream, append_table, create_bi_views, create_database
 from wayflux.sources import file_log, stream_table
-from wayflux.streaming import jobs, refresh_star, rewrite_star, start_bronze, start_gold, start_silver
+from wayflux.streaming import (
+    jobs, refresh_star, rewrite_star, star_of, start_bronze, start_gold, start_silver, switch_star)
 
 KEY = ["vehicle_id", "event_ts"]
 
@@ -239,3 +240,39 @@ def test_kafka_time_is_kept(spark, lake, tmp_path):
     start_bronze(lake, file_log(spark, str(tmp_path / "log")),
                  available_now=True).awaitTermination()
     assert lake.read(BRONZE).first().kafka_timestamp == ts("2024-01-05 06:07:08")
+
+
+def test_a_star_is_switched_as_one(spark, lake, monkeypatch):
+    database = "switch_test"
+    create_database(spark, database, lake.path("_db"))
+    store_silver(lake, DELIVERIES[0])
+    switch_star(lake, database, lake.read(SILVER))
+    create_bi_views(spark, database)
+    names = (ZONE, ROAD, FACT)
+
+    def seen():
+        return [values(spark.table(f"{database}.{t}")) for t in names] + [values(spark.table(f"{database}.bi_fact_traffic"))]
+
+    old, places = seen(), star_of(lake, database).elsewhere
+    store_silver(lake, DELIVERIES[1])
+    kept, written = jobs.overwrite_table, []
+
+    def fails(df, path, *args, **kwargs):
+        if FACT in path:
+            raise OSError("no space")
+        written.append(path)
+        kept(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(jobs, "overwrite_table", fails)
+    with pytest.raises(OSError):
+        switch_star(lake, database, lake.read(SILVER))
+    assert len(written) == 2 and seen() == old and star_of(lake, database).elsewhere == places
+    monkeypatch.setattr(jobs, "overwrite_table", kept)
+    built = switch_star(lake, database, lake.read(SILVER))
+    rewrite_star(lake, lake.read(SILVER))
+    wanted = [values(lake.read(t)) for t in names]
+    assert seen()[:3] == wanted == [values(star_of(lake, database).read(t)) for t in names] != old[:3]
+    assert [values(built.read(t)) for t in names] == wanted
+    assert all(Lake(spark, lake.root, elsewhere=places).has(t) for t in names)
+    day = spark.table(f"{database}.{FACT}").where("date = '2024-01-02'")
+    assert "PartitionFilters: [isnotnull(date" in physical_plan(day, "formatted")

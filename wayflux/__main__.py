@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayflux import publish
-from wayflux.lake import FACT, LOAD_HISTORY, PARTITIONS, ROAD, ZONE, Lake
+from wayflux.lake import FACT, LOAD_HISTORY, PARTITIONS, ROAD, SILVER, ZONE, Lake
 from wayflux.plans import contracts, reports, rollups, staging, warehouse
 from wayflux.session import build_session
 from wayflux.sinks import (
     create_bi_views, create_database, create_mart_views, register_table, row_counts)
 from wayflux.sources import LAKE_FORMAT, file_log, kafka_log, read_jdbc
-from wayflux.streaming import start_bronze, start_gold, start_silver
+from wayflux.streaming import star_of, start_bronze, start_gold, start_silver, switch_star
 
 
 def _log(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -138,11 +138,18 @@ def _run_silver(lake: Lake, args: argparse.Namespace) -> None:
 
 
 def _run_gold(lake: Lake, args: argparse.Namespace) -> None:
+    """Touched days, or with --rebuild everything; with --switch in new folders that the catalog points to
+    when all are written."""
+    if args.switch:
+        create_database(lake.spark, args.database, lake.path("_catalog"))
+        switch_star(lake, args.database, lake.read(SILVER))
+        return
     start_gold(lake, incremental=not args.rebuild).awaitTermination()
 
 
 def _run_publish(lake: Lake, args: argparse.Namespace) -> None:
     """Touched days of staging and marts, from a checkpoint; --rebuild or a warehouse: everything."""
+    lake = star_of(lake, args.database) if args.switch else lake
     if args.jdbc_url:
         write = publish.jdbc_writer(args.jdbc_url, args.schema, args.connections)
         _show_loads(publish.load_staging(lake.gold(), write))
@@ -234,6 +241,8 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--shuffle-partitions", type=int, help="fixed by the first start of a stream")
     stream.add_argument("--rocksdb-state", action=argparse.BooleanOptionalAction, default=True)
     stream.add_argument("--rebuild", action="store_true", help="gold, publish, chain: everything, not touched days")
+    stream.add_argument("--switch", action="store_true", help="gold: rebuild in new folders and point the "
+                        "tables of --database there; publish: read the star from them")
     target = found.add_argument_group("publication")
     target.add_argument("--jdbc-url")
     target.add_argument("--schema", default="analytics")

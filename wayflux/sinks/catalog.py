@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,46 @@ def register_table(spark: SparkSession, database: str, table: str, location: str
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
+# Whether Spark keeps the partitions of a table in the catalog, each with a folder of its own.
+_LISTED_PARTITIONS = "spark.sql.hive.manageFilesourcePartitions"
+
+
+def register_movable(spark: SparkSession, database: str, table: str, location: str,
+                     fmt: str = LAKE_FORMAT) -> None:
+    """An external table that ``switch_tables`` can point elsewhere.
+
+    Its partitions are found below its folder when it is read, not listed in the catalog, so they all
+    follow the folder at once.
+    """
+    before = spark.conf.get(_LISTED_PARTITIONS)
+    spark.conf.set(_LISTED_PARTITIONS, "false")
+    try:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` USING {fmt} LOCATION '{location}'")
+    finally:
+        spark.conf.set(_LISTED_PARTITIONS, before)
+
+
+def switch_tables(spark: SparkSession, database: str, locations: Mapping[str, str],
+                  fmt: str = LAKE_FORMAT) -> None:
+    """Point tables to new folders, which have to be written by then; missing tables are registered.
+
+    Nothing is copied or removed: a reader that began on an old folder ends on it.
+    """
+    for table, location in locations.items():
+        if spark.catalog.tableExists(f"`{database}`.`{table}`"):
+            spark.sql(f"ALTER TABLE `{database}`.`{table}` SET LOCATION '{location}'")
+        else:
+            register_movable(spark, database, table, location, fmt)
+
+
+def table_location(spark: SparkSession, database: str, table: str) -> str | None:
+    """The folder of a registered table."""
+    if not spark.catalog.tableExists(f"`{database}`.`{table}`"):
+        return None
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED `{database}`.`{table}`").where("col_name = 'Location'")
+    return told.first()["data_type"]
+
+
 def _create_view(spark: SparkSession, database: str, view: str, query: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{view}` AS {query}")
 

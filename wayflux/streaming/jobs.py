@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import replace
 
@@ -15,7 +16,8 @@ from wayflux.lake import BRONZE, FACT, PARTITIONS, ROAD, SILVER, ZONE, Lake
 from wayflux.plans import bronze as bronze_plan
 from wayflux.plans import gold as gold_plan
 from wayflux.plans import silver as silver_plan
-from wayflux.sinks import append_stream, append_table, drop_days, load_table, overwrite_table
+from wayflux.sinks import (
+    append_stream, append_table, drop_days, load_table, overwrite_table, switch_tables, table_location)
 from wayflux.sinks.tables import with_trigger
 
 # What the gold layer needs to know about new silver rows.
@@ -57,6 +59,27 @@ def rewrite_star(lake: Lake, silver: DataFrame, rules: StarRules = STAR_RULES) -
     overwrite_table(star.fact, lake.path(FACT), PARTITIONS[FACT], lake.fmt, rebalance=True)
 
 
+def star_of(lake: Lake, database: str) -> Lake:
+    """The lake with its star where the catalog says that it is."""
+    found = {t: table_location(lake.spark, database, t) for t in (ZONE, ROAD, FACT)}
+    return replace(lake, elsewhere={**lake.elsewhere, **{t: at for t, at in found.items() if at}})
+
+
+def switch_star(lake: Lake, database: str, silver: DataFrame, rules: StarRules = STAR_RULES) -> Lake:
+    """Build all gold tables in new folders, and point the tables of ``database`` there when all three
+    are written.  Returns the lake with the new star.
+
+    A build that fails leaves readers of the tables on the old star, whole.  Old folders stay, for those
+    who still read them and to go back to.
+    """
+    version = uuid.uuid4().hex[:12]
+    fresh = {t: f"{lake.root}/{t}-{version}" for t in (ZONE, ROAD, FACT)}
+    built = replace(lake, elsewhere={**lake.elsewhere, **fresh})
+    rewrite_star(built, silver, rules)
+    switch_tables(lake.spark, database, fresh, lake.fmt)
+    return built
+
+
 def _add_members(lake: Lake, table: str, batch: DataFrame, member: str,
                  attributes: Mapping[str, MemberRule]) -> None:
     """Append the members a dimension does not have yet; repeating a batch adds nothing."""
