@@ -20,9 +20,9 @@ from wayflux.llm.common import only, stored
 
 #: Fixed: white space between words, and the characters that count as symbols.
 SPACE = r"[\x20\x09-\x0D]+"
-_SPACES = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_DIGITS = "0123456789"
 WINDOW = 8
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -134,22 +134,24 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     among words, words a line, and lines that end without a sentence sign.
     """
     text = F.coalesce("text", F.lit(""))
+    # One pass turns all characters of a class into one, so that counting a class is a plain replacement.
+    classes = F.translate(text, _SYMBOLS + _CAPITALS + _DIGITS,
+                          "#" * len(_SYMBOLS) + "A" * len(_CAPITALS) + "0" * len(_DIGITS))
     cut = only(docs, doc_id="bigint", text="string").select(
-        "doc_id", text.alias("text"), F.array_remove(F.split(text, SPACE, -1), "").alias("words"),
+        "doc_id", text.alias("text"), classes.alias("classes"), F.array_remove(F.split(text, SPACE, -1), "").alias("words"),
         F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
 
-    def without(signs: str) -> Column:
-        return (F.length("text") - F.length(F.translate("text", signs, ""))).cast("bigint")
+    def times(sign: str, of: str = "classes") -> Column:
+        return (F.length(of) - F.length(F.replace(F.col(of), F.lit(sign), F.lit("")))).cast("bigint")
 
     counted = cut.select(
         "doc_id", F.size("words").cast("bigint").alias("n_words"),
-        (F.length("text") - without(_SPACES)).cast("bigint").alias("word_chars"),
-        without(_SYMBOLS).alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"), times("#").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
         _repeated_words(F.col("words")).alias("n_repeat_words"),
         F.size("lines").alias("n_lines"), F.size(F.array_distinct("words")).alias("n_distinct"),
-        without("!").alias("n_shouts"), without(_CAPITALS).alias("n_capitals"),
-        without("0123456789").alias("n_digits"), without("|").alias("n_bars"),
+        times("!", "text").alias("n_shouts"), times("A").alias("n_capitals"), times("0").alias("n_digits"),
+        times("|", "text").alias("n_bars"),
         F.size(F.filter("lines", lambda x: ~x.rlike(r"[.!?:;\"')\x{2026}\x{201D}][\x20\x09-\x0D]*$"))).alias("n_open"))
 
     def share(part: str, whole: str) -> Column:
