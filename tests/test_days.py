@@ -267,3 +267,16 @@ def test_heatmap_columns_come_from_the_dimension(spark, lake):
     assert got.columns == ["city_zone", "R100", "R300"]
     assert values(got) == [("CBD", 4, None), ("SUBURB", None, 1)]
     assert reports.road_names(lake.read(ROAD)) == ["R100", "R300"] and lake.has(ZONE)
+
+
+def test_switched_gold_is_published(spark, lake, monkeypatch, capsys):
+    monkeypatch.setattr(cli, "build_session", lambda *args, **kwargs: spark)
+    as_of = F.lit("2024-01-25 00:00:00").cast("timestamp")
+    clean = silver.silver(bronze_rows(spark, ROWS), as_of)
+    silver.with_event_date(clean).write.partitionBy(*PARTITIONS[SILVER]).parquet(lake.path(SILVER))
+    common = ["--lake", lake.root, "--switch", "--database", "cli_switch"]
+    cli.main(["gold", *common])
+    assert not lake.has(FACT) and spark.table(f"cli_switch.{FACT}").count() == 5
+    cli.main(["publish", *common])
+    assert "fct_traffic_events: 5 rows loaded" in capsys.readouterr().out
+    assert lake.read(warehouse.EVENTS).count() == 5
