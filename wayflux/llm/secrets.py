@@ -67,7 +67,11 @@ def _spans(text: str, kind: str, rank: int, pattern: str, group: int, least: int
 
 def max_entropy(value: Column, window: int) -> Column:
     """The highest entropy, in bits a character, of ``window`` consecutive characters of ``value`` (of
-    all of it where it is shorter), by incremental counts."""
+    all of it where it is shorter).
+
+    The sum of c log c is carried along: only the terms of the character that enters and of the one that
+    leaves change.  How often these two stand in the window is read off its ``window`` characters.
+    """
     chars = F.split(value, "")
 
     def term(c: Column) -> Column:
