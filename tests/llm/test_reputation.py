@@ -52,3 +52,11 @@ def test_shrinkage(spark):
     assert url_verdicts(frame.limit(0), outcomes).count() == 0
     rule = (Rule("allow", "bad.net", "/"),)
     assert {r.verdict for r in url_verdicts(frame, outcomes, rule, Reputation()).where("host = 'www.bad.net'").collect()} == {"allow"}
+
+
+def test_very_long_addresses(spark):
+    host, path = "a." * 20_000 + "example.org", "/es/" + "x" * 100_000
+    urls = [f"http://{host}{path}?{'q' * 100_000}", "http://" + "b" * 100_000, "http://c.net/" + "/" * 100_000 + "#" + "z" * 100_000]
+    rows = url_verdicts(pages(spark, urls), spark.createDataFrame([], "page_id bigint, bad int"), URL_RULES).orderBy("page_id").collect()
+    assert [(r.host, r.path, r.rule, r.verdict) for r in rows] == [
+        (host, path, "example.org/es/", "block"), ("b" * 100_000, "", None, "allow"), ("c.net", "/" + "/" * 100_000, None, "allow")]
