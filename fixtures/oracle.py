@@ -184,6 +184,11 @@ def _checks(kind: str, source: dict[str, str], accepted=_ACCEPTED) -> list[str]:
                    " where l.location_id = f.location_id)")]
 
 
+_FRESHNESS = f"""select 'dim_locations' model, count(*) "rows", cast(null as timestamp) newest,
+    cast(null as bigint) hours_old, cast(1 as integer) sla_freshness_hours from {{loc}}
+  union all select 'fct_traffic_events', count(*), max(event_ts),
+    datesub('hour', max(event_ts), timestamp '{AS_OF}'), cast(1 as integer) from fct"""
+
 _KINDS = ("unique", "not_null", "accepted_values", "relationships")
 _CLEAN = {"dim_locations": "loc", "fct_traffic_events": "fct"}
 _BROKEN = {"dim_locations": "broken_loc", "fct_traffic_events": "fct"}
@@ -395,6 +400,8 @@ def oracle_sql() -> dict[str, str]:
         "staging_roundtrip_road": _with("select * from gold_road"),
         "full_chain_marts": _with("select * from fct"),
         "full_chain_checks": _check_query(_KINDS, broken=False),
+        "mart_freshness": _with(_FRESHNESS.format(loc="loc")),
+        "mart_freshness_gaps": _with(_FRESHNESS.format(loc="broken_loc"), gaps=True, extra=[_BROKEN_LOC]),
         "mart_metadata": " union all ".join(
             f"select '{m}' model, '{c}' column_name, {str(c == 'vehicle_id').lower()} pii"
             for m, columns in _MODELS.items() for c in columns),

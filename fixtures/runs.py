@@ -549,6 +549,8 @@ def queries() -> dict[str, Query]:
         "staging_roundtrip_zone": _staging_table(staging.STG_ZONE),
         "staging_roundtrip_road": _staging_table(staging.STG_ROAD),
         "mart_metadata": mart_metadata,
+        "mart_freshness": _on_models(lambda models: contracts.freshness(models, traffic.as_of())),
+        "mart_freshness_gaps": _on_models(lambda models: contracts.freshness(models, traffic.as_of()), broken=True),
         "nation_top10": nation_top10,
         "scale_star": scale_star,
     }

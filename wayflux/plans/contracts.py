@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayflux import domain
@@ -106,6 +106,24 @@ def stored_register(spark, paths: Mapping[str, str], contracts=CONTRACTS,
     return spark.createDataFrame(rows, "model STRING, column_name STRING, pii BOOLEAN")
 
 
+def freshness(models: Mapping[str, DataFrame], as_of: Column, contracts=CONTRACTS) -> DataFrame:
+    """``(model, rows, newest, hours_old, sla_freshness_hours)``: what the models hold beside what they aim at.
+
+    ``newest`` is the last event of a model that has events, and its age counts whole hours.  For readers
+    only; no check fails on it.
+    """
+    def measured(contract: ModelContract) -> DataFrame:
+        model = models[contract.name]
+        newest = F.max("event_ts") if "event_ts" in model.columns else F.lit(None)
+        found = model.agg(F.count(F.lit(1)).alias("rows"), newest.cast("timestamp_ntz").alias("newest"))
+        return found.select(
+            F.lit(contract.name).alias("model"), "rows", "newest",
+            F.timestamp_diff("HOUR", F.col("newest"), as_of.cast("timestamp_ntz")).alias("hours_old"),
+            F.lit(contract.freshness_hours).alias("sla_freshness_hours"))
+
+    return _union([measured(c) for c in contracts])
+
+
 def _accepted(contract: ModelContract) -> dict[str, tuple[str, ...]]:
     return {c.name: c.accepted for c in contract.columns if c.accepted}
 
