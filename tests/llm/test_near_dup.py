@@ -2,9 +2,10 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from wayflux.llm.components import components
-from wayflux.llm.near_dup import NearDup, keep_one, near_dup_groups
+from wayflux.llm.near_dup import NearDup, _dealt, _repeated, keep_one, near_dup_groups
 from wayflux.llm.queries import op7_near_dup
 from wayflux.llm.superminhash import signatures
 
@@ -65,6 +66,35 @@ def test_chain_of_near_copies_that_miss_their_center(spark):
     assert got(near_dup_groups(frame, NearDup(3, 85))) == brute(rows, 3, 85)
 
 
+def test_a_shingle_that_most_documents_hold(spark):
+    """One passage stands in all texts, so its shingles are hot and shared out among tasks."""
+    draw = random.Random(5)
+    passage = [f"p{k}" for k in range(60)]
+    rows = []
+    for i in range(240):
+        words = list(passage)
+        for k in draw.sample(range(60), draw.randrange(0, 4)):
+            words[k] = f"n{draw.randrange(40)}"
+        own = [f"o{i // 3}x{k}" for k in range(draw.choice((0, 3, 9, 30)))]
+        rows.append((i, " ".join(words + own)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    assert got(near_dup_groups(frame, NearDup(3, 85))) == brute(rows, 3, 85)
+
+
+def test_shares_meet_every_row_once(spark):
+    """The salted joins give what the plain ones give, hot shingles or not."""
+    rows = spark.range(5000).selectExpr(
+        "if(id % 3 = 0, 0, id % 1500) as shingle", "cast(cast(id as string) as binary) as class")
+    sums = rows.groupBy("shingle").agg(F.count("*").alias("size"))
+    dealt = _dealt(rows, sums, "size", 5000)
+    assert dealt.where("shingle = 0").agg(F.countDistinct("salt")).first()[0] > 200
+    assert dealt.where("shingle > 0").agg(F.max("salt")).first()[0] == 0
+    met = dealt.join(_repeated(sums, "size", 5000), ["shingle", "salt"])
+    plain = rows.join(sums, "shingle")
+    assert met.count() == 5000
+    assert met.select(*plain.columns).exceptAll(plain).isEmpty()
+
+
 def test_odd_rows(spark, odd, none):
     found = near_dup_groups(odd, NearDup(3, 85)).collect()
     assert len(found) == odd.count()

@@ -138,6 +138,27 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
         "root", F.coalesce("root", "class")).drop("node")
 
 
+#: Shingles with over one in so many of all rows are hot, so there are at most so many of them.
+_HOT = 1000
+
+
+def _shares(size: str, total: int) -> Column:
+    """How many tasks share a shingle that has ``size`` of ``total`` rows: one unless it is hot."""
+    return F.ceil(F.col(size) * _HOT / max(total, 1)).cast("int")
+
+
+def _dealt(rows: DataFrame, sums: DataFrame, size: str, total: int) -> DataFrame:
+    """``rows`` with the ``salt`` of their share: the rows of a hot shingle are dealt out by their class."""
+    hot = F.broadcast(sums.where(F.col(size) * _HOT > total).select("shingle", _shares(size, total).alias("shares")))
+    return rows.join(hot, "shingle", "left").withColumn(
+        "salt", F.coalesce(F.pmod(F.xxhash64("class"), "shares").cast("int"), F.lit(0))).drop("shares")
+
+
+def _repeated(rows: DataFrame, size: str, total: int) -> DataFrame:
+    """``rows`` once for each share of their shingle, with its ``salt``."""
+    return rows.withColumn("salt", F.explode(F.sequence(F.lit(0), _shares(size, total) - 1)))
+
+
 def _rare_heads(entries: DataFrame, members: DataFrame, roots: DataFrame, rule: NearDup) -> DataFrame:
     """The rarest shingles of all classes in buckets with several components: as many as a pair above
     the threshold can't do without, except those that no other class has."""
@@ -149,8 +170,9 @@ def _rare_heads(entries: DataFrame, members: DataFrame, roots: DataFrame, rule:
     tokens = stored(
         members.join(open_classes, "class")
         .select("class", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")), "shingles")
-    counts = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-    ranked = tokens.join(counts, "shingle").withColumns({
+    counts, total = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")), tokens.count()
+    ranked = _dealt(tokens, counts, "df", total).join(
+        _repeated(counts, "df", total), ["shingle", "salt"]).withColumns({
         "place": F.row_number().over(Window.partitionBy("class").orderBy("df", "shingle")),
         "own": F.count_if(F.col("df") == 1).over(Window.partitionBy("class"))})
     return stored(ranked.where(
@@ -168,21 +190,24 @@ def _hidden_pairs(heads: DataFrame, roots: DataFrame, rule: NearDup, central: bo
     per_root = rooted.groupBy("shingle", "root").agg(
         F.count(F.lit(1)).alias("c"),
         F.min_by(F.struct(*parts), F.struct(F.col("own") / F.col("n"), "class")).alias("best"))
-    largest = per_root.groupBy("shingle").agg(
+    largest = stored(per_root.groupBy("shingle").agg(
         F.max_by(F.struct("root", "best"), F.struct("c", "root")).alias("main"),
-        F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    left = rooted.join(largest, "shingle").where("root <> main.root").select(
-        "shingle", *[F.col(c).alias(f"x_{c}") for c in parts],
+        F.count(F.lit(1)).alias("roots"), F.sum("c").alias("size")).where("roots > 1"), "largest")
+    total = largest.agg(F.sum("size")).first()[0] or 0
+    met = _dealt(rooted, largest, "size", total).join(
+        _repeated(largest, "size", total), ["shingle", "salt"])
+    left = met.where("root <> main.root").select(
+        "shingle", "salt", *[F.col(c).alias(f"x_{c}") for c in parts],
         *[F.col(f"main.best.{c}").alias(f"y_{c}") for c in parts if central])
     need = F.ceil((F.col("x_n") + F.col("y_n")) * (t / (1 + t)) - 1e-9)
     room = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place")) + 1
     if central:
         found = left.where(room >= need)
-    else:
-        right = rooted.join(largest.select("shingle"), "shingle", "left_semi").select(
-            "shingle", *[F.col(c).alias(f"y_{c}") for c in parts])
-        found = left.join(right, (left["shingle"] == right["shingle"])
-                          & (F.col("x_root") != F.col("y_root")) & (room >= need))
+    else:  # all rows of a shingle meet each share of those outside its largest component
+        right = _repeated(met.drop("salt"), "size", total).select(
+            "shingle", "salt", *[F.col(c).alias(f"y_{c}") for c in parts])
+        found = left.join(right, ["shingle", "salt"]).where(
+            (F.col("x_root") != F.col("y_root")) & (room >= need))
     return found.select(F.greatest("x_class", "y_class").alias("u"),
                         F.least("x_class", "y_class").alias("v")).distinct()
 
