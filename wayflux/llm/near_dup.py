@@ -197,16 +197,15 @@ def _hidden_pairs(heads: DataFrame, roots: DataFrame, rule: NearDup, central: bo
     met = _dealt(rooted, largest, "size", total).join(
         _repeated(largest, "size", total), ["shingle", "salt"])
     left = met.where("root <> main.root").select(
-        "shingle", "salt", *[F.col(c).alias(f"x_{c}") for c in parts],
+        "shingle", *[F.col(c).alias(f"x_{c}") for c in parts],
         *[F.col(f"main.best.{c}").alias(f"y_{c}") for c in parts if central])
     need = F.ceil((F.col("x_n") + F.col("y_n")) * (t / (1 + t)) - 1e-9)
     room = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place")) + 1
     if central:
         found = left.where(room >= need)
-    else:  # all rows of a shingle meet each share of those outside its largest component
-        right = _repeated(met.drop("salt"), "size", total).select(
-            "shingle", "salt", *[F.col(c).alias(f"y_{c}") for c in parts])
-        found = left.join(right, ["shingle", "salt"]).where(
+    else:  # plain shuffles on both sides, so Spark can split what is skewed by its bytes
+        right = met.select("shingle", *[F.col(c).alias(f"y_{c}") for c in parts])
+        found = left.join(right, "shingle").where(
             (F.col("x_root") != F.col("y_root")) & (room >= need))
     return found.select(F.greatest("x_class", "y_class").alias("u"),
                         F.least("x_class", "y_class").alias("v")).distinct()
